@@ -11,10 +11,10 @@ from vitalgauge.functions import band_score
 from vitalgauge.operators.joins import join_null_safe
 
 # Buckets per factor of two, and an offset that keeps the buckets of positive numbers positive:
-# log2 of a double lies between -1075 and 1024, so the bucket numbers stay within +-100,000.
-_STEPS = 64
-_OFFSET = 100_000
-_NULL_BUCKET = 1_000_000
+# log2 of a double lies between -1075 and 1024, so the bucket numbers stay within +-4,000,000.
+_STEPS = 1024
+_OFFSET = 2_000_000
+_NULL_BUCKET = 10_000_000
 
 
 def _bucket(value: Column, nulls_last: bool) -> Column:

@@ -130,47 +130,54 @@ def solution_distincts(activity: DataFrame) -> DataFrame:
     )
 
 
-def _overlap(shared: DataFrame, apps: DataFrame, item: str) -> DataFrame:
-    """Per solution month: how often items were counted again for a second or further plan.
-
-    Only items owned by several plans in one month can be, so only those are joined.
-    """
-    key = ["plan_token", "year", "month_calendar"]
-    owned = apps.where(F.col(item).isNotNull()).select(*key, item).distinct()
-    several = (
-        owned.groupBy(item, "year", "month_calendar")
-        .agg(F.count("*").alias("plans"))
-        .where(F.col("plans") > 1)
-        .drop("plans")
-    )
-    hits = shared.join(owned.join(several, [item, "year", "month_calendar"], "left_semi"), key)
-    per_item = hits.groupBy("solution_uid", "date", item).agg(F.count("*").alias("hits"))
-    return per_item.groupBy("solution_uid", "date").agg(F.sum(F.col("hits") - 1).alias("extra"))
-
-
 def solution_month_apps(activity: DataFrame, apps: DataFrame) -> DataFrame:
     """Per solution and month: distinct work apps and distinct owners over the plans using it.
 
-    The distinct counts per plan and month are known, so a solution month under one plan takes
-    them over, and one under several plans takes their sum less what was counted twice.
+    The distinct counts per plan and month are known. A solution month under one plan takes them
+    over; one under several plans takes their sum, less what was counted again: an app or owner
+    that several of these plans share. Only solution months with several plans and items with
+    several plans in the month can contribute to that, so only those are joined.
     """
-    plan_month = ["plan_token", "year", "month_calendar"]
-    per_plan = activity.groupBy("solution_uid", "date", *plan_month).agg(
+    key, plan_month = ["solution_uid", "date"], ["plan_token", "year", "month_calendar"]
+    per_plan = activity.groupBy(*key, *plan_month).agg(
         F.max("containers").alias("containers"), F.max("app_owners").alias("app_owners")
     )
-    summed = per_plan.groupBy("solution_uid", "date").agg(
+    summed = per_plan.groupBy(*key).agg(
         F.count("*").alias("plans"), F.sum("containers").alias("containers"), F.sum("app_owners").alias("app_owners")
     )
-    key = ["solution_uid", "date"]
     several = summed.where(F.col("plans") > 1).select(*key)
     shared = joins.join_null_safe(per_plan.select(*key, *plan_month), several, key, "inner")
-    again_apps = _overlap(shared, apps, "container_uid").withColumnRenamed("extra", "extra_apps")
-    again_owners = _overlap(shared, apps, "owner_user_uid").withColumnRenamed("extra", "extra_owners")
-    joined = joins.join_null_safe(joins.join_null_safe(summed, again_apps, key), again_owners, key)
-    return joined.select(
+
+    items = (
+        apps.select(
+            *plan_month,
+            F.explode(
+                F.array(
+                    F.struct(F.lit("app").alias("kind"), F.col("container_uid").cast("string").alias("item")),
+                    F.struct(F.lit("owner").alias("kind"), F.col("owner_user_uid").cast("string").alias("item")),
+                )
+            ).alias("i"),
+        )
+        .select(*plan_month, "i.kind", "i.item")
+        .dropna()
+        .distinct()
+    )
+    item_month = ["kind", "item", "year", "month_calendar"]
+    spread = items.groupBy(*item_month).agg(F.count("*").alias("plans")).where(F.col("plans") > 1)
+    hits = (
+        shared.join(items.join(spread, item_month, "left_semi"), plan_month)
+        .groupBy(*key, "kind", "item")
+        .agg((F.count("*") - 1).alias("again"))
+        .groupBy(*key)
+        .agg(
+            F.sum(F.when(F.col("kind") == "app", F.col("again"))).alias("again_apps"),
+            F.sum(F.when(F.col("kind") == "owner", F.col("again"))).alias("again_owners"),
+        )
+    )
+    return joins.join_null_safe(summed, hits, key).select(
         *key,
-        (F.col("containers") - F.coalesce("extra_apps", F.lit(0))).alias("work_app_count"),
-        (F.col("app_owners") - F.coalesce("extra_owners", F.lit(0))).alias("external_views_with_work_app"),
+        (F.col("containers") - F.coalesce("again_apps", F.lit(0))).alias("work_app_count"),
+        (F.col("app_owners") - F.coalesce("again_owners", F.lit(0))).alias("external_views_with_work_app"),
     )
 
 
@@ -214,10 +221,9 @@ def account_months(t: Tables, p: Params, edition: Edition) -> DataFrame:
     """Sums per account and month that the KPIs are ratios of."""
     activity = share(solution_activity(t, p, edition), edition.name)
     solutions = filters.filtered_solutions(t.solution_monthly, p.as_of)
-    plans, rich = account_plans(t, p)
-    hvt = joins.hvt_counts(
-        filters.positive_hvt(solutions).join(plans, "plan_uid").join(rich, "account_id", "left_semi")
-    )
+    seen = activity.select("account_id").distinct()
+    plans = filters.account_in(filters.filtered_plans(t.plan), seen)
+    hvt = joins.hvt_counts(filters.positive_hvt(solutions).join(plans, "plan_uid"))
     flags = list(solution_flags(p, edition))
 
     cells = activity.groupBy(*MONTH, "solution_uid").agg(

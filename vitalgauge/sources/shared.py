@@ -39,3 +39,11 @@ def share(df: DataFrame, label: str) -> DataFrame:
     path = f"{folder}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Remove the shared sub-results of this application. Frames that read them stop working."""
+    folder = work_folder(spark)
+    if folder is not None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
