@@ -80,14 +80,12 @@ def with_ranks_and_scores(
 
     ``ids`` must identify a row.
     """
-    long = percent_ranks(rows, ids, list(measures), nulls_last)
+    long = percent_ranks(rows, ids, list(measures), nulls_last).withColumn("score", band_score("pct_rank"))
     wide = long.groupBy(*ids).agg(
         *[
-            F.max(F.when(F.col("measure") == measure, F.col("pct_rank"))).alias(f"pct_rank_{short}")
+            F.expr(f"max(CASE WHEN measure = '{measure}' THEN {column} END) AS {prefix}_{short}")
             for measure, short in measures.items()
+            for column, prefix in (("pct_rank", "pct_rank"), ("score", "score"))
         ]
     )
-    joined = rows.join(wide, list(ids))
-    return joined.withColumns(
-        {f"score_{short}": band_score(f"pct_rank_{short}") for short in measures.values()}
-    )
+    return rows.join(wide, list(ids))

@@ -31,6 +31,7 @@ def _account_of(column: str) -> Column:
 def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The ten input tables over ``<sf_dir>/*.parquet``, and two of those files as they are."""
 
+    @functools.cache
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
