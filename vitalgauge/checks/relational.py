@@ -247,11 +247,10 @@ def wide_star_join(t: Tables, p: Params) -> DataFrame:
     edition = EDITIONS["adoption_scorecard_mobile"]
     rows = adoption.solution_activity(t, p, edition)
     plans, rich = adoption.account_plans(t, p)
-    hvt = filters.positive_hvt(usable_solutions(t, p)).join(plans, "plan_uid").join(rich, "account_id", "left_semi")
-    weights = joins.hvt_weights(joins.hvt_counts(hvt))
+    weights = joins.hvt_weights(adoption.hvt_rows(usable_solutions(t, p), filters.account_in(plans, rich)))
     total = joins.weight_of("weight", "hvt_weight")
     return (
-        joins.with_weight(rows, weights, ["account_id", "solution_uid"], "hvt_weight")
+        joins.with_weight(rows, weights, ["account_id", "solution_key"], "hvt_weight")
         .groupBy("account_id", "date", "solution_uid", "plan_uid")
         .agg(
             F.sum(total).alias("joined_rows"),
@@ -423,7 +422,7 @@ def owner_counts_join(t: Tables, p: Params) -> DataFrame:
 )
 def hvt_self_join(t: Tables, p: Params) -> DataFrame:
     rows = usable_solutions(t, p).join(filters.filtered_plans(t.plan), "plan_uid")
-    weights = joins.hvt_weights(joins.hvt_counts(filters.positive_hvt(rows)))
+    weights = joins.hvt_weights(joins.hvt_counts(filters.positive_hvt(rows), "solution_uid"), "solution_uid")
     cells = rows.groupBy("account_id", "solution_uid", "date").agg(F.count("*").alias("rows"))
     return cells.join(weights, ["account_id", "solution_uid"], "left").select(
         "account_id", "solution_uid", "date",

@@ -70,14 +70,14 @@ def paying_plan_months(plan_daily: DataFrame, plan: DataFrame, account: DataFram
 # --- high-value-task users ------------------------------------------------------------------------
 
 
-def hvt_counts(hvt_solutions: DataFrame) -> DataFrame:
+def hvt_counts(hvt_solutions: DataFrame, solution: str = "solution_key") -> DataFrame:
     """Rows per account, solution and number of high-value-task users."""
-    return hvt_solutions.groupBy("account_id", "solution_uid", "users_hvt").agg(F.count("*").alias("hvt_rows"))
+    return hvt_solutions.groupBy("account_id", solution, "users_hvt").agg(F.count("*").alias("hvt_rows"))
 
 
-def hvt_weights(counts: DataFrame) -> DataFrame:
+def hvt_weights(counts: DataFrame, solution: str = "solution_key") -> DataFrame:
     """Match counts of the solution-to-solution join on account and solution."""
-    return counts.groupBy("account_id", "solution_uid").agg(F.sum("hvt_rows").alias("hvt_weight"))
+    return counts.groupBy("account_id", solution).agg(F.sum("hvt_rows").alias("hvt_weight"))
 
 
 # --- work apps ------------------------------------------------------------------------------------

@@ -36,6 +36,7 @@ PLAN_FACTS = (
 #: Columns summed over the joined rows, per account month.
 ROW_SUMS = (*PLAN_FACTS, "total_active_users", "users_hvt", "wt_complexity", "workflows")
 MONTH = ["account_id", "date"]
+SOLUTION_MONTH = ["solution_key", "date"]
 ROW_ID = ["account_id", "year_month"]
 
 
@@ -85,6 +86,13 @@ def weighted_plan_months(t: Tables, p: Params, edition: Edition) -> DataFrame:
     return rows.withColumn("weight", joins.weight_of(*weights) if weights else F.lit(1).cast("bigint"))
 
 
+def with_solution_key(rows: DataFrame) -> DataFrame:
+    """Adds a solution id that is never NULL (empty text where it was): solutions without an id
+    are then one group in groupings and in plain equi-joins alike, which share their shuffles."""
+    prefixed = F.concat(F.lit("s"), F.col("solution_uid").cast("string"))
+    return rows.withColumn("solution_key", F.coalesce(prefixed, F.lit("")))
+
+
 def solution_flags(p: Params, edition: Edition) -> dict[str, Column]:
     """Conditions under which a solution counts in an account month."""
     if edition.integrations_by_flag:
@@ -113,8 +121,8 @@ def solution_activity(t: Tables, p: Params, edition: Edition) -> DataFrame:
     apps = (
         ["plan_token", "year", "month_calendar", "containers", "app_owners"] if edition.work_apps else []
     )
-    return rows.select(
-        "account_id", "date", "plan_uid", "solution_uid", "owner_uid", "department", "weight",
+    return with_solution_key(rows).select(
+        "account_id", "date", "plan_uid", "solution_uid", "solution_key", "owner_uid", "department", "weight",
         *PLAN_FACTS, "users_hvt", "wt_complexity", "workflows", *apps,
         sum_columns(*collaborators).alias("total_active_users"),
         *[F.coalesce(flag, F.lit(False)).alias(name) for name, flag in solution_flags(p, edition).items()],
@@ -123,7 +131,7 @@ def solution_activity(t: Tables, p: Params, edition: Edition) -> DataFrame:
 
 def solution_distincts(activity: DataFrame) -> DataFrame:
     """Per solution, over all months: distinct departments and collaborator numbers."""
-    return activity.groupBy("solution_uid").agg(
+    return activity.groupBy("solution_key").agg(
         F.count_distinct("users_collab_internal").alias("unique_internal_collaborators"),
         F.count_distinct("users_collab_external").alias("unique_external_collaborators"),
         F.count_distinct("department").alias("num_departments_per_solution"),
@@ -138,7 +146,7 @@ def solution_month_apps(activity: DataFrame, apps: DataFrame) -> DataFrame:
     that several of these plans share. Only solution months with several plans and items with
     several plans in the month can contribute to that, so only those are joined.
     """
-    key, plan_month = ["solution_uid", "date"], ["plan_token", "year", "month_calendar"]
+    key, plan_month = SOLUTION_MONTH, ["plan_token", "year", "month_calendar"]
     per_plan = activity.groupBy(*key, *plan_month).agg(
         F.max("containers").alias("containers"), F.max("app_owners").alias("app_owners")
     )
@@ -146,7 +154,7 @@ def solution_month_apps(activity: DataFrame, apps: DataFrame) -> DataFrame:
         F.count("*").alias("plans"), F.sum("containers").alias("containers"), F.sum("app_owners").alias("app_owners")
     )
     several = summed.where(F.col("plans") > 1).select(*key)
-    shared = joins.join_null_safe(per_plan.select(*key, *plan_month), several, key, "inner")
+    shared = per_plan.select(*key, *plan_month).join(several, key)
 
     items = (
         apps.select(
@@ -174,7 +182,7 @@ def solution_month_apps(activity: DataFrame, apps: DataFrame) -> DataFrame:
             F.sum(F.when(F.col("kind") == "owner", F.col("again"))).alias("again_owners"),
         )
     )
-    return joins.join_null_safe(summed, hits, key).select(
+    return summed.join(hits, key, "left").select(
         *key,
         (F.col("containers") - F.coalesce("again_apps", F.lit(0))).alias("work_app_count"),
         (F.col("app_owners") - F.coalesce("again_owners", F.lit(0))).alias("external_views_with_work_app"),
@@ -194,16 +202,22 @@ def owner_metrics(activity: DataFrame, solutions: DataFrame, over: int) -> DataF
     )
 
 
+def hvt_rows(solutions: DataFrame, plans: DataFrame) -> DataFrame:
+    """High-value-task rows of known solutions, counted per account, solution and number."""
+    known = filters.positive_hvt(solutions).where(F.col("solution_uid").isNotNull())
+    return joins.hvt_counts(with_solution_key(known).join(plans, "plan_uid"))
+
+
 def hvt_metrics(activity: DataFrame, hvt: DataFrame) -> DataFrame:
     """Per account month: distinct high-value-task numbers over all rows of its solutions.
 
     A solution meets each of its distinct numbers once per month of the window, no more.
     """
-    present = activity.select(*MONTH, "solution_uid").distinct()
+    present = activity.select(*MONTH, "solution_key").distinct()
     # The condition holds for every row. It keeps the row count in the aggregate, which is then
     # the same one the weights read, so Spark shuffles it once for both.
     numbers = hvt.where(F.col("hvt_rows") > 0)
-    return present.join(numbers, ["account_id", "solution_uid"]).groupBy(*MONTH).agg(
+    return present.join(numbers, ["account_id", "solution_key"]).groupBy(*MONTH).agg(
         F.count_distinct("users_hvt").alias("unique_hvt_collaborators")
     )
 
@@ -219,30 +233,33 @@ def user_metrics(activity: DataFrame, users: DataFrame) -> DataFrame:
 
 def account_months(t: Tables, p: Params, edition: Edition) -> DataFrame:
     """Sums per account and month that the KPIs are ratios of."""
-    activity = share(solution_activity(t, p, edition), edition.name)
+    activity = share(solution_activity(t, p, edition).drop("solution_uid"), edition.name)
     solutions = filters.filtered_solutions(t.solution_monthly, p.as_of)
     seen = activity.select("account_id").distinct()
     plans = filters.account_in(filters.filtered_plans(t.plan), seen)
-    hvt = joins.hvt_counts(filters.positive_hvt(solutions).join(plans, "plan_uid"))
+    hvt = hvt_rows(solutions, plans)
     flags = list(solution_flags(p, edition))
 
-    cells = activity.groupBy(*MONTH, "solution_uid").agg(
+    cells = activity.groupBy(*MONTH, "solution_key").agg(
         F.sum("weight").alias("rows"),
         *[weighted_sum(c, "weight").alias(c) for c in ROW_SUMS],
         *[F.max(flag).alias(flag) for flag in flags],
     )
-    cells = joins.with_weight(cells, joins.hvt_weights(hvt), ["account_id", "solution_uid"], "hvt_weight")
+    cells = joins.with_weight(cells, joins.hvt_weights(hvt), ["account_id", "solution_key"], "hvt_weight")
     per_solution = ["unique_internal_collaborators", "unique_external_collaborators"]
     if edition.needs("num_departments_per_solution"):
         per_solution.append("num_departments_per_solution")
-    cells = joins.join_null_safe(cells, solution_distincts(activity), ["solution_uid"])
+    distincts = solution_distincts(activity).select("solution_key", *per_solution)
     if edition.work_apps:
+        # Both are narrow, so they are joined first and the wide cells are shuffled once for both.
+        apps = solution_month_apps(activity, joins.workapp_months(t.workapp_interval))
         per_solution += ["work_app_count", "external_views_with_work_app"]
-        apps = joins.workapp_months(t.workapp_interval)
-        cells = joins.join_null_safe(cells, solution_month_apps(activity, apps), ["solution_uid", "date"])
+        cells = cells.join(apps.join(distincts, "solution_key"), SOLUTION_MONTH)
+    else:
+        cells = cells.join(distincts, "solution_key")
 
     rows = F.col("rows") * F.col("hvt_weight")
-    known = F.col("solution_uid").isNotNull()
+    known = F.col("solution_key") != ""
     sums = cells.groupBy(*MONTH).agg(
         F.sum(rows).alias("rows"),
         F.sum(F.when(known, rows).otherwise(0)).alias("solution_rows"),

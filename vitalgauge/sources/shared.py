@@ -20,7 +20,7 @@ _local_folder: tempfile.TemporaryDirectory | None = None
 def work_folder(spark: SparkSession) -> str | None:
     """Folder for shared sub-results, or None where there is no safe place for them."""
     global _local_folder
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return f"{configured.rstrip('/')}/{spark.sparkContext.applicationId}"
     if not spark.sparkContext.master.startswith("local"):
