@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from vitalgauge.checks.registry import check
 from vitalgauge.functions import SCORE_BANDS
@@ -10,6 +11,7 @@ from vitalgauge.operators.objects import OBJECT_KINDS, map_as_text
 from vitalgauge.params import Params
 from vitalgauge.plans import adoption, snapshot, work_grid
 from vitalgauge.plans.kpis import EDITIONS, Edition
+from vitalgauge.sources.shared import share
 from vitalgauge.tables import Tables
 
 # --- adoption -------------------------------------------------------------------------------------
@@ -48,7 +50,8 @@ def _window_metrics(edition: Edition) -> dict[str, str]:
     return metrics
 
 
-def _adoption_oracle(edition: Edition) -> str:
+def _measured(edition: Edition) -> str:
+    """Subqueries ``joined`` and ``measured``: all joins made row by row, all windows over them."""
     columns = ["s.*", "o.total_solutions_per_owner AS owner_total", "h.users_hvt AS other_hvt", "x.account_id AS addon_account"]
     joined = [
         "star s",
@@ -79,6 +82,17 @@ def _adoption_oracle(edition: Edition) -> str:
 
     metrics = ", ".join(f"{expr} AS {name}" for name, expr in _window_metrics(edition).items())
     suffix = "_active" if edition.active_columns else ""
+    return f"""
+        WITH joined AS (SELECT {", ".join(columns)} FROM {" ".join(joined)}),
+        measured AS (
+            SELECT *, {metrics},
+                   users_collab_internal{suffix} + users_collab_external{suffix} AS total_active_users
+            FROM joined
+            WINDOW am AS (PARTITION BY account_id, year_month), sol AS (PARTITION BY solution_uid),
+                   sol_month AS (PARTITION BY solution_uid, year, month_calendar), acc AS (PARTITION BY account_id))"""
+
+
+def _adoption_oracle(edition: Edition) -> str:
     profile = (
         ", max(account_name) AS account_name, round(CAST(max(account_arr) AS DOUBLE), 6) AS account_arr,"
         " max(territory_type) AS territory_type, max(industry) AS industry, max(sub_industry) AS sub_industry"
@@ -105,14 +119,7 @@ def _adoption_oracle(edition: Edition) -> str:
     ranks = ", ".join(
         f"percent_rank() OVER (ORDER BY raw_{k.name} NULLS LAST) AS rank_{k.name}" for k in edition.kpis
     )
-    return f"""
-        WITH joined AS (SELECT {", ".join(columns)} FROM {" ".join(joined)}),
-        measured AS (
-            SELECT *, {metrics},
-                   users_collab_internal{suffix} + users_collab_external{suffix} AS total_active_users
-            FROM joined
-            WINDOW am AS (PARTITION BY account_id, year_month), sol AS (PARTITION BY solution_uid),
-                   sol_month AS (PARTITION BY solution_uid, year, month_calendar), acc AS (PARTITION BY account_id)),
+    return f"""{_measured(edition)},
         grouped AS (
             SELECT account_id, year_fiscal, year, month_calendar, year_month,
                    CAST(sum(users_licensed) AS BIGINT) AS total_licensed_users,
@@ -142,6 +149,50 @@ for _edition in EDITIONS.values():
     _register_adoption(_edition)
 
 
+_V1, _FLAGSHIP = EDITIONS["adoption_kpis_v1"], EDITIONS["adoption_scorecard_mobile"]
+_COUNTS = [
+    "unique_solution_owners", "power_developers", "total_solutions_per_account", "external_integrations",
+    "internal_integrations", "solutions_with_hvt", "solutions_with_external_users", "solutions_created_last_90_days",
+    "solutions_with_automation", "unique_hvt_collaborators", "total_complexity_score", "total_workflows",
+    "brandfolder_presence",
+]
+
+
+def _counts_oracle(edition: Edition, counts: list[str]) -> str:
+    return f"""{_measured(edition)}
+        SELECT DISTINCT account_id, date,
+               {", ".join(f"CAST(measured.{c} AS BIGINT) AS {c}" for c in counts)} FROM measured"""
+
+
+def _counts(t: Tables, p: Params, edition: Edition, counts: list[str]) -> DataFrame:
+    rows = adoption.account_month_metrics(t, p, edition).withColumns(
+        {"total_complexity_score": F.col("wt_complexity"), "total_workflows": F.col("workflows")}
+    )
+    return rows.select("account_id", "date", *[F.col(c).cast("bigint").alias(c) for c in counts])
+
+
+@check("account_month_metrics_v1", _counts_oracle(_V1, _COUNTS))
+def account_month_metrics_v1(t: Tables, p: Params) -> DataFrame:
+    return _counts(t, p, _V1, _COUNTS)
+
+
+@check("account_month_metrics", _counts_oracle(_FLAGSHIP, [*_COUNTS, "mobile_users"]))
+def account_month_metrics(t: Tables, p: Params) -> DataFrame:
+    return _counts(t, p, _FLAGSHIP, [*_COUNTS, "mobile_users"])
+
+
+@check(
+    "solution_metrics",
+    f"""{_measured(_FLAGSHIP)}
+        SELECT DISTINCT solution_uid, date, unique_internal_collaborators, unique_external_collaborators,
+               num_departments_per_solution, work_app_count, external_views_with_work_app FROM measured""",
+)
+def solution_metrics(t: Tables, p: Params) -> DataFrame:
+    activity = share(adoption.solution_activity(t, p, _FLAGSHIP), "solution-metrics")
+    names = activity.select("solution_key", "solution_uid").distinct()
+    return adoption.solution_metrics(activity, t, _FLAGSHIP).join(names, "solution_key").drop("solution_key")
+
+
 # --- one-month snapshot ---------------------------------------------------------------------------
 
 

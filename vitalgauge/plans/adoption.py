@@ -189,6 +189,15 @@ def solution_month_apps(activity: DataFrame, apps: DataFrame) -> DataFrame:
     )
 
 
+def solution_metrics(activity: DataFrame, t: Tables, edition: Edition) -> DataFrame:
+    """Distinct counts per solution, and per solution and month where the edition has work apps."""
+    distincts = solution_distincts(activity)
+    if not edition.work_apps:
+        return distincts
+    apps = solution_month_apps(activity, joins.workapp_months(t.workapp_interval))
+    return apps.join(distincts, "solution_key")
+
+
 def owner_metrics(activity: DataFrame, solutions: DataFrame, over: int) -> DataFrame:
     """Per account month: distinct owners, and distinct owners of more than ``over`` solutions."""
     power = (
@@ -231,13 +240,15 @@ def user_metrics(activity: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
-def account_months(t: Tables, p: Params, edition: Edition) -> DataFrame:
-    """Sums per account and month that the KPIs are ratios of."""
+def account_month_metrics(t: Tables, p: Params, edition: Edition) -> DataFrame:
+    """Per account and month: the counts over it, and the sums over its joined rows.
+
+    ``rows`` is the number of joined rows and ``total_solutions_per_account`` those with a solution.
+    """
     activity = share(solution_activity(t, p, edition).drop("solution_uid"), edition.name)
     solutions = filters.filtered_solutions(t.solution_monthly, p.as_of)
     seen = activity.select("account_id").distinct()
-    plans = filters.account_in(filters.filtered_plans(t.plan), seen)
-    hvt = hvt_rows(solutions, plans)
+    hvt = hvt_rows(solutions, filters.account_in(filters.filtered_plans(t.plan), seen))
     flags = list(solution_flags(p, edition))
 
     cells = activity.groupBy(*MONTH, "solution_key").agg(
@@ -246,48 +257,50 @@ def account_months(t: Tables, p: Params, edition: Edition) -> DataFrame:
         *[F.max(flag).alias(flag) for flag in flags],
     )
     cells = joins.with_weight(cells, joins.hvt_weights(hvt), ["account_id", "solution_key"], "hvt_weight")
-    per_solution = ["unique_internal_collaborators", "unique_external_collaborators"]
-    if edition.needs("num_departments_per_solution"):
-        per_solution.append("num_departments_per_solution")
-    distincts = solution_distincts(activity).select("solution_key", *per_solution)
-    if edition.work_apps:
-        # Both are narrow, so they are joined first and the wide cells are shuffled once for both.
-        apps = solution_month_apps(activity, joins.workapp_months(t.workapp_interval))
-        per_solution += ["work_app_count", "external_views_with_work_app"]
-        cells = cells.join(apps.join(distincts, "solution_key"), SOLUTION_MONTH)
-    else:
-        cells = cells.join(distincts, "solution_key")
+    # The narrow solution tables are joined with each other first, so the cells are shuffled once
+    # for all of them. Every cell has its solution there.
+    per_solution = solution_metrics(activity, t, edition)
+    on = [c for c in per_solution.columns if c in SOLUTION_MONTH]
+    metrics = [c for c in per_solution.columns if c not in SOLUTION_MONTH]
+    cells = cells.join(per_solution, on)
 
     rows = F.col("rows") * F.col("hvt_weight")
     known = F.col("solution_key") != ""
     sums = cells.groupBy(*MONTH).agg(
         F.sum(rows).alias("rows"),
-        F.sum(F.when(known, rows).otherwise(0)).alias("solution_rows"),
+        F.sum(F.when(known, rows).otherwise(0)).alias("total_solutions_per_account"),
         *[weighted_sum(c, "hvt_weight").alias(c) for c in ROW_SUMS],
         *[F.count_if(F.col(flag) & known).alias(flag) for flag in flags],
-        *[weighted_sum(c, rows).alias(c) for c in per_solution],
+        *[weighted_sum(c, rows).alias(c) for c in metrics],
     )
+    counted = ["unique_solution_owners", "power_developers", "unique_hvt_collaborators"]
     sums = sums.join(owner_metrics(activity, solutions, p.power_owner_over), MONTH, "left")
     sums = sums.join(hvt_metrics(activity, hvt), MONTH, "left")
     if edition.mobile:
         sums = sums.join(user_metrics(activity, edition_users(t, edition)), MONTH, "left")
+        counted.append("mobile_users")
+    addon = joins.presence(t.addon_plan, "account_id", "brandfolder_presence")
+    return joins.with_presence(sums.fillna(0, subset=counted), addon, "account_id", "brandfolder_presence")
+
+
+def account_months(t: Tables, p: Params, edition: Edition) -> DataFrame:
+    """Sums per account and month that the KPIs are ratios of, with month labels.
 
-    # A count over the account month stands on each of its rows, so its sum is count x rows.
-    repeated = {name: F.coalesce(F.col(name), F.lit(0)) for name in flags}
-    for name in ("unique_solution_owners", "power_developers", "unique_hvt_collaborators"):
-        repeated[name] = F.coalesce(F.col(name), F.lit(0))
+    A count over the account month stands on each of its joined rows, so its sum is count x rows.
+    """
+    sums = account_month_metrics(t, p, edition)
+    repeated = {name: F.col(name) for name in solution_flags(p, edition)}
+    for name in ("unique_solution_owners", "power_developers", "unique_hvt_collaborators", "total_solutions_per_account"):
+        repeated[name] = F.col(name)
     if edition.mobile:
-        repeated["mobile_users"] = F.coalesce(F.col("mobile_users"), F.lit(0))
+        repeated["mobile_users"] = F.col("mobile_users")
     repeated["automated_rows"] = (F.col("solutions_with_automation") > 0).cast("int")
-    repeated["total_solutions_per_account"] = F.col("solution_rows")
-    repeated["solutions_created_monthly"] = F.col("solution_rows")
+    repeated["solutions_created_monthly"] = F.col("total_solutions_per_account")
     repeated["total_complexity_score"] = F.col("wt_complexity")
     repeated["total_workflows"] = F.col("workflows")
-    sums = sums.withColumns(
-        {name: value.cast("double") * F.col("rows").cast("double") for name, value in repeated.items()}
-    )
-    addon = joins.presence(t.addon_plan, "account_id", "brandfolder_presence")
-    return joins.with_presence(sums, addon, "account_id", "brandfolder_presence").join(months(t, p), "date")
+    rows = F.col("rows").cast("double")
+    sums = sums.withColumns({name: value.cast("double") * rows for name, value in repeated.items()})
+    return sums.join(months(t, p), "date")
 
 
 def account_profile(account: DataFrame) -> DataFrame:
