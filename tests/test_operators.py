@@ -137,3 +137,26 @@ def test_grid_has_every_combination(spark):
     grid = joins.work_type_grid(names, types)
     assert sorted(map(tuple, grid.collect())) == [(i, w) for i in (1, 2, 3) for w in "AR"]
     assert "Cartesian" not in grid._jdf.queryExecution().toString()
+
+
+plans = st.integers(0, 4)
+solution_rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), plans), min_size=1, max_size=25)
+app_rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.one_of(st.none(), st.integers(0, 3)), plans), max_size=30)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(used=solution_rows, owned=app_rows)
+def test_distinct_apps_over_several_plans(spark, used, owned):
+    from vitalgauge.plans import adoption
+
+    month = dt.date(2001, 7, 1)
+    rows = spark.createDataFrame([(s, month, str(p), 2001, 7) for s, p in used], "solution_uid int, date date, plan_token string, year int, month_calendar int")
+    apps = spark.createDataFrame([(str(p), 2001, 7, c, u) for c, u, p in owned], "plan_token string, year int, month_calendar int, container_uid int, owner_user_uid int")
+    counts = joins.workapp_month_counts(apps)
+    activity = adoption.with_solution_key(rows).join(counts, adoption.PLAN_MONTH, "left").fillna(0)
+    out = {r["solution_key"]: (r["work_app_count"], r["external_views_with_work_app"]) for r in adoption.solution_month_apps(activity, apps).collect()}
+    for s in {s for s, _ in used}:
+        mine = {p for t, p in used if t == s}
+        containers = {c for c, _, p in owned if p in mine and c is not None}
+        owners = {u for _, u, p in owned if p in mine and u is not None}
+        assert out["" if s is None else f"s{s}"] == (len(containers), len(owners))

@@ -138,52 +138,73 @@ def solution_distincts(activity: DataFrame) -> DataFrame:
     )
 
 
+PLAN_MONTH = ["plan_token", "year", "month_calendar"]
+ITEM_MONTH = ["kind", "item", "year", "month_calendar"]
+
+
+def app_items(apps: DataFrame) -> DataFrame:
+    """Distinct work apps and work-app owners per plan and month, one below the other."""
+    kinds = {"app": "container_uid", "owner": "owner_user_uid"}
+    pairs = [F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("item")) for k, c in kinds.items()]
+    exploded = apps.select(*PLAN_MONTH, F.explode(F.array(*pairs)).alias("i"))
+    return exploded.select(*PLAN_MONTH, "i.kind", "i.item").dropna().distinct()
+
+
+def _below_top(rows: DataFrame, key: list[str], top: str) -> DataFrame:
+    """Rows of keys with several plans, without each key's hottest plan, which is named ``top``."""
+    hottest = F.max(F.struct("heat", "plan_token"))
+    tops = rows.groupBy(*key).agg(hottest["plan_token"].alias(top), F.count("*").alias("plans"))
+    kept = rows.join(tops.where(F.col("plans") > 1).drop("plans"), key)
+    return kept.where(F.col("plan_token") != F.col(top)).drop("heat")
+
+
+def counted_again(shared: DataFrame, items: DataFrame) -> DataFrame:
+    """Per solution month: how often apps and owners were counted again for a further plan.
+
+    A solution month and an item with k plans in common were counted k times: k - 1 too often.
+    Joining them on every common plan would make all pairs within a hot plan. Plans are therefore
+    ordered by how many of the solution months they hold, and the hottest plan of each solution
+    month and of each item is left out of the join, so the hottest plan of all joins nothing. What
+    a pair still has in common is every common plan but the hottest, and also that one exactly when
+    neither side's own hottest plan is common. Two lookups tell which.
+    """
+    heat = shared.groupBy(*PLAN_MONTH).agg(F.count("*").alias("heat"))
+    low_solutions = _below_top(shared.join(heat, PLAN_MONTH), SOLUTION_MONTH, "solution_top")
+    low_items = _below_top(items.join(heat, PLAN_MONTH), ITEM_MONTH, "item_top")
+    pair = [*SOLUTION_MONTH, *ITEM_MONTH, "solution_top", "item_top"]
+    pairs = low_solutions.join(low_items, PLAN_MONTH).groupBy(*pair).agg(F.count("*").alias("common"))
+    item_has = items.withColumnRenamed("plan_token", "solution_top").withColumn("item_has", F.lit(True))
+    solution_has = shared.select(
+        *SOLUTION_MONTH, F.col("plan_token").alias("item_top"), F.lit(True).alias("solution_has")
+    )
+    looked_up = pairs.join(item_has, [*ITEM_MONTH, "solution_top"], "left").join(
+        solution_has, [*SOLUTION_MONTH, "item_top"], "left"
+    )
+    top_is_common = F.col("item_has").isNotNull() | F.col("solution_has").isNotNull()
+    again = F.col("common") - F.when(top_is_common, 0).otherwise(1)
+    return looked_up.groupBy(*SOLUTION_MONTH).agg(
+        F.sum(F.when(F.col("kind") == "app", again)).alias("again_apps"),
+        F.sum(F.when(F.col("kind") == "owner", again)).alias("again_owners"),
+    )
+
+
 def solution_month_apps(activity: DataFrame, apps: DataFrame) -> DataFrame:
     """Per solution and month: distinct work apps and distinct owners over the plans using it.
 
     The distinct counts per plan and month are known. A solution month under one plan takes them
-    over; one under several plans takes their sum, less what was counted again: an app or owner
-    that several of these plans share. Only solution months with several plans and items with
-    several plans in the month can contribute to that, so only those are joined.
+    over; one under several plans takes their sum, less what was counted again.
     """
-    key, plan_month = SOLUTION_MONTH, ["plan_token", "year", "month_calendar"]
-    per_plan = activity.groupBy(*key, *plan_month).agg(
+    per_plan = activity.groupBy(*SOLUTION_MONTH, *PLAN_MONTH).agg(
         F.max("containers").alias("containers"), F.max("app_owners").alias("app_owners")
     )
-    summed = per_plan.groupBy(*key).agg(
+    summed = per_plan.groupBy(*SOLUTION_MONTH).agg(
         F.count("*").alias("plans"), F.sum("containers").alias("containers"), F.sum("app_owners").alias("app_owners")
     )
-    several = summed.where(F.col("plans") > 1).select(*key)
-    shared = per_plan.select(*key, *plan_month).join(several, key)
-
-    items = (
-        apps.select(
-            *plan_month,
-            F.explode(
-                F.array(
-                    F.struct(F.lit("app").alias("kind"), F.col("container_uid").cast("string").alias("item")),
-                    F.struct(F.lit("owner").alias("kind"), F.col("owner_user_uid").cast("string").alias("item")),
-                )
-            ).alias("i"),
-        )
-        .select(*plan_month, "i.kind", "i.item")
-        .dropna()
-        .distinct()
-    )
-    item_month = ["kind", "item", "year", "month_calendar"]
-    spread = items.groupBy(*item_month).agg(F.count("*").alias("plans")).where(F.col("plans") > 1)
-    hits = (
-        shared.join(items.join(spread, item_month, "left_semi"), plan_month)
-        .groupBy(*key, "kind", "item")
-        .agg((F.count("*") - 1).alias("again"))
-        .groupBy(*key)
-        .agg(
-            F.sum(F.when(F.col("kind") == "app", F.col("again"))).alias("again_apps"),
-            F.sum(F.when(F.col("kind") == "owner", F.col("again"))).alias("again_owners"),
-        )
-    )
-    return summed.join(hits, key, "left").select(
-        *key,
+    several = summed.where(F.col("plans") > 1).select(*SOLUTION_MONTH)
+    shared = per_plan.select(*SOLUTION_MONTH, *PLAN_MONTH).join(several, SOLUTION_MONTH)
+    again = counted_again(shared, app_items(apps))
+    return summed.join(again, SOLUTION_MONTH, "left").select(
+        *SOLUTION_MONTH,
         (F.col("containers") - F.coalesce("again_apps", F.lit(0))).alias("work_app_count"),
         (F.col("app_owners") - F.coalesce("again_owners", F.lit(0))).alias("external_views_with_work_app"),
     )

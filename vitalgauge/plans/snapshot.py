@@ -35,6 +35,12 @@ PLAN_FACTS = (
 )
 ATTRIBUTES = ("month_year", "account_name", "account_arr", "territory_type", "industry", "sub_industry")
 WORK_APP = "WorkApps"
+#: Columns the measures read.
+MEASURED = (
+    "account_id", *ATTRIBUTES, *PLAN_FACTS, "solution_uid", "owner_uid", "users_active", "users_hvt",
+    "users_external", "users_external_view", "quarters_active", "workflows", "wt_complexity",
+    "api_integrations", "api_apps", "weight", "is_work_app", "power",
+)
 
 
 def snapshot_facts(t: Tables, p: Params, accounts: DataFrame | list | None = None) -> DataFrame:
@@ -172,7 +178,7 @@ def account_month_snapshot(
     t: Tables, p: Params, by: str, accounts: DataFrame | list | None = None, require_mobile: bool = False
 ) -> DataFrame:
     """The snapshot; work apps are matched ``by="container"`` or ``by="interval"``."""
-    facts = share(filters.month_equals(snapshot_facts(t, p, accounts), p.snapshot), f"snapshot-{by}")
+    facts = filters.month_equals(snapshot_facts(t, p, accounts), p.snapshot)
     in_month = snapshot_solutions(
         t.solution_monthly, t.plan, t.account, p.snapshot, p.min_account_arr_snapshot
     )
@@ -182,6 +188,8 @@ def account_month_snapshot(
     weighted = with_container_apps(kept, t, p) if by == "container" else with_interval_apps(kept, t)
     power = power.select("owner_uid", F.lit(True).alias("power"))
     weighted = weighted.join(power, "owner_uid", "left").fillna(False, subset=["power"])
+    # Four groupings read the weighted facts; the joins before them are made once.
+    weighted = share(weighted.select(*MEASURED), f"snapshot-{by}")
     rows = one_pass_account_month(weighted, citizen_developers=by == "interval")
 
     addon = joins.presence(t.addon_plan, "account_id", "brandfolder_presence")
