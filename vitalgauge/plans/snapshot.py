@@ -72,14 +72,17 @@ def with_container_apps(facts: DataFrame, t: Tables, p: Params) -> DataFrame:
     return _with_matches(facts, counted, ["solution_uid"]).withColumn("is_work_app", F.col("matched"))
 
 
-def with_interval_apps(facts: DataFrame, t: Tables) -> DataFrame:
-    """Joined rows per fact from the work apps of the plan whose interval holds the date."""
+def with_interval_apps(facts: DataFrame, t: Tables, p: Params) -> DataFrame:
+    """Joined rows per fact from the work apps of the plan whose interval holds the date.
+
+    All facts have the date of the snapshot, so the intervals are filtered by it in the scan; see
+    :func:`vitalgauge.operators.joins.interval_match_counts` for many dates.
+    """
+    day = F.lit(p.snapshot)
+    valid = t.workapp_interval.where((F.col("effective_from") <= day) & (F.col("effective_to") >= day))
+    counted = valid.groupBy(third_token("owner_plan_uid").alias("plan_token")).agg(F.count("*").alias("matches"))
     keyed = facts.withColumn("plan_token", plan_token("plan_uid"))
-    intervals = t.workapp_interval.select(
-        third_token("owner_plan_uid").alias("plan_token"), "effective_from", "effective_to"
-    )
-    counted = joins.interval_match_counts(keyed, intervals, "plan_token", "matches").where(F.col("matches") > 0)
-    return _with_matches(keyed, counted, ["plan_token", "date"]).withColumn(
+    return _with_matches(keyed, counted, ["plan_token"]).withColumn(
         "is_work_app", F.coalesce(contains_text("api_apps", WORK_APP), F.lit(False))
     )
 
@@ -185,7 +188,7 @@ def account_month_snapshot(
     large = accounts_over_n_solutions(in_month, p.accounts_over)
     power = owner_solution_counts(facts).where(F.col("total_solutions_per_owner") > p.power_owner_over)
     kept = filters.account_in(facts, large)
-    weighted = with_container_apps(kept, t, p) if by == "container" else with_interval_apps(kept, t)
+    weighted = with_container_apps(kept, t, p) if by == "container" else with_interval_apps(kept, t, p)
     power = power.select("owner_uid", F.lit(True).alias("power"))
     weighted = weighted.join(power, "owner_uid", "left").fillna(False, subset=["power"])
     # Four groupings read the weighted facts; the joins before them are made once.
