@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 
@@ -125,3 +126,12 @@ def test_lazy_where_no_folder_is_safe(spark, monkeypatch):
     monkeypatch.setattr(shared, "work_folder", lambda _: None)
     df = spark.range(3)
     assert shared.share(df, "x") is df
+
+
+def test_shared_results_can_be_cleared(spark):
+    df = shared.share(spark.range(3).toDF("id"), "gone")
+    assert df.count() == 3
+    shared.clear_shared(spark)
+    folder = Path(spark.conf.get("spark.checkpoint.dir")) / spark.sparkContext.applicationId
+    assert not folder.exists()
+    assert shared.share(spark.range(2).toDF("id"), "again").count() == 2
