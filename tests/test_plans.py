@@ -122,10 +122,17 @@ def test_shared_results_use_the_configured_folder(spark, tmp_path):
     assert sorted(map(tuple, df.collect())) == [(i, 2 * i) for i in range(5)]
 
 
-def test_lazy_where_no_folder_is_safe(spark, monkeypatch):
-    monkeypatch.setattr(shared, "work_folder", lambda _: None)
-    df = spark.range(3)
-    assert shared.share(df, "x") is df
+def test_error_without_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(shared, "configured_folder", lambda _: None)
+    with pytest.raises(shared.NoSharedFolder, match="spark.checkpoint.dir"):
+        shared.share(spark.range(3), "x")
+
+
+def test_shared_results_of_a_block_are_removed(spark):
+    with shared.shared_for(spark):
+        path = shared.share(spark.range(3), "short").inputFiles()[0]
+        assert Path(path.removeprefix("file://")).exists()
+    assert not Path(path.removeprefix("file://")).exists()
 
 
 def test_shared_results_can_be_cleared(spark):

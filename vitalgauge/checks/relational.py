@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +23,7 @@ from vitalgauge.operators.ranks import with_ranks_and_scores
 from vitalgauge.params import Params
 from vitalgauge.plans import adoption, snapshot, work_grid
 from vitalgauge.plans.kpis import EDITIONS
-from vitalgauge.sources.shared import work_folder
+from vitalgauge.sources.shared import shared_path
 from vitalgauge.sources.sink import write_by_month
 from vitalgauge.tables import TABLE_COLUMNS, Tables
 
@@ -59,10 +58,7 @@ def scorecard_sink(t: Tables, p: Params) -> DataFrame:
     rows = adoption.star_rows(t, p).groupBy("account_id", "year_month").agg(
         F.sum("users_licensed").alias("licensed"), F.count("*").alias("solution_rows")
     )
-    folder = work_folder(rows.sparkSession)
-    if folder is None:
-        return rows
-    path = f"{folder}/scorecard-{uuid.uuid4().hex}"
+    path = shared_path(rows.sparkSession, "scorecard")
     write_by_month(rows, path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 

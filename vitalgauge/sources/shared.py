@@ -1,49 +1,93 @@
 """Sub-results that several branches of one plan read.
 
 A sub-result used by several branches is written once, as Parquet, to the shared folder the
-cluster names in ``spark.checkpoint.dir``. Later branches then read only the columns they need,
-and a lost executor costs no recomputation. Where that setting is empty, a local session uses a
-folder of its own that is removed when Python ends; a cluster session keeps the plan lazy, as a
-machine-local folder would not be visible to all executors.
+cluster names in ``spark.checkpoint.dir`` (or ``SparkContext.setCheckpointDir``). Later branches
+then read only the columns they need, and a lost executor costs no recomputation. There is one
+behaviour: without such a folder every function here raises ``NoSharedFolder``. Programs that run on
+one machine, such as tests and the benchmark, may call ``use_local_folder`` first.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folder: tempfile.TemporaryDirectory | None = None
+_FOLDER = "spark.checkpoint.dir"
 
 
-def work_folder(spark: SparkSession) -> str | None:
-    """Folder for shared sub-results, or None where there is no safe place for them."""
-    global _local_folder
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return f"{configured.rstrip('/')}/{spark.sparkContext.applicationId}"
-    if not spark.sparkContext.master.startswith("local"):
-        return None
-    if _local_folder is None:
-        _local_folder = tempfile.TemporaryDirectory(prefix="vitalgauge-")
-    return _local_folder.name
+class NoSharedFolder(RuntimeError):
+    """The session names no folder that the driver and all executors share."""
+
+
+def configured_folder(spark: SparkSession) -> str | None:
+    return spark.conf.get(_FOLDER, None) or spark.sparkContext.getCheckpointDir()
+
+
+def work_folder(spark: SparkSession) -> str:
+    """This application's folder for shared sub-results.
+
+    A folder without a scheme, or of the scheme ``file``, is accepted as it is on one machine only;
+    on a cluster, it must be written as ``file://`` to say that it is a mounted shared file system.
+    """
+    folder = configured_folder(spark)
+    if not folder:
+        raise NoSharedFolder(f"set {_FOLDER} to a folder that the driver and all executors share")
+    if not spark.sparkContext.master.startswith("local") and folder.startswith("/") and _default_is_local(spark):
+        raise NoSharedFolder(f"{folder} is local to each machine; set {_FOLDER} to a shared folder, with its scheme")
+    return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
+def _default_is_local(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.hadoop.fs.defaultFS", "file:///").startswith("file:")
+
+
+def use_local_folder(spark: SparkSession) -> None:
+    """Name a temporary folder where none is set and the driver and executors are one machine."""
+    if not configured_folder(spark) and spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vitalgauge-"))
+
+
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder."""
+    return f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def share(df: DataFrame, label: str) -> DataFrame:
-    """``df``, computed once and read back from the work folder."""
+    """``df``, computed once and read back from the shared folder."""
     spark = df.sparkSession
-    folder = work_folder(spark)
-    if folder is None:
-        return df
-    path = f"{folder}/{label}-{uuid.uuid4().hex}"
+    path = shared_path(spark, label)
     df.write.parquet(path)
+    for opened in _open:
+        opened.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_open: list[list[str]] = []
+
+
+@contextmanager
+def shared_for(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end of the block, what ``share`` wrote in it; results must be written by then."""
+    paths: list[str] = []
+    _open.append(paths)
+    try:
+        yield
+    finally:
+        _open.remove(paths)
+        for path in paths:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def clear_shared(spark: SparkSession) -> None:
     """Remove the shared sub-results of this application. Frames that read them stop working."""
-    folder = work_folder(spark)
-    if folder is not None:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if configured_folder(spark):
+        remove(spark, work_folder(spark))
