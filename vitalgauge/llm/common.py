@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,11 +47,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def lower_ascii_text(text: str | None) -> str:
-    """The same as ``ascii_lower``, for use inside tasks."""
-    if not text:
-        return ""
-    return text.lower() if text.isascii() else text.translate(_LOWER)
+def text_bytes(batch: pa.RecordBatch, column: str, step: int = 256) -> Iterator[bytes]:
+    """The texts of a batch in UTF-8, null as empty, taken over a few rows at a time."""
+    values = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())
+    for start in range(0, len(values), step):
+        for value in values.slice(start, step).to_pylist():
+            yield value or b""
 
 
-_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+def words(text: bytes) -> list[bytes]:
+    """The words of a text with A-Z in lower case: what bytes know as letters and white space is ASCII's."""
+    return text.lower().split()

@@ -10,10 +10,16 @@ from pyspark.sql import functions as F
 from vitalgauge.llm.common import WORD, table
 from vitalgauge.llm.exact_dedup import DigestIndex
 from vitalgauge.llm.mixing import MOST_COPIES, SEED, SLICE_DIGITS, UNIT, mixed_copies
+from vitalgauge.llm.simhash import near_duplicate_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_duplicate_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     decided = DigestIndex.open(spark).add(table(spark, sf_dir, "documents"))
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -24,7 +30,9 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
-QUERIES: dict[str, Query] = {"op7_exact_dedup": op7_exact_dedup, "op9_mix_sources": op9_mix_sources}
+QUERIES: dict[str, Query] = {
+    query.__name__: query for query in (op4_simhash_near_dedup, op7_exact_dedup, op9_mix_sources)
+}
 
 ORACLE_SQL: dict[str, str] = {
     "op7_exact_dedup": """
