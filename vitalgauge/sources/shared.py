@@ -56,11 +56,11 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def share(df: DataFrame, label: str) -> DataFrame:
-    """``df``, computed once and read back from the shared folder."""
+def share(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """``df``, computed once and read back from the shared folder. ``options`` go to the Parquet writer."""
     spark = df.sparkSession
     path = shared_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     for opened in _open:
         opened.append(path)
     return spark.read.schema(df.schema).parquet(path)
