@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgauge.llm.common import WORD, table
+from vitalgauge.llm.common import WORD, id_remainder, table
 from vitalgauge.llm.exact_dedup import DigestIndex
 from vitalgauge.llm.mixing import MOST_COPIES, SEED, SLICE_DIGITS, UNIT, mixed_copies
+from vitalgauge.llm.packing import packed_pieces
+from vitalgauge.llm.quality import fit_quality, predicted, quality_scores
 from vitalgauge.llm.simhash import near_duplicate_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,13 +28,34 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op8_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = fit_quality(docs, labels.filter(id_remainder(F.col("doc_id"), 4) != 2))
+    scores = quality_scores(docs, model).withColumn("held_out", id_remainder(F.col("doc_id"), 4) == 2)
+    return scores.select("doc_id", "held_out", "score", predicted(F.col("score")).alias("predicted"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixed_copies(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packed_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES: dict[str, Query] = {
-    query.__name__: query for query in (op4_simhash_near_dedup, op7_exact_dedup, op9_mix_sources)
+    query.__name__: query
+    for query in (
+        op4_simhash_near_dedup,
+        op7_exact_dedup,
+        op8_compression_quality,
+        op9_mix_sources,
+        op10_pack_sequences,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {
