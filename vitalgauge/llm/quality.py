@@ -2,21 +2,23 @@
 
 Two zstandard dictionaries are trained, one on texts labelled good and one on texts labelled bad. A
 text is compressed with each; the difference of the two sizes, divided by the text's size, tells which it
-resembles. A logistic curve fitted on further labelled texts turns the difference into the chance that the label is 1.
+resembles. A logistic calibration fitted on further labelled texts turns that into the chance that the label is 1. What a
+difference means depends on the text's length (in short ones it is mostly noise, which falls with the root of the length) and
+on how far the text can be compressed at all, so the calibration sees these next to it.
 
 Fitting reads a bounded sample of the labelled rows, taken by a hash of the id: ``DICTIONARY_ROWS`` texts of
-each label for the dictionaries and ``CALIBRATION_ROWS`` of all labels for the curve, of at most
+each label for the dictionaries and ``CALIBRATION_ROWS`` more of each for the calibration, of at most
 ``FIT_BYTES`` bytes each. Scoring compresses every text whole, one at a time, in a single pass without a shuffle.
 
-Defined cases: a null text is an empty one, whose difference is 0; labels other than 0 and 1 and labels
+Defined cases: a null text is an empty one, whose difference is 0 and that is scored by the calibration; labels other than 0 and 1 and labels
 of unknown documents are not learned from; if no bad text is known every score is 1, else if no good one is
 known every score is 0; repeated rows score alike; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -36,21 +38,27 @@ KEEP_FROM = 0.7
 
 @dataclass(frozen=True)
 class QualityModel:
+    """Dictionaries, and the calibration: ``weights`` of the features less ``center`` and over ``scale``, and last the intercept."""
+
     good: bytes
     bad: bytes
-    slope: float
-    intercept: float
+    center: tuple[float, ...] = ()
+    scale: tuple[float, ...] = ()
+    weights: tuple[float, ...] = ()
     constant: float | None = None
 
-    def differences(self, texts: Iterator[bytes]) -> np.ndarray:
-        """Bytes saved by the good dictionary over the bad one, per byte of text."""
+    def features(self, texts: Iterable[bytes]) -> np.ndarray:
+        """Per text: bytes the good dictionary saves over the bad one per byte and per root of bytes, log of length, rate."""
         good, bad = (zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(d)) for d in (self.good, self.bad))
-        return np.array([(len(bad.compress(t)) - len(good.compress(t))) / max(len(t), 1) for t in texts], float)
+        sizes = np.array([(len(good.compress(t)), len(bad.compress(t)), max(len(t), 1)) for t in texts], float).reshape(-1, 3)
+        saved, length = sizes[:, 1] - sizes[:, 0], sizes[:, 2]
+        return np.c_[saved / length, saved / np.sqrt(length), np.log(length), sizes[:, 0] / length]
 
-    def scores(self, texts: Iterator[bytes]) -> np.ndarray:
+    def scores(self, texts: Iterable[bytes]) -> np.ndarray:
         if self.constant is not None:
             return np.array([self.constant for _ in texts], float)
-        return _logistic(self.slope * self.differences(texts) + self.intercept)
+        found = (self.features(texts) - np.array(self.center)) / np.array(self.scale)
+        return _logistic(found @ np.array(self.weights[:-1]) + self.weights[-1])
 
 
 def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict:
@@ -71,20 +79,18 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-def _calibrated(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept of the logistic curve, by Newton steps with a slight pull of the slope to 0."""
-    scale = x.std() or 1.0
-    design = np.c_[x / scale, np.ones(len(x))]
-    weights = np.zeros(2)
-    for _ in range(50):
+def logistic_fit(features: np.ndarray, labels: np.ndarray, pull: float = 1e-3, steps: int = 60) -> np.ndarray:
+    """Weights and, last, the intercept of a logistic regression, by Newton steps with a slight pull to 0."""
+    design = np.c_[features, np.ones(len(features))]
+    weights = np.zeros(design.shape[1])
+    for _ in range(steps):
         p = _logistic(design @ weights)
-        gradient = design.T @ (p - y) + np.array([1e-2, 1e-6]) * weights
-        hessian = (design * (p * (1 - p))[:, None]).T @ design + np.diag([1e-2, 1e-6]) + 1e-9 * np.eye(2)
-        step = np.linalg.solve(hessian, gradient)
-        weights -= np.clip(step, -4, 4)
+        hessian = (design * (p * (1 - p))[:, None]).T @ design + pull * np.eye(len(weights))
+        step = np.linalg.solve(hessian, design.T @ (p - labels) + pull * weights)
+        weights -= np.clip(step, -3, 3)
         if np.abs(step).max() < 1e-9:
             break
-    return float(weights[0] / scale), float(weights[1])
+    return weights
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, fit_bytes: int = FIT_BYTES) -> list[tuple[bytes, int]]:
@@ -107,14 +113,16 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Q
     sample = labelled_sample(docs, labels, label, DICTIONARY_ROWS + CALIBRATION_ROWS)
     good, bad = ([t for t, y in sample if y == v] for v in (1, 0))
     if not bad or not good:
-        return QualityModel(b"", b"", 0.0, 0.0, constant=0.0 if bad else 1.0)
-    for_dictionary = [min(DICTIONARY_ROWS, (len(x) + 1) // 2) for x in (good, bad)]
-    model = QualityModel(_trained(good[: for_dictionary[0]]), _trained(bad[: for_dictionary[1]]), 0.0, 0.0)
-    rest = [(t, 1.0) for t in good[for_dictionary[0] :]] + [(t, 0.0) for t in bad[for_dictionary[1] :]]
+        return QualityModel(b"", b"", constant=0.0 if bad else 1.0)
+    in_good, in_bad = (min(DICTIONARY_ROWS, (len(x) + 1) // 2) for x in (good, bad))
+    model = QualityModel(_trained(good[:in_good]), _trained(bad[:in_bad]))
+    rest = [(t, 1.0) for t in good[in_good:]] + [(t, 0.0) for t in bad[in_bad:]]
     if len({y for _, y in rest}) < 2:
         rest = [(t, float(y)) for t, y in sample]
-    x, y = model.differences(t for t, _ in rest), np.array([y for _, y in rest])
-    return QualityModel(model.good, model.bad, *_calibrated(x, y))
+    features, known = model.features(t for t, _ in rest), np.array([y for _, y in rest])
+    center, scale = features.mean(0), features.std(0) + 1e-9
+    weights = logistic_fit((features - center) / scale, known)
+    return replace(model, center=tuple(center), scale=tuple(scale), weights=tuple(weights))
 
 
 def quality_scores(docs: DataFrame, model: QualityModel) -> DataFrame:
