@@ -27,10 +27,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalgauge.llm.common import text_bytes
+from vitalgauge.llm.samples import labelled_sample
 
-DICTIONARY_ROWS = 1500
-CALIBRATION_ROWS = 6000
-FIT_BYTES = 20_000
+DICTIONARY_ROWS = 1200
+CALIBRATION_ROWS = 2500
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
 KEEP_FROM = 0.7
@@ -79,49 +79,38 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-def logistic_fit(features: np.ndarray, labels: np.ndarray, pull: float = 1e-3, steps: int = 60) -> np.ndarray:
-    """Weights and, last, the intercept of a logistic regression, by Newton steps with a slight pull to 0."""
+def logistic_fit(features: np.ndarray, labels: np.ndarray, share: np.ndarray, pull: float = 1e-3, steps: int = 60) -> np.ndarray:
+    """Weights and, last, the intercept of a logistic regression of rows that count ``share`` times, by Newton steps
+    with a slight pull to 0."""
     design = np.c_[features, np.ones(len(features))]
     weights = np.zeros(design.shape[1])
     for _ in range(steps):
         p = _logistic(design @ weights)
-        hessian = (design * (p * (1 - p))[:, None]).T @ design + pull * np.eye(len(weights))
-        step = np.linalg.solve(hessian, design.T @ (p - labels) + pull * weights)
+        hessian = (design * (share * p * (1 - p))[:, None]).T @ design + pull * np.eye(len(weights))
+        step = np.linalg.solve(hessian, design.T @ (share * (p - labels)) + pull * weights)
         weights -= np.clip(step, -3, 3)
         if np.abs(step).max() < 1e-9:
             break
     return weights
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, fit_bytes: int = FIT_BYTES) -> list[tuple[bytes, int]]:
-    """Texts and labels of up to ``rows`` labelled documents of each label 0 and 1, in the order of a hash of the id.
-
-    The ids are chosen from the labels alone; only their texts of up to ``fit_bytes`` bytes reach the driver.
-    """
-    known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col(label).cast("int").alias("label")).dropna().distinct()
-    mixed = F.xxhash64(F.col("id"), F.lit(label))
-    chosen = [known.filter(F.col("label") == v).orderBy(mixed, "id").limit(rows) for v in (0, 1)]
-    ids = chosen[0].union(chosen[1])
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("binary").alias("text"))
-    texts = texts.filter(F.length("text") <= fit_bytes)
-    found = texts.join(F.broadcast(ids), "id").dropDuplicates(["id"]).orderBy(mixed, "id").limit(2 * rows)
-    return [(bytes(r["text"]), r["label"]) for r in found.select("text", "label").collect()]
-
-
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality") -> QualityModel:
     """A model of ``label`` from the documents that ``labels`` (``doc_id`` and the label) marks 0 or 1."""
     sample = labelled_sample(docs, labels, label, DICTIONARY_ROWS + CALIBRATION_ROWS)
-    good, bad = ([t for t, y in sample if y == v] for v in (1, 0))
+    both = list(zip(sample.texts, sample.labels, strict=True))
+    good, bad = ([t for t, y in both if y == v] for v in (1, 0))
     if not bad or not good:
         return QualityModel(b"", b"", constant=0.0 if bad else 1.0)
     in_good, in_bad = (min(DICTIONARY_ROWS, (len(x) + 1) // 2) for x in (good, bad))
     model = QualityModel(_trained(good[:in_good]), _trained(bad[:in_bad]))
     rest = [(t, 1.0) for t in good[in_good:]] + [(t, 0.0) for t in bad[in_bad:]]
     if len({y for _, y in rest}) < 2:
-        rest = [(t, float(y)) for t, y in sample]
-    features, known = model.features(t for t, _ in rest), np.array([y for _, y in rest])
+        rest = [(t, float(y)) for t, y in both]
+    features, marks = model.features(t for t, _ in rest), np.array([y for _, y in rest])
     center, scale = features.mean(0), features.std(0) + 1e-9
-    weights = logistic_fit((features - center) / scale, known)
+    # the sample has as many rows of each label as it can; the scores are to hold for the labels as common as they are
+    common = np.where(marks == 1, sample.known[1] / max(marks.sum(), 1), sample.known[0] / max((1 - marks).sum(), 1))
+    weights = logistic_fit((features - center) / scale, marks, common / common.mean())
     return replace(model, center=tuple(center), scale=tuple(scale), weights=tuple(weights))
 
 

@@ -5,24 +5,51 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgauge.llm.common import WORD, id_remainder, table
 from vitalgauge.llm.exact_dedup import DigestIndex
+from vitalgauge.llm.language import fit_language, predicted_languages
 from vitalgauge.llm.mixing import MOST_COPIES, SEED, SLICE_DIGITS, UNIT, mixed_copies
 from vitalgauge.llm.packing import packed_pieces
 from vitalgauge.llm.quality import fit_quality, predicted, quality_scores
 from vitalgauge.llm.simhash import near_duplicate_groups
+from vitalgauge.llm.token_prefixes import LIMIT, prefix_tables
+from vitalgauge.llm.toxicity import fit_toxicity, toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _held_out() -> Column:
+    return id_remainder(F.col("doc_id"), 4) == 2
+
+
+def _learned_from(rows: DataFrame) -> DataFrame:
+    return rows.filter(~_held_out())
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity_scores(docs, fit_toxicity(docs, _learned_from(labels)))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = prefix_tables(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > LIMIT).alias("over_limit"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_duplicate_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    predicted = predicted_languages(docs, fit_language(_learned_from(docs)))
+    return predicted.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     decided = DigestIndex.open(spark).add(table(spark, sf_dir, "documents"))
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -30,8 +57,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    model = fit_quality(docs, labels.filter(id_remainder(F.col("doc_id"), 4) != 2))
-    scores = quality_scores(docs, model).withColumn("held_out", id_remainder(F.col("doc_id"), 4) == 2)
+    scores = quality_scores(docs, fit_quality(docs, _learned_from(labels))).withColumn("held_out", _held_out())
     return scores.select("doc_id", "held_out", "score", predicted(F.col("score")).alias("predicted"))
 
 
@@ -50,7 +76,10 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
+        op1_toxicity,
+        op3_token_counts,
         op4_simhash_near_dedup,
+        op5_language,
         op7_exact_dedup,
         op8_compression_quality,
         op9_mix_sources,
