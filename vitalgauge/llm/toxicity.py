@@ -1,14 +1,14 @@
 """Toxicity: severity grades by cumulative-link ordinal regression on sparse text features.
 
-A document's grade is 0 (none) to ``len(GRADE_SHARES) + 1``. The chance that it is at most k is logistic(cut_k - w * x): one
+A document's grade is 0 (none) to ``len(GRADE_WORDS) + 1``. The chance that it is at most k is logistic(cut_k - w * x): one
 weight vector for all grades, and ordered cuts. The expected severity is the sum of the chances to be above each k.
 
 Features: words, and word beginnings of 4 to 6 letters (so that unseen endings of a known stem count), in A-Z lower
 case; x is log(1 + occurrences). Of all features the ``FEATURES`` are used that tell toxic texts best by their
 log-likelihood ratio; so most words of a text have no feature at all.
 
-Labels tell only whether a text is toxic. Their grades: a toxic text's evidence is the share of its words with a used
-feature; the grades from 1 on are cut at ``GRADE_SHARES``.
+Labels tell only whether a text is toxic. Their grades: a toxic text's evidence is the number of its words that have a used
+feature; the grades from 1 on are cut at ``GRADE_WORDS``.
 
 Fitting reads a bounded sample of labelled rows (``FIT_ROWS`` of each label); scoring reads each text whole, in one pass
 without a shuffle. Defined cases: a null or empty text has no feature; without labels of both kinds every severity is 0;
@@ -34,16 +34,17 @@ from vitalgauge.llm.samples import labelled_sample
 FIT_ROWS = 3000
 FEATURES = 1000
 STEMS = (4, 5, 6)
-#: A feature is used from this many toxic texts of the sample on.
+#: A feature is used from this many toxic texts of the sample on, and this share of them.
 LEAST_TEXTS = 3
-#: Share of evident words from which a toxic text has grade 2, and grade 3.
-GRADE_SHARES = (0.01, 0.02)
+LEAST_SHARE = 0.01
+#: Evident words from which a toxic text has grade 2, and grade 3.
+GRADE_WORDS = (4, 16)
 #: A feature's share of the toxic texts is at least this part of its shares of toxic and of clean texts.
 EVIDENT = 0.9
 #: Least log-likelihood ratio of a feature.
 LEAST_RATIO = 5.0
-TOXIC_FROM = 0.5
-PULL = 1e-3
+TOXIC_FROM = 0.2
+PULL = 0.5
 #: Words a worker remembers the features of.
 KEPT = 300_000
 _EDGE = b" \t\n\r\x0b\x0c.,;:!?\"'()[]{}<>|*#$%&-_/\\"
@@ -117,7 +118,7 @@ def select_features(texts: list[bytes], toxic: list[int]) -> list[str]:
     told = {}
     for f, a in found[1].items():
         share, other = a / n[1], found[0][f] / n[0]
-        if a >= LEAST_TEXTS and share / (share + other) >= EVIDENT:
+        if a >= LEAST_TEXTS and share >= LEAST_SHARE and share / (share + other) >= EVIDENT:
             told[f] = _ratio(a, found[0][f], n[1], n[0])
     return sorted((f for f in told if told[f] >= LEAST_RATIO), key=lambda f: (-told[f], f))[:FEATURES]
 
@@ -126,56 +127,83 @@ def severity_grades(texts: list[bytes], toxic: list[int], used: set[str]) -> np.
     grades = np.zeros(len(texts), int)
     for i, (text, y) in enumerate(zip(texts, toxic, strict=True)):
         if y:
-            found = tokens(text)
-            share = sum(any(f in used for f in word_features(w)) for w in found) / max(len(found), 1)
-            grades[i] = 1 + sum(share >= s for s in GRADE_SHARES)
+            evident = sum(any(f in used for f in word_features(w)) for w in tokens(text))
+            grades[i] = 1 + sum(evident >= n for n in GRADE_WORDS)
     return grades
 
 
-def ordinal_fit(x: np.ndarray, grades: np.ndarray, share: np.ndarray, levels: int, steps: int = 500) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and cuts that maximise the likelihood of the grades, with a slight pull of the weights to 0.
+def ordinal_fit(x: np.ndarray, grades: np.ndarray, share: np.ndarray, levels: int, steps: int = 100) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and ascending cuts that maximise the likelihood of the grades, with a pull of the weights to 0.
 
-    Cuts are the first one plus the exponentials of their steps, so they stay in order. Gradient steps with momentum,
-    each parameter scaled by its past gradients.
+    Fisher scoring: each step solves with the expected curvature, and is halved until it makes the fit better and leaves the
+    cuts in order. A row's chance of grade c is F(c) - F(c - 1), where
+    F(k) = logistic(cut_k - w * x) and F is 0 before the first and 1 after the last cut. Rows count ``share`` times.
     """
-    n, share = x.shape[1], share / share.sum()
-    parameters = np.concatenate([np.zeros(n), [1.0], np.zeros(levels - 2)])
-    first, second = np.zeros_like(parameters), np.zeros_like(parameters)
-    for step in range(1, steps + 1):
-        weights, gaps = parameters[:n], np.exp(np.clip(parameters[n + 1 :], -8, 4))
-        cuts = parameters[n] + np.concatenate([[0.0], np.cumsum(gaps)])
-        at_most = _logistic(cuts[None, :] - (x @ weights)[:, None])
-        edges = np.c_[np.zeros(len(x)), at_most, np.ones(len(x))]
+    n, features = x.shape
+    weights, rows = np.zeros(features), np.arange(n)
+    present = np.cumsum([(share * (grades == k)).sum() + 0.5 for k in range(levels)])
+    cuts = np.log(present[:-1] / (present[-1] - present[:-1]))
+
+    def fit(weights: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, float]:
+        edges = np.c_[np.zeros(n), _logistic(cuts[None, :] - (x @ weights)[:, None]), np.ones(n)]
+        chance = np.maximum(edges[rows, grades + 1] - edges[rows, grades], 1e-300)
+        return edges, float(share @ np.log(chance) - PULL / 2 * weights @ weights)
+
+    edges, best = fit(weights, cuts)
+    for _ in range(steps):
         slopes = edges * (1 - edges)
-        rows = np.arange(len(x))
-        chance = np.maximum(edges[rows, grades + 1] - edges[rows, grades], 1e-12)
-        upper, lower = share * slopes[rows, grades + 1] / chance, share * slopes[rows, grades] / chance
-        by_cut = np.zeros(levels - 1)
-        np.add.at(by_cut, np.minimum(grades, levels - 2), np.where(grades < levels - 1, -upper, 0))
-        np.add.at(by_cut, np.maximum(grades - 1, 0), np.where(grades > 0, lower, 0))
-        later = np.cumsum(by_cut[::-1])[::-1]
-        gradient = np.concatenate([x.T @ (upper - lower) + PULL / n * weights, [later[0]], later[1:] * gaps])
-        first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
-        parameters -= 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    gaps = np.exp(np.clip(parameters[n + 1 :], -8, 4))
-    return parameters[:n], parameters[n] + np.concatenate([[0.0], np.cumsum(gaps)])
+        chances, bends = np.maximum(np.diff(edges), 1e-12), np.diff(slopes)
+        # how log-likelihood and its curvature change with w * x and with each cut
+        by_score = -bends[rows, grades] / chances[rows, grades]
+        by_cut = np.zeros((n, levels + 1))
+        by_cut[rows, grades + 1] += slopes[rows, grades + 1] / chances[rows, grades]
+        by_cut[rows, grades] -= slopes[rows, grades] / chances[rows, grades]
+        gradient = np.r_[x.T @ (share * by_score) - PULL * weights, (share[:, None] * by_cut).sum(0)[1:-1]]
+        curve = np.zeros((features + levels - 1,) * 2)
+        curve[:features, :features] = x.T @ ((share * (bends**2 / chances).sum(1))[:, None] * x) + PULL * np.eye(features)
+        for k in range(1, levels):
+            s = slopes[:, k]
+            mixed = -s * (bends[:, k - 1] / chances[:, k - 1] - bends[:, k] / chances[:, k])
+            curve[:features, features + k - 1] = curve[features + k - 1, :features] = x.T @ (share * mixed)
+            curve[features + k - 1, features + k - 1] = (share * s * s * (1 / chances[:, k - 1] + 1 / chances[:, k])).sum() + 1e-6
+            if k + 1 < levels:
+                both = -(share * s * slopes[:, k + 1] / chances[:, k]).sum()
+                curve[features + k - 1, features + k] = curve[features + k, features + k - 1] = both
+        step = np.linalg.solve(curve, gradient)
+        before = best
+        for _ in range(40):
+            tried = weights + step[:features], cuts + step[features:]
+            if (np.diff(tried[1]) > 1e-3).all() and (found := fit(*tried))[1] > best:
+                (weights, cuts), (edges, best) = tried, found
+                break
+            step = step / 2
+        if best - before < 1e-7 * abs(before):
+            break
+    return weights, cuts
+
+
+def _unlike(texts: list[bytes], labels: list[int]) -> tuple[list[bytes], list[int]]:
+    """One text, of each label, of those that begin with the same words, as copies would make their words look telling."""
+    first = {(y, b" ".join(tokens(t)[:8])): t for t, y in zip(texts, labels, strict=True)}
+    return list(first.values()), [y for y, _ in first]
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> ToxicityModel:
     """A model from the documents that ``labels`` (``doc_id`` and the label) marks 0 or 1."""
-    sample, levels = labelled_sample(docs, labels, label, FIT_ROWS), len(GRADE_SHARES) + 2
+    sample, levels = labelled_sample(docs, labels, label, FIT_ROWS), len(GRADE_WORDS) + 2
     if len(set(sample.labels)) < 2:
         return ToxicityModel({}, np.zeros(0), np.full(levels - 1, 500.0))
-    used = select_features(sample.texts, sample.labels)
-    grades = severity_grades(sample.texts, sample.labels, set(used))
+    texts, labels = _unlike(sample.texts, sample.labels)
+    used = select_features(texts, labels)
+    grades = severity_grades(texts, labels, set(used))
     blank = ToxicityModel({f: i for i, f in enumerate(used)}, np.zeros(len(used)), np.zeros(levels - 1))
     x = np.zeros((len(grades), len(used)))
-    for row, text in zip(x, sample.texts, strict=True):
+    for row, text in zip(x, texts, strict=True):
         for i, n in blank.counts(text).items():
             row[i] = math.log1p(n)
-    toxic = np.array(sample.labels)
+    toxic = np.array(labels)
     common = np.where(toxic == 1, sample.known[1] / toxic.sum(), sample.known[0] / (1 - toxic).sum())
-    weights, cuts = ordinal_fit(x, grades, common, levels)
+    weights, cuts = ordinal_fit(x, grades, common / common.mean(), levels)
     return ToxicityModel(blank.numbers, weights, cuts)
 
 
