@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from vitalgauge.llm.common import WORD, id_remainder, table
 from vitalgauge.llm.exact_dedup import DigestIndex
+from vitalgauge.llm.kneser_ney import fit_kneser_ney, model_scores
 from vitalgauge.llm.language import fit_language, predicted_languages
 from vitalgauge.llm.mixing import MOST_COPIES, SEED, SLICE_DIGITS, UNIT, mixed_copies
 from vitalgauge.llm.packing import packed_pieces
@@ -50,6 +51,13 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), id_remainder(F.col("doc_id"), 7) == 2
+    model = fit_kneser_ney(docs.filter(~held_out))
+    scores = model_scores(docs, model).withColumn("held_out", held_out).withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+    return scores.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     decided = DigestIndex.open(spark).add(table(spark, sf_dir, "documents"))
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -80,6 +88,7 @@ QUERIES: dict[str, Query] = {
         op3_token_counts,
         op4_simhash_near_dedup,
         op5_language,
+        op6_kneser_ney,
         op7_exact_dedup,
         op8_compression_quality,
         op9_mix_sources,
