@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitalgauge.llm.ann import nearest_neighbours
 from vitalgauge.llm.common import WORD, id_remainder, table
 from vitalgauge.llm.exact_dedup import DigestIndex
 from vitalgauge.llm.kneser_ney import fit_kneser_ney, model_scores
@@ -35,6 +36,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(docs, fit_toxicity(docs, _learned_from(labels)))
 
 
+def op2_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest_neighbours(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = prefix_tables(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > LIMIT).alias("over_limit"))
@@ -85,6 +91,7 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_toxicity,
+        op2_posting_lists,
         op3_token_counts,
         op4_simhash_near_dedup,
         op5_language,
