@@ -68,7 +68,9 @@ class Places:
 
     @functools.cached_property
     def _parts(self) -> tuple[np.ndarray, np.ndarray]:
-        return np.divmod(np.array(self.totals, np.int64), self.windows)
+        kind = np.int64 if self.windows < 1 << 31 else object  # products of two such numbers must fit
+        totals = np.array(self.totals, kind)
+        return totals // self.windows, totals % self.windows
 
     def given(self, w: int) -> np.ndarray:
         """Tokens each queue has given before window ``w``."""
