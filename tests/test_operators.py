@@ -150,8 +150,8 @@ def test_distinct_apps_over_several_plans(spark, used, owned):
     from vitalgauge.plans import adoption
 
     month = dt.date(2001, 7, 1)
-    rows = spark.createDataFrame([(s, month, str(p), 2001, 7) for s, p in used], "solution_uid int, date date, plan_token string, year int, month_calendar int")
-    apps = spark.createDataFrame([(str(p), 2001, 7, c, u) for c, u, p in owned], "plan_token string, year int, month_calendar int, container_uid int, owner_user_uid int")
+    rows = spark.createDataFrame([(s, month, str(p), 2001, 7) for s, p in used], "solution_uid int, date date, plan_key string, year int, month_calendar int")
+    apps = spark.createDataFrame([(str(p), 2001, 7, c, u) for c, u, p in owned], "plan_key string, year int, month_calendar int, container_uid int, owner_user_uid int")
     counts = joins.workapp_month_counts(apps)
     activity = adoption.with_solution_key(rows).join(counts, adoption.PLAN_MONTH, "left").fillna(0)
     out = {r["solution_key"]: (r["work_app_count"], r["external_views_with_work_app"]) for r in adoption.solution_month_apps(activity, apps).collect()}
@@ -160,3 +160,58 @@ def test_distinct_apps_over_several_plans(spark, used, owned):
         containers = {c for c, _, p in owned if p in mine and c is not None}
         owners = {u for _, u, p in owned if p in mine and u is not None}
         assert out["" if s is None else f"s{s}"] == (len(containers), len(owners))
+
+
+@pytest.mark.parametrize("hot", [2, 5])
+def test_hot_plans_in_common_make_no_pairs(spark, hot):
+    from vitalgauge.plans import adoption
+
+    month, n = dt.date(2001, 7, 1), 400
+    used = [(s, month, f"hot{p}", 2001, 7) for s in range(n) for p in range(hot)] + [(None, month, f"hot{p}", 2001, 7) for p in range(hot)]
+    rows = spark.createDataFrame(used, "solution_uid int, date date, plan_key string, year int, month_calendar int")
+    apps = spark.createDataFrame([(f"hot{p}", 2001, 7, c, c % 50) for c in range(n) for p in range(hot)], "plan_key string, year int, month_calendar int, container_uid int, owner_user_uid int")
+    activity = adoption.with_solution_key(rows).join(joins.workapp_month_counts(apps), adoption.PLAN_MONTH, "left").fillna(0)
+    shared = activity.select(*adoption.SOLUTION_MONTH, *adoption.PLAN_MONTH).distinct()
+    sets = adoption.plan_sets(shared)
+    assert sets.select("set_key").distinct().count() == 1 and sets.count() == n + 1
+    out = {(r["work_app_count"], r["external_views_with_work_app"]) for r in adoption.solution_month_apps(activity, apps).collect()}
+    assert out == {(n, 50)}
+    # the pairs of sets and items that are left: at most the items of each plan but the hottest
+    first = sets.where("set_key = solution_key").select(*adoption.SOLUTION_MONTH)
+    items = adoption.app_items(apps)
+    low = adoption._below_top(
+        shared.join(first, adoption.SOLUTION_MONTH, "left_semi").join(shared.groupBy(*adoption.PLAN_MONTH).agg(F.count("*").alias("heat")), adoption.PLAN_MONTH),
+        adoption.SOLUTION_MONTH, "solution_top",
+    )
+    assert low.join(items, adoption.PLAN_MONTH).count() <= items.count()
+
+
+def test_sets_of_equal_marks_but_other_plans_stay_apart(spark, monkeypatch):
+    from vitalgauge.plans import adoption
+
+    monkeypatch.setattr(F, "xxhash64", lambda *_: F.lit(1).cast("bigint"))
+    month = dt.date(2001, 7, 1)
+    used = [("a", "p"), ("a", "q"), ("b", "p"), ("b", "r"), ("c", "q"), ("c", "p")]
+    shared = spark.createDataFrame([(s, month, p, 2001, 7) for s, p in used], "solution_key string, date date, plan_key string, year int, month_calendar int")
+    assert {r["solution_key"]: r["set_key"] for r in adoption.plan_sets(shared).collect()} == {"a": "a", "b": "b", "c": "a"}
+
+
+def test_plan_ids_of_two_regions_stay_apart(spark):
+    day = dt.date(2001, 7, 5)
+    apps = [(1, "plan.com-us.5"), (2, "plan.com-eu.5"), (3, "a.b"), (4, ""), (5, None), (6, "x.y.z.5")]
+    table = spark.createDataFrame([(c, day, None, plan, c, "Active") for c, plan in apps], "container_uid int, effective_from date, effective_to date, owner_plan_uid string, owner_user_uid int, status string")
+    plans = ["plan.com-us.5", "plan.com-eu.5", "5", "a.b", "c.d", "", None]
+    rows = spark.createDataFrame([(p, 2001, 7) for p in plans], "plan_uid string, year int, month_calendar int")
+    got = {r["plan_uid"]: r["containers"] for r in joins.with_workapp_months(rows, joins.workapp_months(table)).collect()}
+    assert got == {"plan.com-us.5": 1, "plan.com-eu.5": 1, "5": 2, "a.b": 1, "c.d": 0, "": 0, None: 0}
+
+
+def test_equal_ratios_are_equal_however_many_rows(spark):
+    from vitalgauge.plans import adoption
+    from vitalgauge.plans.kpis import Kpi
+
+    sums = spark.range(2000).selectExpr(
+        "3D AS once_a", "7D AS once_b", "3D * (100000007D + id * 7919) AS a", "7D * (100000007D + id * 7919) AS b"
+    )
+    kpi = Kpi("ratio", "a", "b")
+    assert sums.select(adoption.kpi_value(kpi, sums.columns).alias("v")).distinct().count() == 1

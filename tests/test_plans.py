@@ -142,3 +142,24 @@ def test_shared_results_can_be_cleared(spark):
     folder = Path(spark.conf.get("spark.checkpoint.dir")) / spark.sparkContext.applicationId
     assert not folder.exists()
     assert shared.share(spark.range(2).toDF("id"), "again").count() == 2
+
+
+def scans(df, table):
+    """The lines of a plan that scan one stored table."""
+    return [line for line in physical(df).splitlines() if "PushedFilters" in line and f"/{table}.parquet" in line]
+
+
+def test_grid_reads_the_last_months_only(stored):
+    rows = work_grid.account_work_types(stored, FIXTURE_PARAMS)
+    facts = [line for line in scans(rows, "plan_daily") + scans(rows, "solution_plan_monthly") if "licensed" in line or "days_edit" in line]
+    assert len(facts) == 2 and all("GreaterThanOrEqual(date,1999-08-01)" in line for line in facts)
+    objects = scans(work_grid.object_data(stored, FIXTURE_PARAMS), "solution_plan_monthly")
+    assert objects and all("GreaterThanOrEqual(date,1999-08-01)" in line for line in objects)
+    types = scans(work_grid.known_work_types(stored, FIXTURE_PARAMS), "solution_plan_monthly")
+    assert types and all("days_edit" not in line and "premium_apps" not in line for line in types)
+    assert "SinglePartition" not in physical(work_grid.work_type_monthly_grid(stored, FIXTURE_PARAMS))
+
+
+def test_work_apps_are_pruned_by_date(stored):
+    (scan,) = scans(adoption.recent_apps(stored, FIXTURE_PARAMS), "workapp_interval")
+    assert "GreaterThanOrEqual(effective_from,1999-08-01)" in scan

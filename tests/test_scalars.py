@@ -50,13 +50,23 @@ def test_dates(spark):
 
 
 @pytest.mark.parametrize(
-    ("value", "third", "token"),
-    [("plan.com-us.42", "42", "42"), ("42", "", "42"), ("a.b", "", ""), (None, None, None)],
+    ("value", "third", "key", "keys"),
+    [
+        ("plan.com-us.42", "42", "plan.com-us.42", ["plan.com-us.42", "42"]),
+        ("plan.com-eu.42", "42", "plan.com-eu.42", ["plan.com-eu.42", "42"]),
+        ("42", "", "42", ["42"]),
+        ("a.b", "", "a.b", ["a.b"]),
+        ("a.b.", "", "a.b.", ["a.b."]),
+        ("a.b.c.d", "c", "a.b.c.d", ["a.b.c.d"]),
+        ("", "", None, []),
+        (None, None, None, []),
+    ],
 )
-def test_plan_ids(spark, value, third, token):
+def test_plan_ids(spark, value, third, key, keys):
     text = F.lit(value).cast("string")
     assert one(spark, X.third_token(text)) == third
-    assert one(spark, X.plan_token(text)) == token
+    assert one(spark, X.plan_key(text)) == key
+    assert one(spark, X.plan_keys(text)) == keys
 
 
 @pytest.mark.parametrize(("value", "short"), [("plan.com-us.7", "7"), ("plan.com-eu.7", "7"), ("7", "7"), (None, None)])

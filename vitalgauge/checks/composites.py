@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from vitalgauge.checks.registry import check
 from vitalgauge.functions import SCORE_BANDS
+from vitalgauge.operators import filters
+from vitalgauge.operators.aggregates import accounts_over_n_solutions, snapshot_solutions
 from vitalgauge.operators.objects import OBJECT_KINDS, map_as_text
 from vitalgauge.params import Params
 from vitalgauge.plans import adoption, snapshot, work_grid
@@ -190,7 +192,7 @@ def account_month_metrics(t: Tables, p: Params) -> DataFrame:
 def solution_metrics(t: Tables, p: Params) -> DataFrame:
     activity = share(adoption.solution_activity(t, p, _FLAGSHIP), "solution-metrics")
     names = activity.select("solution_key", "solution_uid").distinct()
-    return adoption.solution_metrics(activity, t, _FLAGSHIP).join(names, "solution_key").drop("solution_key")
+    return adoption.solution_metrics(activity, t, p, _FLAGSHIP).join(names, "solution_key").drop("solution_key")
 
 
 # --- one-month snapshot ---------------------------------------------------------------------------
@@ -271,14 +273,34 @@ def account_month_snapshot_interval(t: Tables, p: Params) -> DataFrame:
 # --- names of single operators that only occur inside a plan ---------------------------------------
 
 
-@check("one_pass_account_month", _snapshot_oracle("interval"))
+_ONE_PASS = """account_id, month_year, account_name, total_licensed_users, total_active_users, total_workflows,
+    total_solutions_per_account, external_integrations, internal_integrations, solutions_with_hvt,
+    solutions_with_external_users, solutions_created_last_90_days, solutions_automation, unique_solution_owners,
+    unique_hvt_collaborators, unique_external_collaborators, total_complexity_score, work_app_count,
+    external_views_with_work_app"""
+
+
+@check("one_pass_account_month", f"SELECT {_ONE_PASS} FROM ({_snapshot_oracle('container')})")
 def one_pass_account_month(t: Tables, p: Params) -> DataFrame:
-    return snapshot.account_month_snapshot(t, p, "interval")
+    facts = snapshot.snapshot_facts(t, p)
+    in_month = snapshot_solutions(t.solution_monthly, t.plan, t.account, p.snapshot, p.min_account_arr_snapshot)
+    kept = filters.account_in(facts, accounts_over_n_solutions(in_month, p.accounts_over))
+    weighted = snapshot.with_container_apps(kept, t, p).withColumn("power", F.lit(False))
+    rows = snapshot.one_pass_account_month(weighted, citizen_developers=False)
+    return rows.select(*[c.strip() for c in _ONE_PASS.split(",")])
+
 
+_ROLLUP = [k.name for k in EDITIONS["adoption_scorecard_mobile"].kpis]
 
-@check("kpi_rollup", _adoption_oracle(EDITIONS["adoption_kpis_v1"]))
+
+@check(
+    "kpi_rollup",
+    f"SELECT account_id, year_month, {', '.join(_ROLLUP)} FROM ({_adoption_oracle(EDITIONS['adoption_scorecard_mobile'])})",
+)
 def kpi_rollup(t: Tables, p: Params) -> DataFrame:
-    return adoption.adoption_scorecard(t, p, "adoption_kpis_v1")
+    edition = EDITIONS["adoption_scorecard_mobile"]
+    scaled = [(F.col(k.name) * k.scale).alias(k.name) if k.scale != 1 else F.col(k.name) for k in edition.kpis]
+    return adoption.kpi_ratios(t, p, edition).select("account_id", "year_month", *scaled)
 
 
 # --- grid -----------------------------------------------------------------------------------------

@@ -54,7 +54,9 @@ SUBQUERIES: dict[str, str] = {
         SELECT CAST(d AS DATE) AS date, CAST(year(d) AS INT) AS year, CAST(month(d) AS INT) AS month_calendar,
                CAST(day(d) AS INT) AS day_of_month,
                CAST(year(d) + CASE WHEN month(d) >= 2 THEN 1 ELSE 0 END AS INT) AS year_fiscal
-        FROM generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY) g(d)""",
+        FROM (SELECT unnest(generate_series(date_trunc('year', min(o_orderdate)),
+                     date_trunc('year', max(o_orderdate)) + INTERVAL 1 YEAR - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d
+              FROM orders)""",
     "addon_plan": "SELECT CAST(s_nationkey AS BIGINT) AS account_id FROM supplier",
     "workapp_interval": """
         SELECT o_orderkey % 2000 AS container_uid, CAST(o_orderdate AS DATE) AS effective_from,

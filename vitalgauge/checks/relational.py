@@ -12,9 +12,8 @@ from vitalgauge.functions import (
     band_score,
     case_flag,
     coalesce_first,
-    plan_token,
+    plan_key,
     safe_ratio,
-    third_token,
 )
 from vitalgauge.operators import filters, joins
 from vitalgauge.operators.aggregates import owner_solution_counts, snapshot_solutions, weighted_sum
@@ -228,7 +227,11 @@ def solution_plan_month_left(t: Tables, p: Params) -> DataFrame:
 @check(
     "wide_star_join",
     """SELECT s.account_id, s.date, s.solution_uid, s.plan_uid, count(*) AS joined_rows,
-              CAST(sum(s.users_licensed) AS BIGINT) AS users_licensed, CAST(sum(s.workflows) AS BIGINT) AS workflows
+              CAST(sum(s.users_licensed) AS BIGINT) AS users_licensed, CAST(sum(s.workflows) AS BIGINT) AS workflows,
+              max(o.total_solutions_per_owner) AS most_by_owner, max(a.name) AS account_name,
+              max(a.territory_type) AS territory_type, max(json_extract_string(a.company, '$$.industry')) AS industry,
+              max(CASE WHEN addon.account_id IS NULL THEN 0 ELSE 1 END) AS has_addon,
+              max(CASE WHEN m.mobile_sessions > 0 THEN 1 ELSE 0 END) AS has_mobile
        FROM star s
        LEFT JOIN owner_totals o ON s.owner_uid = o.owner_uid
        LEFT JOIN hvt_rows h ON s.solution_uid = h.solution_uid AND s.account_id = h.account_id
@@ -245,15 +248,23 @@ def wide_star_join(t: Tables, p: Params) -> DataFrame:
     plans, rich = adoption.account_plans(t, p)
     weights = joins.hvt_weights(adoption.hvt_rows(usable_solutions(t, p), filters.account_in(plans, rich)))
     total = joins.weight_of("weight", "hvt_weight")
-    return (
+    owners = owner_solution_counts(usable_solutions(t, p)).dropna(subset=["owner_uid"])
+    mobile = joins.presence(adoption.edition_users(t, edition).where("is_mobile"), "plan_uid", "has_mobile")
+    addon = joins.presence(t.addon_plan, "account_id", "has_addon")
+    grouped = (
         joins.with_weight(rows, weights, ["account_id", "solution_key"], "hvt_weight")
+        .join(owners, "owner_uid", "left")
         .groupBy("account_id", "date", "solution_uid", "plan_uid")
         .agg(
             F.sum(total).alias("joined_rows"),
             weighted_sum("users_licensed", total).alias("users_licensed"),
             weighted_sum("workflows", total).alias("workflows"),
+            F.max("total_solutions_per_owner").alias("most_by_owner"),
         )
     )
+    profile = adoption.account_profile(t.account).select("account_id", "account_name", "territory_type", "industry")
+    with_flags = joins.with_presence(grouped.join(profile, "account_id", "left"), addon, "account_id", "has_addon")
+    return joins.with_presence(with_flags, mobile, "plan_uid", "has_mobile")
 
 
 @check(
@@ -303,10 +314,9 @@ def workapp_month_join(t: Tables, p: Params) -> DataFrame:
 )
 def workapp_interval_join(t: Tables, p: Params) -> DataFrame:
     rows = usable_solutions(t, p).groupBy("plan_uid", "date").agg(F.count("*").alias("rows"))
-    rows = rows.withColumn("plan_token", plan_token("plan_uid"))
-    intervals = t.workapp_interval.withColumn("plan_token", third_token("owner_plan_uid"))
-    counts = joins.interval_match_counts(rows, intervals, "plan_token", "matches")
-    return rows.join(counts, ["plan_token", "date"]).select(
+    rows = rows.withColumn("plan_key", plan_key("plan_uid"))
+    counts = joins.interval_match_counts(rows, joins.by_plan_key(t.workapp_interval), "plan_key", "matches")
+    return rows.join(counts, ["plan_key", "date"]).select(
         "plan_uid", "date",
         (F.col("rows") * F.greatest("matches", F.lit(1))).alias("joined_rows"),
         (F.col("rows") * F.col("matches")).alias("matches"),

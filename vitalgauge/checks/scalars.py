@@ -172,12 +172,12 @@ def strip_id_prefix(t: Tables, p: Params) -> DataFrame:
 
 @check(
     "normalize_department",
-    "SELECT s_suppkey, replace(s_name || ' team a', ' ', '_') AS department FROM supplier",
+    """SELECT solution_uid, date, owner_uid, replace(department || ' team ' || workflows, ' ', '_') AS department
+       FROM solution_monthly""",
 )
 def normalize_department(t: Tables, p: Params) -> DataFrame:
-    return t.supplier.select(
-        "s_suppkey", X.normalize_department(F.concat("s_name", F.lit(" team a"))).alias("department")
-    )
+    spaced = F.concat("department", F.lit(" team "), F.col("workflows").cast("string"))
+    return t.solution_monthly.select("solution_uid", "date", "owner_uid", X.normalize_department(spaced).alias("department"))
 
 
 @check(

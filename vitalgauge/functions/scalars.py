@@ -53,10 +53,19 @@ def third_token(identifier: ColumnLike) -> Column:
     return F.split_part(_col(identifier), F.lit("."), F.lit(3))
 
 
-def plan_token(plan_uid: ColumnLike) -> Column:
-    """Plan id without its region prefix, as text: comparable with :func:`third_token`."""
+def plan_key(plan_uid: ColumnLike) -> Column:
+    """Plan id as text, with its region prefix if it has one; NULL for an empty id."""
     text = _col(plan_uid).cast("string")
-    return F.when(F.contains(text, F.lit(".")), third_token(text)).otherwise(text)
+    return F.when(text != "", text)
+
+
+def plan_keys(owner_plan_uid: ColumnLike) -> Column:
+    """All :func:`plan_key` values that an owner's plan id answers to, as an array: the id itself, and the number
+    alone where the id is a region prefix and a number, as plans without a prefix have it. Ids of two regions
+    with one number therefore never match each other, and an id of another form matches only itself."""
+    text = _col(owner_plan_uid).cast("string")
+    bare = F.when(F.regexp_like(text, F.lit(r"^[^.]+\.[^.]+\.[^.]+$")), third_token(text))
+    return F.array_compact(F.array(plan_key(text), bare))
 
 
 def strip_id_prefix(identifier: ColumnLike) -> Column:

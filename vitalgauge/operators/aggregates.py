@@ -76,6 +76,11 @@ def account_month_rollup(paying: DataFrame) -> DataFrame:
     )
 
 
+def rich_names(account: DataFrame, min_arr: float) -> DataFrame:
+    """Account ids and names with at least ``min_arr``, each pair once."""
+    return account.where(F.col("arr") >= F.lit(min_arr)).select("account_id", "name").distinct()
+
+
 def plan_to_account_rollup(plan_monthly: DataFrame, account_months: DataFrame, min_arr: float) -> DataFrame:
     """Monthly plan measures per work type, account, name and date, with the account's plan facts.
 

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalgauge.functions import months_before, plan_token, third_token
+from vitalgauge.functions import months_before, plan_key, plan_keys
 from vitalgauge.operators.filters import active_workapps, mobile_device
 
 
@@ -83,10 +83,19 @@ def hvt_weights(counts: DataFrame, solution: str = "solution_key") -> DataFrame:
 # --- work apps ------------------------------------------------------------------------------------
 
 
-def workapp_months(workapps: DataFrame) -> DataFrame:
-    """Active work apps with the plan token and the year and month they took effect in."""
-    return active_workapps(workapps).select(
-        third_token("owner_plan_uid").alias("plan_token"),
+def by_plan_key(workapps: DataFrame) -> DataFrame:
+    """Work apps with ``plan_key``: a row for each key that the owner's plan id answers to (two at most)."""
+    return workapps.withColumn("plan_key", F.explode(plan_keys("owner_plan_uid")))
+
+
+def workapp_months(workapps: DataFrame, since: dt.date | Column | None = None) -> DataFrame:
+    """Active work apps by plan key, with the year and month they took effect in; ``since`` drops those of
+    earlier months in the scan."""
+    active = active_workapps(workapps)
+    if since is not None:
+        active = active.where(F.col("effective_from") >= F.trunc(F.lit(since), "month"))
+    return by_plan_key(active).select(
+        "plan_key",
         F.year("effective_from").alias("year"),
         F.month("effective_from").alias("month_calendar"),
         "container_uid",
@@ -96,7 +105,7 @@ def workapp_months(workapps: DataFrame) -> DataFrame:
 
 def workapp_month_counts(apps: DataFrame) -> DataFrame:
     """Per plan and month: rows, distinct containers and distinct owners of the work apps."""
-    return apps.groupBy("plan_token", "year", "month_calendar").agg(
+    return apps.groupBy("plan_key", "year", "month_calendar").agg(
         F.count("*").alias("app_weight"),
         F.count_distinct("container_uid").alias("containers"),
         F.count_distinct("owner_user_uid").alias("app_owners"),
@@ -105,8 +114,8 @@ def workapp_month_counts(apps: DataFrame) -> DataFrame:
 
 def with_workapp_months(rows: DataFrame, apps: DataFrame) -> DataFrame:
     """Left join on plan, year and month, as match counts."""
-    keyed = rows.withColumn("plan_token", plan_token("plan_uid"))
-    counted = with_weight(keyed, workapp_month_counts(apps), ["plan_token", "year", "month_calendar"], "app_weight")
+    keyed = rows.withColumn("plan_key", plan_key("plan_uid"))
+    counted = with_weight(keyed, workapp_month_counts(apps), ["plan_key", "year", "month_calendar"], "app_weight")
     return counted.withColumns(
         {c: F.coalesce(F.col(c), F.lit(0)) for c in ("containers", "app_owners")}
     )
@@ -196,13 +205,18 @@ def account_users(user_plan: DataFrame, plan: DataFrame, sessions: DataFrame) ->
 
 
 def work_type_grid(names: DataFrame, categories: DataFrame, column: str = "work_type") -> DataFrame:
-    """Every row of ``names`` once per distinct category.
+    """Every row of ``names`` once per distinct category: the dense grid is what this operator is for.
 
-    The distinct categories of a label column are few; they reach the rows as one array value and
-    are exploded there, so no join is needed.
+    The categories stay a DataFrame. They are copied to a fixed number of slices, over which the rows of ``names``
+    are spread, so the product is an equi-join that runs in many tasks.
     """
-    found = categories.agg(F.array_sort(F.collect_set(column)).alias("found")).scalar()
-    return names.withColumn(column, F.explode(found))
+    slices = F.explode(F.sequence(F.lit(0), F.lit(_GRID_SLICES - 1)))
+    copies = categories.select(column).where(F.col(column).isNotNull()).distinct().withColumn("slice", slices)
+    spread = names.withColumn("slice", F.pmod(F.xxhash64(*names.columns), F.lit(_GRID_SLICES)).cast("int"))
+    return spread.join(copies, "slice").drop("slice")
+
+
+_GRID_SLICES = 256
 
 
 def fill_grid(grid: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -17,15 +17,17 @@ group's sum as ``count x joined rows``, so no joined row and no per-row count is
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalgauge.functions import array_not_empty, days_before, json_path, safe_ratio, sum_columns
+from vitalgauge.functions import array_not_empty, days_before, json_path, months_before, safe_ratio, sum_columns
 from vitalgauge.operators import filters, joins
 from vitalgauge.operators.aggregates import account_arr_having, owner_solution_counts, weighted_sum
 from vitalgauge.operators.ranks import with_ranks_and_scores
 from vitalgauge.params import Params
-from vitalgauge.plans.kpis import EDITIONS, Edition
+from vitalgauge.plans.kpis import EDITIONS, Edition, Kpi
 from vitalgauge.sources.shared import share
 from vitalgauge.tables import Tables
 
@@ -77,7 +79,7 @@ def weighted_plan_months(t: Tables, p: Params, edition: Edition) -> DataFrame:
     rows = plan_months(t, p)
     weights = []
     if edition.work_apps:
-        rows = joins.with_workapp_months(rows, joins.workapp_months(t.workapp_interval))
+        rows = joins.with_workapp_months(rows, recent_apps(t, p))
         weights.append("app_weight")
     if edition.mobile:
         users = edition_users(t, edition).groupBy("plan_uid").agg(F.count("*").alias("user_weight"))
@@ -86,6 +88,11 @@ def weighted_plan_months(t: Tables, p: Params, edition: Edition) -> DataFrame:
     return rows.withColumn("weight", joins.weight_of(*weights) if weights else F.lit(1).cast("bigint"))
 
 
+def recent_apps(t: Tables, p: Params) -> DataFrame:
+    """Work apps by plan and month, of the months that plan facts are taken from."""
+    return joins.workapp_months(t.workapp_interval, months_before(p.as_of, p.months_back))
+
+
 def with_solution_key(rows: DataFrame) -> DataFrame:
     """Adds a solution id that is never NULL (empty text where it was): solutions without an id
     are then one group in groupings and in plain equi-joins alike, which share their shuffles."""
@@ -119,7 +126,7 @@ def solution_activity(t: Tables, p: Params, edition: Edition) -> DataFrame:
         else ("users_collab_internal", "users_collab_external")
     )
     apps = (
-        ["plan_token", "year", "month_calendar", "containers", "app_owners"] if edition.work_apps else []
+        ["plan_key", "year", "month_calendar", "containers", "app_owners"] if edition.work_apps else []
     )
     return with_solution_key(rows).select(
         "account_id", "date", "plan_uid", "solution_uid", "solution_key", "owner_uid", "department", "weight",
@@ -138,7 +145,7 @@ def solution_distincts(activity: DataFrame) -> DataFrame:
     )
 
 
-PLAN_MONTH = ["plan_token", "year", "month_calendar"]
+PLAN_MONTH = ["plan_key", "year", "month_calendar"]
 ITEM_MONTH = ["kind", "item", "year", "month_calendar"]
 
 
@@ -152,19 +159,20 @@ def app_items(apps: DataFrame) -> DataFrame:
 
 def _below_top(rows: DataFrame, key: list[str], top: str) -> DataFrame:
     """Rows of keys with several plans, without each key's hottest plan, which is named ``top``."""
-    hottest = F.max(F.struct("heat", "plan_token"))
-    tops = rows.groupBy(*key).agg(hottest["plan_token"].alias(top), F.count("*").alias("plans"))
+    hottest = F.max(F.struct("heat", "plan_key"))
+    tops = rows.groupBy(*key).agg(hottest["plan_key"].alias(top), F.count("*").alias("plans"))
     kept = rows.join(tops.where(F.col("plans") > 1).drop("plans"), key)
-    return kept.where(F.col("plan_token") != F.col(top)).drop("heat")
+    return kept.where(F.col("plan_key") != F.col(top)).drop("heat")
 
 
 def counted_again(shared: DataFrame, items: DataFrame) -> DataFrame:
     """Per solution month: how often apps and owners were counted again for a further plan.
 
-    A solution month and an item with k plans in common were counted k times: k - 1 too often.
+    ``shared`` should have each set of plans once per month (see :func:`plan_sets`). A solution month and an item with k plans in common were counted k times: k - 1 too often.
     Joining them on every common plan would make all pairs within a hot plan. Plans are therefore
-    ordered by how many of the solution months they hold, and the hottest plan of each solution
-    month and of each item is left out of the join, so the hottest plan of all joins nothing. What
+    ordered by how many of the sets they are in, and the hottest plan of each set
+    and of each item is left out of the join, so the hottest plan of all joins nothing, and a further hot plan
+    meets its items once for each distinct set it is in, not for each solution month. What
     a pair still has in common is every common plan but the hottest, and also that one exactly when
     neither side's own hottest plan is common. Two lookups tell which.
     """
@@ -173,9 +181,9 @@ def counted_again(shared: DataFrame, items: DataFrame) -> DataFrame:
     low_items = _below_top(items.join(heat, PLAN_MONTH), ITEM_MONTH, "item_top")
     pair = [*SOLUTION_MONTH, *ITEM_MONTH, "solution_top", "item_top"]
     pairs = low_solutions.join(low_items, PLAN_MONTH).groupBy(*pair).agg(F.count("*").alias("common"))
-    item_has = items.withColumnRenamed("plan_token", "solution_top").withColumn("item_has", F.lit(True))
+    item_has = items.withColumnRenamed("plan_key", "solution_top").withColumn("item_has", F.lit(True))
     solution_has = shared.select(
-        *SOLUTION_MONTH, F.col("plan_token").alias("item_top"), F.lit(True).alias("solution_has")
+        *SOLUTION_MONTH, F.col("plan_key").alias("item_top"), F.lit(True).alias("solution_has")
     )
     looked_up = pairs.join(item_has, [*ITEM_MONTH, "solution_top"], "left").join(
         solution_has, [*SOLUTION_MONTH, "item_top"], "left"
@@ -188,6 +196,31 @@ def counted_again(shared: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def plan_sets(shared: DataFrame) -> DataFrame:
+    """For each solution month, ``set_key``: the least solution of the month that is used by exactly the same plans.
+
+    Sets are first told by their size and two sums of hashes. Each solution month is then compared
+    plan by plan with the least one of equal marks, and stays on its own if they differ after all; so no set is ever
+    gathered in one row, and the join makes no more rows than it reads.
+    """
+    marks = [F.sum(F.xxhash64("plan_key", F.lit(salt)).cast("decimal(38,0)")).alias(f"mark_{salt}") for salt in (0, 1)]
+    marked = shared.groupBy(*SOLUTION_MONTH).agg(F.count("*").alias("plans"), *marks)
+    alike = ["date", "plans", "mark_0", "mark_1"]
+    leads = marked.groupBy(*alike).agg(F.min("solution_key").alias("set_key"))
+    told = marked.join(leads, alike).select(*SOLUTION_MONTH, "plans", "set_key")
+    lead_plans = shared.select(F.col("solution_key").alias("set_key"), "date", "plan_key")
+    equal = (
+        shared.select(*SOLUTION_MONTH, "plan_key")
+        .join(told, SOLUTION_MONTH)
+        .join(lead_plans, ["set_key", "date", "plan_key"], "left_semi")
+        .groupBy(*SOLUTION_MONTH)
+        .agg(F.count("*").alias("in_both"))
+    )
+    same = F.col("in_both") == F.col("plans")
+    checked = told.join(equal, SOLUTION_MONTH, "left")
+    return checked.select(*SOLUTION_MONTH, F.when(same, F.col("set_key")).otherwise(F.col("solution_key")).alias("set_key"))
+
+
 def solution_month_apps(activity: DataFrame, apps: DataFrame) -> DataFrame:
     """Per solution and month: distinct work apps and distinct owners over the plans using it.
 
@@ -202,7 +235,10 @@ def solution_month_apps(activity: DataFrame, apps: DataFrame) -> DataFrame:
     )
     several = summed.where(F.col("plans") > 1).select(*SOLUTION_MONTH)
     shared = per_plan.select(*SOLUTION_MONTH, *PLAN_MONTH).join(several, SOLUTION_MONTH)
-    again = counted_again(shared, app_items(apps))
+    sets = plan_sets(shared)
+    first = sets.where(F.col("set_key") == F.col("solution_key")).select(*SOLUTION_MONTH)
+    per_set = counted_again(shared.join(first, SOLUTION_MONTH, "left_semi"), app_items(apps))
+    again = sets.join(per_set.withColumnRenamed("solution_key", "set_key"), ["set_key", "date"]).drop("set_key")
     return summed.join(again, SOLUTION_MONTH, "left").select(
         *SOLUTION_MONTH,
         (F.col("containers") - F.coalesce("again_apps", F.lit(0))).alias("work_app_count"),
@@ -210,12 +246,12 @@ def solution_month_apps(activity: DataFrame, apps: DataFrame) -> DataFrame:
     )
 
 
-def solution_metrics(activity: DataFrame, t: Tables, edition: Edition) -> DataFrame:
+def solution_metrics(activity: DataFrame, t: Tables, p: Params, edition: Edition) -> DataFrame:
     """Distinct counts per solution, and per solution and month where the edition has work apps."""
     distincts = solution_distincts(activity)
     if not edition.work_apps:
         return distincts
-    apps = solution_month_apps(activity, joins.workapp_months(t.workapp_interval))
+    apps = solution_month_apps(activity, recent_apps(t, p))
     return apps.join(distincts, "solution_key")
 
 
@@ -280,7 +316,7 @@ def account_month_metrics(t: Tables, p: Params, edition: Edition) -> DataFrame:
     cells = joins.with_weight(cells, joins.hvt_weights(hvt), ["account_id", "solution_key"], "hvt_weight")
     # The narrow solution tables are joined with each other first, so the cells are shuffled once
     # for all of them. Every cell has its solution there.
-    per_solution = solution_metrics(activity, t, edition)
+    per_solution = solution_metrics(activity, t, p, edition)
     on = [c for c in per_solution.columns if c in SOLUTION_MONTH]
     metrics = [c for c in per_solution.columns if c not in SOLUTION_MONTH]
     cells = cells.join(per_solution, on)
@@ -307,7 +343,9 @@ def account_month_metrics(t: Tables, p: Params, edition: Edition) -> DataFrame:
 def account_months(t: Tables, p: Params, edition: Edition) -> DataFrame:
     """Sums per account and month that the KPIs are ratios of, with month labels.
 
-    A count over the account month stands on each of its joined rows, so its sum is count x rows.
+    A count over the account month stands on each of its joined rows, so its sum is count x rows. Of two such sums the
+    rows cancel; the counts themselves are in ``once_<name>``, so that equal ratios come out equal
+    however many rows were joined.
     """
     sums = account_month_metrics(t, p, edition)
     repeated = {name: F.col(name) for name in solution_flags(p, edition)}
@@ -320,7 +358,10 @@ def account_months(t: Tables, p: Params, edition: Edition) -> DataFrame:
     repeated["total_complexity_score"] = F.col("wt_complexity")
     repeated["total_workflows"] = F.col("workflows")
     rows = F.col("rows").cast("double")
-    sums = sums.withColumns({name: value.cast("double") * rows for name, value in repeated.items()})
+    sums = sums.withColumns(
+        {f"once_{name}": value.cast("double") for name, value in repeated.items()}
+        | {name: value.cast("double") * rows for name, value in repeated.items()}
+    )
     return sums.join(months(t, p), "date")
 
 
@@ -335,6 +376,15 @@ def account_profile(account: DataFrame) -> DataFrame:
     )
 
 
+def kpi_value(kpi: Kpi, columns: Collection[str]) -> Column:
+    """The unscaled KPI from sums, or from the counts behind them where both sides have one."""
+    if not kpi.denominator:
+        return F.col(kpi.numerator)
+    both = kpi.numerator, kpi.denominator
+    once = [f"once_{name}" for name in both]
+    return safe_ratio(*(once if set(once) <= set(columns) else both))
+
+
 def kpi_ratios(t: Tables, p: Params, edition: Edition) -> DataFrame:
     """One row per account and month: labels, totals, profile where asked, and unscaled KPIs."""
     rows = account_months(t, p, edition)
@@ -351,8 +401,7 @@ def kpi_ratios(t: Tables, p: Params, edition: Edition) -> DataFrame:
         "total_active_users",
         *profile,
         *[
-            (safe_ratio(k.numerator, k.denominator) if k.denominator else F.col(k.numerator)).alias(k.name)
-            for k in edition.kpis
+            kpi_value(k, rows.columns).alias(k.name) for k in edition.kpis
         ],
     )
 

@@ -74,9 +74,6 @@ class Edition:
     ranked: bool = False
     mobile: str | None = None
 
-    def needs(self, numerator: str) -> bool:
-        return any(k.numerator == numerator for k in self.kpis)
-
 
 _V1_HEAD = (
     LICENSED_USERS, ACTIVE_USERS_HVT, INTERNAL_COLLABORATOR_ALL, EXTERNAL_COLLABORATOR_ALL,

@@ -10,11 +10,10 @@ from vitalgauge.functions import (
     format_month,
     json_path,
     normalize_department,
-    plan_token,
+    plan_key,
     round_arr,
     sum_columns,
     text_not_empty,
-    third_token,
 )
 from vitalgauge.operators import filters, joins
 from vitalgauge.operators.aggregates import (
@@ -80,9 +79,9 @@ def with_interval_apps(facts: DataFrame, t: Tables, p: Params) -> DataFrame:
     """
     day = F.lit(p.snapshot)
     valid = t.workapp_interval.where((F.col("effective_from") <= day) & (F.col("effective_to") >= day))
-    counted = valid.groupBy(third_token("owner_plan_uid").alias("plan_token")).agg(F.count("*").alias("matches"))
-    keyed = facts.withColumn("plan_token", plan_token("plan_uid"))
-    return _with_matches(keyed, counted, ["plan_token"]).withColumn(
+    counted = joins.by_plan_key(valid).groupBy("plan_key").agg(F.count("*").alias("matches"))
+    keyed = facts.withColumn("plan_key", plan_key("plan_uid"))
+    return _with_matches(keyed, counted, ["plan_key"]).withColumn(
         "is_work_app", F.coalesce(contains_text("api_apps", WORK_APP), F.lit(False))
     )
 

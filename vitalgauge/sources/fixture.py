@@ -122,7 +122,10 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
         )
 
     def date_dim() -> DataFrame:
-        days = spark.sql("SELECT explode(sequence(DATE'1995-01-01', DATE'2001-12-31')) AS date")
+        ordered = F.to_date("o_orderdate")
+        years = read("orders").agg(F.trunc(F.min(ordered), "year").alias("first"), F.trunc(F.max(ordered), "year").alias("last"))
+        until = F.date_sub(F.add_months("last", 12), 1)
+        days = years.select(F.explode(F.sequence("first", until)).alias("date"))
         month = F.month("date")
         return days.select(
             "date",
