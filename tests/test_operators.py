@@ -215,3 +215,33 @@ def test_equal_ratios_are_equal_however_many_rows(spark):
     )
     kpi = Kpi("ratio", "a", "b")
     assert sums.select(adoption.kpi_value(kpi, sums.columns).alias("v")).distinct().count() == 1
+
+
+def test_weights_beyond_bigint(spark):
+    from vitalgauge.operators.aggregates import weighted_sum
+
+    rows = spark.sql("SELECT 4000000000000L AS a, 5000000000000L AS b, 7000000000L AS v FROM range(3)")
+    weight = joins.weight_of("a", "b")
+    (total, values), = rows.agg(F.sum(weight), weighted_sum("v", weight)).collect()
+    assert total == 3 * 2 * 10**25 and values == total * 7 * 10**9
+
+
+@few
+@given(
+    used=st.lists(st.tuples(st.integers(0, 2), st.integers(1, 3), st.integers(0, 4)), min_size=1, max_size=20),
+    owned=st.lists(st.tuples(st.integers(0, 4), st.one_of(st.none(), st.integers(0, 5)), st.booleans()), max_size=25),
+)
+def test_mobile_users_of_plans_in_use(spark, used, owned):
+    from vitalgauge.plans import adoption
+
+    # a plan belongs to one account
+    activity = [(p % 2, dt.date(2001, m, 1), p) for _, m, p in used]
+    users = {(p, u): b for p, u, b in owned if u is not None}
+    out = adoption.user_metrics(
+        spark.createDataFrame(activity, "account_id int, date date, plan_uid int"),
+        spark.createDataFrame([(p, u, b) for (p, u), b in users.items()], "plan_uid int, user_uid int, is_mobile boolean"),
+    )
+    want = defaultdict(set)
+    for account, month, plan in activity:
+        want[account, month] |= {u for (p, u), b in users.items() if p == plan and b}
+    assert {(r["account_id"], r["date"]): r["mobile_users"] for r in out.collect()} == {k: len(v) for k, v in want.items() if v}

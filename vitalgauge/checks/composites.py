@@ -124,11 +124,11 @@ def _adoption_oracle(edition: Edition) -> str:
     return f"""{_measured(edition)},
         grouped AS (
             SELECT account_id, year_fiscal, year, month_calendar, year_month,
-                   CAST(sum(users_licensed) AS BIGINT) AS total_licensed_users,
-                   CAST(sum(users_licensed_active) AS BIGINT) AS total_active_licensed_users,
-                   CAST(sum(users_collab_internal) AS BIGINT) AS total_internal_collaborators,
-                   CAST(sum(users_collab_external) AS BIGINT) AS total_external_collaborators,
-                   CAST(sum(measured.total_active_users) AS BIGINT) AS total_users{profile},
+                   CAST(sum(users_licensed) AS DOUBLE) AS total_licensed_users,
+                   CAST(sum(users_licensed_active) AS DOUBLE) AS total_active_licensed_users,
+                   CAST(sum(users_collab_internal) AS DOUBLE) AS total_internal_collaborators,
+                   CAST(sum(users_collab_external) AS DOUBLE) AS total_external_collaborators,
+                   CAST(sum(measured.total_active_users) AS DOUBLE) AS total_users{profile},
                    {", ".join(f"{raw(k)} AS raw_{k.name}" for k in edition.kpis)}
             FROM measured GROUP BY account_id, year_fiscal, year, month_calendar, year_month),
         ranked AS (SELECT *, {ranks} FROM grouped)

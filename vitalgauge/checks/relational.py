@@ -256,9 +256,9 @@ def wide_star_join(t: Tables, p: Params) -> DataFrame:
         .join(owners, "owner_uid", "left")
         .groupBy("account_id", "date", "solution_uid", "plan_uid")
         .agg(
-            F.sum(total).alias("joined_rows"),
-            weighted_sum("users_licensed", total).alias("users_licensed"),
-            weighted_sum("workflows", total).alias("workflows"),
+            F.sum(total).cast("bigint").alias("joined_rows"),
+            weighted_sum("users_licensed", total).cast("bigint").alias("users_licensed"),
+            weighted_sum("workflows", total).cast("bigint").alias("workflows"),
             F.max("total_solutions_per_owner").alias("most_by_owner"),
         )
     )
@@ -300,7 +300,7 @@ def workapp_month_join(t: Tables, p: Params) -> DataFrame:
     )
     joined = joins.with_workapp_months(rows, joins.workapp_months(t.workapp_interval))
     return joined.select(
-        "plan_uid", "date", joins.weight_of("rows", "app_weight").alias("joined_rows"), "containers", "app_owners"
+        "plan_uid", "date", joins.weight_of("rows", "app_weight").cast("bigint").alias("joined_rows"), "containers", "app_owners"
     )
 
 

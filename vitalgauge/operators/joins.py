@@ -228,6 +228,10 @@ def in_months_back(rows: DataFrame, as_of: dt.date, months_back: int) -> DataFra
     return rows.where(F.col("date") >= months_before(as_of, months_back))
 
 
+#: Weights multiply and are summed again, which a bigint doesn't hold for hot keys.
+WEIGHT = "decimal(38,0)"
+
+
 def weight_of(*names: str) -> Column:
-    """Product of weights."""
-    return functools.reduce(operator.mul, [F.col(n) for n in names])
+    """Product of weights, exact far beyond the range of bigint."""
+    return functools.reduce(operator.mul, [F.col(n).cast(WEIGHT) for n in names]).cast(WEIGHT)

@@ -85,7 +85,7 @@ def weighted_plan_months(t: Tables, p: Params, edition: Edition) -> DataFrame:
         users = edition_users(t, edition).groupBy("plan_uid").agg(F.count("*").alias("user_weight"))
         rows = joins.with_weight(rows, users, ["plan_uid"], "user_weight")
         weights.append("user_weight")
-    return rows.withColumn("weight", joins.weight_of(*weights) if weights else F.lit(1).cast("bigint"))
+    return rows.withColumn("weight", joins.weight_of(*weights) if weights else F.lit(1).cast(joins.WEIGHT))
 
 
 def recent_apps(t: Tables, p: Params) -> DataFrame:
@@ -289,12 +289,20 @@ def hvt_metrics(activity: DataFrame, hvt: DataFrame) -> DataFrame:
 
 
 def user_metrics(activity: DataFrame, users: DataFrame) -> DataFrame:
-    """Per account month: distinct mobile users of the plans in use."""
+    """Per account month: distinct mobile users of the plans in use.
+
+    A user of one plan only of an account is a number of that plan, which its months add up. Only users of several
+    plans of one account are joined to the months and made distinct there.
+    """
     mobile = users.where("is_mobile").select("plan_uid", "user_uid")
     in_use = activity.select(*MONTH, "plan_uid").distinct()
-    return in_use.join(mobile, "plan_uid").groupBy(*MONTH).agg(
-        F.count_distinct("user_uid").alias("mobile_users")
-    )
+    owned = in_use.select("account_id", "plan_uid").distinct().join(mobile, "plan_uid").distinct()
+    several = owned.groupBy("account_id", "user_uid").agg(F.count("*").alias("plans"), F.max("plan_uid").alias("plan_uid"))
+    single = several.where("plans = 1").groupBy("account_id", "plan_uid").agg(F.count("user_uid").alias("single_users"))
+    shared = owned.join(several.where("plans > 1").select("account_id", "user_uid"), ["account_id", "user_uid"], "left_semi")
+    by_number = in_use.join(single, ["account_id", "plan_uid"]).groupBy(*MONTH).agg(F.sum("single_users").alias("n"))
+    by_user = in_use.join(shared, ["account_id", "plan_uid"]).groupBy(*MONTH).agg(F.count_distinct("user_uid").alias("n"))
+    return by_number.unionByName(by_user).groupBy(*MONTH).agg(F.sum("n").alias("mobile_users"))
 
 
 def account_month_metrics(t: Tables, p: Params, edition: Edition) -> DataFrame:
@@ -321,7 +329,7 @@ def account_month_metrics(t: Tables, p: Params, edition: Edition) -> DataFrame:
     metrics = [c for c in per_solution.columns if c not in SOLUTION_MONTH]
     cells = cells.join(per_solution, on)
 
-    rows = F.col("rows") * F.col("hvt_weight")
+    rows = joins.weight_of("rows", "hvt_weight")
     known = F.col("solution_key") != ""
     sums = cells.groupBy(*MONTH).agg(
         F.sum(rows).alias("rows"),
