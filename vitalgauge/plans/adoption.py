@@ -234,8 +234,9 @@ def solution_month_apps(activity: DataFrame, apps: DataFrame) -> DataFrame:
         F.count("*").alias("plans"), F.sum("containers").alias("containers"), F.sum("app_owners").alias("app_owners")
     )
     several = summed.where(F.col("plans") > 1).select(*SOLUTION_MONTH)
-    shared = per_plan.select(*SOLUTION_MONTH, *PLAN_MONTH).join(several, SOLUTION_MONTH)
-    sets = plan_sets(shared)
+    # Both are narrow, and read again and again by what follows.
+    shared = share(per_plan.select(*SOLUTION_MONTH, *PLAN_MONTH).join(several, SOLUTION_MONTH), "several-plans")
+    sets = share(plan_sets(shared), "plan-sets")
     first = sets.where(F.col("set_key") == F.col("solution_key")).select(*SOLUTION_MONTH)
     per_set = counted_again(shared.join(first, SOLUTION_MONTH, "left_semi"), app_items(apps))
     again = sets.join(per_set.withColumnRenamed("solution_key", "set_key"), ["set_key", "date"]).drop("set_key")
