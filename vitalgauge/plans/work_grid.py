@@ -26,10 +26,11 @@ NAME_KEYS = ("account_id", "date", "name", "plan_arr", "arr", "partner_since", "
 ACCOUNT_FACTS = ("licenses_paid", "territory", "territory_type", "users_licensed_paid", "users_licensed_paid_active")
 
 
-def object_data(t: Tables, p: Params) -> DataFrame:
-    """The four object columns of the last months summed per key over the plans of an account, as maps again."""
-    recent = joins.in_months_back(t.solution_plan_monthly, p.as_of, p.months_back)
-    entries = stack_objects(active_work_types(recent), OBJECT_KEYS)
+def object_data(t: Tables, p: Params | None = None) -> DataFrame:
+    """The four object columns summed per key over the plans of an account, as maps again; of the last months, or
+    of all time without parameters."""
+    rows = joins.in_months_back(t.solution_plan_monthly, p.as_of, p.months_back) if p else t.solution_plan_monthly
+    entries = stack_objects(active_work_types(rows), OBJECT_KEYS)
     return object_agg(sum_by_key(entries, OBJECT_KEYS), OBJECT_KEYS)
 
 
