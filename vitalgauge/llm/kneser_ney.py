@@ -70,8 +70,7 @@ _hashes: _Kept = _Kept(lambda word: xxhash.xxh64_intdigest(word))
 
 def token_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Context, token and text number of every token."""
-    if len(_hashes) > KEPT:
-        _hashes.clear()
+    _hashes.trim(KEPT)
     found = [words(t) for t in texts]
     sizes = np.array([len(w) + 1 for w in found], np.int64)
     ends = np.cumsum(sizes) - 1
