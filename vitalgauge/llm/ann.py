@@ -47,8 +47,9 @@ RECALL = 0.97
 CALIBRATION_ROWS = 8192
 CALIBRATION_QUERIES = 128
 NEIGHBOURS = 24
-#: Centroids a walk opens at a time.
+#: Centroids a walk opens at a time, and vectors that walk together.
 _BEAM = 8
+_ROWS = 256
 BLOCK = 4096
 _SALTS = 64
 _SEED = 7
@@ -174,7 +175,9 @@ class Centroids:
         """The least ratio that finds ``RECALL`` of the ``k`` nearest of some of the rows among all of them."""
         asked = x[:: max(1, len(x) // CALIBRATION_QUERIES)][:CALIBRATION_QUERIES]
         near = np.argsort(squared(asked, x), 1, kind="stable")[:, : k + 1]
-        row, home = self.homes(x)
+        parts = [(low, *self.homes(x[low : low + _ROWS])) for low in range(0, len(x), _ROWS)]
+        row = np.concatenate([low + r for low, r, _ in parts])
+        home = np.concatenate([h for _, _, h in parts])
         to_centroids = np.sqrt(squared(asked, self.points))
         least = np.maximum(to_centroids.min(1), 1e-12)
         needed = np.full(near.shape, np.inf)
@@ -244,7 +247,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10) -> D
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in _batches(batch, 512):
+            for some in _batches(batch, _ROWS):
                 row, home = centroids.homes(_matrix(some.column(1)))
                 taken = some.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays([pa.array(home, pa.int32()), *taken.columns], names=["list", "rep", "vector"])
@@ -259,7 +262,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10) -> D
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in _batches(batch, 256):
+            for some in _batches(batch, _ROWS):
                 row, read = centroids.lists(_matrix(some.column(1)), ratio)
                 n = np.array([blocks.get(int(x), 0) for x in read], int)
                 row, read, block = np.repeat(row, n), np.repeat(read, n), np.concatenate([np.arange(x) for x in n] or [n])
