@@ -40,7 +40,7 @@ def numbered(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     single rows can be joined back, and rows that agree in all columns stay apart.
     """
     row = free_name(df, "row")
-    return share(df.withColumn(row, F.monotonically_increasing_id()), label), row
+    return share(df.withColumn(row, F.monotonically_increasing_id()), label, compression="zstd"), row
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
