@@ -163,3 +163,12 @@ def test_grid_reads_the_last_months_only(stored):
 def test_work_apps_are_pruned_by_date(stored):
     (scan,) = scans(adoption.recent_apps(stored, FIXTURE_PARAMS), "workapp_interval")
     assert "GreaterThanOrEqual(effective_from,1999-08-01)" in scan
+
+
+def test_snapshot_scans_its_facts_once(stored):
+    month = snapshot.month_rows(stored, FIXTURE_PARAMS)
+    for table in ("solution_monthly", "plan_daily"):
+        (scan,) = scans(month, table)
+        assert "date" in scan.split("PushedFilters")[1]
+    rest = snapshot.account_month_snapshot(stored, FIXTURE_PARAMS, "interval")
+    assert not scans(rest, "solution_monthly") and not scans(rest, "plan_daily")

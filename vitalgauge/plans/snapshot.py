@@ -20,7 +20,6 @@ from vitalgauge.operators.aggregates import (
     accounts_over_n_solutions,
     mobile_users_per_account,
     owner_solution_counts,
-    snapshot_solutions,
     weighted_count,
 )
 from vitalgauge.operators.windows import count_distinct_if
@@ -42,11 +41,16 @@ MEASURED = (
 )
 
 
-def snapshot_facts(t: Tables, p: Params, accounts: DataFrame | list | None = None) -> DataFrame:
-    """Active solutions of the snapshot month with account attributes and plan facts."""
-    solutions = t.solution_monthly.where(
-        (F.col("date") == F.lit(p.snapshot)) & (F.col("users_active") >= 1)
-    ).withColumn("department", normalize_department("department"))
+#: Columns of :func:`month_rows` that the snapshot reads.
+MONTH_COLUMNS = (
+    *(c for c in MEASURED if c not in ("weight", "is_work_app", "power")), "plan_uid", "date", "in_plan",
+)
+
+
+def month_rows(t: Tables, p: Params, accounts: DataFrame | list | None = None) -> DataFrame:
+    """All solutions of the snapshot month of accounts with enough revenue, with account attributes, and with plan facts
+    where the plan has enough revenue (``in_plan``). The only scan of the solutions and of the daily plan facts."""
+    solutions = filters.month_equals(t.solution_monthly, p.snapshot).where(F.col("date") == F.lit(p.snapshot))
     owners = t.account.where(F.col("arr") >= F.lit(p.min_account_arr_snapshot)).select(
         "account_id",
         F.col("name").alias("account_name"),
@@ -59,9 +63,23 @@ def snapshot_facts(t: Tables, p: Params, accounts: DataFrame | list | None = Non
         owners = filters.account_in(owners, accounts)
     daily = t.plan_daily.where(
         (F.col("date") == F.lit(p.snapshot)) & (F.col("plan_arr") >= F.lit(p.min_plan_arr_snapshot))
-    ).select("plan_uid", "date", *PLAN_FACTS)
-    plan_facts = daily.join(t.plan.select("plan_uid", "account_id"), "plan_uid").join(owners, "account_id")
-    return solutions.join(plan_facts, ["plan_uid", "date"]).withColumn("month_year", format_month("date"))
+    ).select("plan_uid", F.lit(True).alias("in_plan"), *PLAN_FACTS)
+    plans = t.plan.select("plan_uid", "account_id").join(owners, "account_id").join(daily, "plan_uid", "left")
+    return (
+        solutions.join(plans, "plan_uid")
+        .withColumn("department", normalize_department("department"))
+        .withColumn("month_year", format_month("date"))
+    )
+
+
+def active_facts(month: DataFrame) -> DataFrame:
+    """Of :func:`month_rows`: solutions in active use, of plans with enough revenue."""
+    return month.where(F.col("in_plan") & (F.col("users_active") >= 1)).drop("in_plan")
+
+
+def snapshot_facts(t: Tables, p: Params, accounts: DataFrame | list | None = None) -> DataFrame:
+    """Active solutions of the snapshot month with account attributes and plan facts."""
+    return active_facts(month_rows(t, p, accounts))
 
 
 def with_container_apps(facts: DataFrame, t: Tables, p: Params) -> DataFrame:
@@ -180,11 +198,10 @@ def account_month_snapshot(
     t: Tables, p: Params, by: str, accounts: DataFrame | list | None = None, require_mobile: bool = False
 ) -> DataFrame:
     """The snapshot; work apps are matched ``by="container"`` or ``by="interval"``."""
-    facts = filters.month_equals(snapshot_facts(t, p, accounts), p.snapshot)
-    in_month = snapshot_solutions(
-        t.solution_monthly, t.plan, t.account, p.snapshot, p.min_account_arr_snapshot
-    )
-    large = accounts_over_n_solutions(in_month, p.accounts_over)
+    # Read three times: for the size of accounts, the totals of owners, and the facts themselves.
+    month = share(month_rows(t, p, accounts).select(*MONTH_COLUMNS), "snapshot-month")
+    facts = active_facts(month)
+    large = accounts_over_n_solutions(month, p.accounts_over)
     power = owner_solution_counts(facts).where(F.col("total_solutions_per_owner") > p.power_owner_over)
     kept = filters.account_in(facts, large)
     weighted = with_container_apps(kept, t, p) if by == "container" else with_interval_apps(kept, t, p)
@@ -195,7 +212,8 @@ def account_month_snapshot(
     rows = one_pass_account_month(weighted, citizen_developers=by == "interval")
 
     addon = joins.presence(t.addon_plan, "account_id", "brandfolder_presence")
-    users = joins.account_users(t.user_plan, t.plan, t.session)
+    kept_plans = filters.account_in(t.plan, weighted.select("account_id").distinct())
+    users = joins.account_users(t.user_plan, kept_plans, t.session)
     return (
         joins.with_presence(rows, addon, "account_id", "brandfolder_presence")
         .withColumn("presence_of_rm_plan", F.col("brandfolder_presence"))
