@@ -26,6 +26,7 @@ import unicodedata
 from collections.abc import Iterator
 from pathlib import Path
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -39,8 +40,8 @@ from vitalgauge.llm.common import text_bytes
 LIMIT = 2048
 _END = "</w>"
 #: Unicode white space.
-_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-_PARTS = regex.compile(rf"[{_SPACE}]|[^{_SPACE}]+")
+_SPACES = frozenset("\t\n\x0b\x0c\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000") | {chr(c) for c in range(0x2000, 0x200B)}
+_PARTS = regex.compile(rf"[{''.join(sorted(_SPACES))}]|[^{''.join(sorted(_SPACES))}]+")
 _PIECES = regex.compile(r"'(?:[stmd]|re|ve|ll)|\p{L}+|\p{N}|[^\p{L}\p{N}]+")
 #: Longest word whose prefixes are remembered for other words.
 _SHARED_LETTERS = 40
@@ -56,13 +57,16 @@ class PrefixBpe:
             raise ValueError(f"{path} is not a BPE vocabulary with end-of-word tokens")
         self.special = [t["content"] for t in config["added_tokens"]]
         self.ranks = {tuple(m): i for i, m in enumerate(model["merges"])}
-        self.starts = {t for t in model["vocab"] if not t.endswith(_END)}
-        self.ends = {t.removesuffix(_END) for t in model["vocab"] if t.endswith(_END)}
-        self.longest = max(map(len, self.starts | self.ends))
+        #: Finds all tokens in a word, each as the start of a word, as its end (empty if it can't be that) and its size.
+        self.tokens = ahocorasick.Automaton()
+        vocab = model["vocab"]
+        for text in {t.removesuffix(_END) for t in vocab} - {""}:
+            self.tokens.add_word(text, (text if text in vocab else "", text + _END if text + _END in vocab else "", len(text)))
+        self.tokens.make_automaton()
         self.fits: dict[tuple[str, str], bool] = {}
         self.made = _Kept(self._made)
-        #: By prefix of a word: last token and count as the start of a longer word, and count as a word.
-        self.states: dict[str, tuple[str, int, int]] = {}
+        #: By prefix: the entries of some word that begins with it.
+        self.tables: dict[str, tuple[list[str], list[int], list[int]]] = {}
         self.parts = _Kept(self._part)
         self.words = _Kept(self._word)
 
@@ -118,34 +122,45 @@ class PrefixBpe:
             else:
                 limit, right = in_right + 1, right_start
 
-    def _state(self, letters: str, upto: int, last: list[str], count: list[int]) -> tuple[str, int, int]:
-        """The state of ``letters[:upto]``, given last tokens and counts of all shorter prefixes."""
-        begun = word = None
-        for at in range(max(0, upto - self.longest), upto):
-            token = letters[at:upto]
-            if begun is None and token in self.starts and self._fit(last[at], token):
-                begun = token, count[at] + 1
-            if word is None and token in self.ends and self._fit(last[at], token + _END):
+    def _extend(self, letters: str, last: list[str], count: list[int], whole: list[int]) -> None:
+        """Add the entries of all prefixes that have none: last token and count as the start of a longer word, and count
+        as a word. Tokens are met in the order of their ends."""
+        known, upto, begun, word, ends_in = len(last), len(last), 0, 0, ""
+        for end, (token, closing, size) in self.tokens.iter(letters):
+            if end + 1 < known:
+                continue
+            if end + 1 > upto:
+                last.append(ends_in)
+                count.append(begun)
+                whole.append(word)
+                upto, begun, word = end + 1, 0, 0
+            at = upto - size
+            if token and not begun and self._fit(last[at], token):
+                begun, ends_in = count[at] + 1, token
+            if closing and not word and self._fit(last[at], closing):
                 word = count[at] + 1
-            if begun is not None and word is not None:
-                return *begun, word
-        raise ValueError(f"no token ends {letters[:upto]!r}")
+        last.append(ends_in)
+        count.append(begun)
+        whole.append(word)
 
     def counts(self, piece: str) -> list[int]:
         """Tokens of each prefix of a word, character by character."""
-        letters = in_letters(piece)
+        letters, known, last, count, whole = in_letters(piece), 0, [""], [0], [0]
         shared = len(letters) <= _SHARED_LETTERS
-        last, count, whole = [""], [0], [0]
-        for upto in range(1, len(letters) + 1):
-            key = letters[:upto] if shared else ""
-            state = self.states.get(key) if shared else None
-            if state is None:
-                state = self._state(letters, upto, last, count)
-                if shared:
-                    self.states[key] = state
-            last.append(state[0])
-            count.append(state[1])
-            whole.append(state[2])
+        if shared:
+            for known in range(len(letters), 0, -1):
+                table = self.tables.get(letters[:known])
+                if table is not None:
+                    last, count, whole = (x[: known + 1] for x in table)
+                    break
+            else:
+                known = 0
+        if known < len(letters):
+            self._extend(letters, last, count, whole)
+        if shared:
+            table = last, count, whole
+            for upto in range(known + 1, len(letters) + 1):
+                self.tables[letters[:upto]] = table
         if len(letters) == len(piece):
             return whole[1:]
         at, out = 0, []
@@ -165,7 +180,7 @@ class PrefixBpe:
     def _part(self, part: str) -> bytes:
         steps = []
         for found in _PARTS.findall(part):
-            if regex.match(rf"[{_SPACE}]", found):
+            if found in _SPACES:
                 steps.append(b"\0")
             else:
                 steps.extend(map(self.words.__getitem__, _PIECES.findall(found)))
@@ -182,8 +197,10 @@ class PrefixBpe:
 
     def steps(self, text: str) -> bytes:
         """By how much each character of the normal form changes the count."""
-        for kept in (self.parts, self.words, self.states, self.fits):
-            if len(kept) > KEPT:
+        self.parts.trim(KEPT)
+        self.words.trim(KEPT)
+        for kept in (self.tables, self.fits):
+            if len(kept) > KEPT // 2:
                 kept.clear()
         out = []
         while found := [(at, s) for s in self.special if (at := text.find(s)) >= 0]:
