@@ -11,10 +11,10 @@ come near the target. The sum is made of three levels (size class, slice of the
 first two are combined before the shuffle; so no task ever holds a whole source. Sums are
 exact decimals and the offset comes from a seed, so reruns agree however the work is split.
 
-Everything is DataFrame operations. Defined cases: a null text has size 0 and is never taken, nor is
-anything from a source of size 0; a null source is a source of its own, last in order; repeated rows count as
-rows of their own, and which of two equal rows is taken more often shows in no result; a null id hashes as
-empty text; an empty table gives no rows; other columns are not read.
+Everything is DataFrame operations. Defined cases: a null or empty text has size 0, so it adds no words however
+often it is taken; of a source of size 0 nothing is taken; a null source is a source of its own, last in order; repeated
+rows count as rows of their own, and which of two equal rows is taken more often shows in no result; a null id
+hashes as empty text; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
