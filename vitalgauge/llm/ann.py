@@ -11,7 +11,8 @@ than those among all vectors, so the ratio errs to the safe side.)
 
 Equal vectors are one entry with the smallest of their ids, as many as a result can use, found in two
 steps so that no task gathers a large group. Lists are dealt in blocks of about ``BLOCK`` vectors, queries to all
-blocks of their lists; so no list is one task's load. Distances are computed in double precision on the
+blocks of their lists; so no list is one task's load. A block answers with its best vectors only, and of those
+only what is not farther than as many vectors of the sample in the lists read. Distances are computed in double precision on the
 original vectors.
 
 Defined cases: vectors null, zero, or with a null or non-finite component take no part, nor do vectors of
@@ -165,6 +166,11 @@ class Centroids:
         row, column = np.nonzero(taken)
         return row, ids[row, column]
 
+    def all_homes(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`homes`, of a few rows at a time."""
+        parts = [(low, *self.homes(x[low : low + _ROWS])) for low in range(0, len(x), _ROWS)]
+        return np.concatenate([low + r for low, r, _ in parts]), np.concatenate([h for _, _, h in parts])
+
     def lists(self, x: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray]:
         """Row and list of every list a query reads."""
         ids, far = self.nearest(x, 0, ratio)
@@ -175,9 +181,7 @@ class Centroids:
         """The least ratio that finds ``RECALL`` of the ``k`` nearest of some of the rows among all of them."""
         asked = x[:: max(1, len(x) // CALIBRATION_QUERIES)][:CALIBRATION_QUERIES]
         near = np.argsort(squared(asked, x), 1, kind="stable")[:, : k + 1]
-        parts = [(low, *self.homes(x[low : low + _ROWS])) for low in range(0, len(x), _ROWS)]
-        row = np.concatenate([low + r for low, r, _ in parts])
-        home = np.concatenate([h for _, _, h in parts])
+        row, home = self.all_homes(x)
         to_centroids = np.sqrt(squared(asked, self.points))
         least = np.maximum(to_centroids.min(1), 1e-12)
         needed = np.full(near.shape, np.inf)
@@ -206,6 +210,19 @@ def _batches(batch: pa.RecordBatch, step: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(low, step)
 
 
+def squared_limits(x: np.ndarray, row: np.ndarray, read: np.ndarray, known: np.ndarray, homes: tuple[np.ndarray, np.ndarray], n: int) -> np.ndarray:
+    """For each of the queries ``x``, which read the lists ``read`` (by ``row``), a squared distance within which ``n`` of
+    the known vectors in those lists lie: its ``n`` nearest there are not farther."""
+    if len(known) < n:
+        return np.full(len(x), np.inf)
+    far, (member, home) = squared(x, known), homes
+    for i, own in enumerate(far):
+        reached = np.zeros(len(known), bool)
+        reached[member[np.isin(home, read[row == i])]] = True
+        own[~reached] = np.inf
+    return np.partition(far, n - 1, 1)[:, n - 1]
+
+
 def distinct_vectors(vectors: DataFrame, keep: int) -> DataFrame:
     """``rep`` (the smallest id), ``ids`` (the ``keep`` smallest) and ``vector`` of each distinct usable vector."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("vector"))
@@ -219,9 +236,9 @@ def distinct_vectors(vectors: DataFrame, keep: int) -> DataFrame:
     return found.select(F.element_at("ids", 1).alias("rep"), "ids", "vector")
 
 
-def fit_centroids(distinct: DataFrame, k: int, list_size: int = LIST_SIZE, most_lists: int = MOST_LISTS) -> tuple[Centroids, float] | None:
-    """Centroids, and the ratio for ``k`` neighbours, from a sample of at most ``SAMPLE`` distinct vectors, taken by a
-    hash of the id. None if there are no vectors."""
+def fit_centroids(distinct: DataFrame, k: int, list_size: int = LIST_SIZE, most_lists: int = MOST_LISTS) -> tuple[Centroids, float, np.ndarray] | None:
+    """Centroids, the ratio for ``k`` neighbours and ``CALIBRATION_ROWS`` vectors, from a sample of at most ``SAMPLE``
+    distinct vectors, taken by a hash of the id. None if there are no vectors."""
     n = distinct.count()
     if not n:
         return None
@@ -230,7 +247,8 @@ def fit_centroids(distinct: DataFrame, k: int, list_size: int = LIST_SIZE, most_
     got = chosen.orderBy(F.xxhash64("rep", F.lit(_SEED)), "rep").limit(SAMPLE).select("vector").toArrow()
     points = _matrix(got.column("vector").combine_chunks())
     centroids = Centroids(balanced_centroids(points, max(1, min(most_lists, n // list_size))))
-    return centroids, centroids.ratio_for(points[:CALIBRATION_ROWS], k)
+    some = points[:CALIBRATION_ROWS]
+    return centroids, centroids.ratio_for(some, k), some
 
 
 def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
@@ -243,7 +261,8 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10) -> D
     fitted = fit_centroids(distinct, k)
     if fitted is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    centroids, ratio = fitted
+    centroids, ratio, known = fitted
+    homes = centroids.all_homes(known)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -264,35 +283,35 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10) -> D
         for batch in batches:
             for some in _batches(batch, _ROWS):
                 row, read = centroids.lists(_matrix(some.column(1)), ratio)
+                limits = squared_limits(_matrix(some.column(1)), row, read, known, homes, k + 3)
                 n = np.array([blocks.get(int(x), 0) for x in read], int)
                 row, read, block = np.repeat(row, n), np.repeat(read, n), np.concatenate([np.arange(x) for x in n] or [n])
                 taken = some.take(pa.array(row))
-                columns = [pa.array(read, pa.int32()), pa.array(block, pa.int32()), *taken.columns]
-                yield pa.RecordBatch.from_arrays(columns, names=["list", "block", "query", "vector"])
+                columns = [pa.array(read, pa.int32()), pa.array(block, pa.int32()), *taken.columns, pa.array(limits[row])]
+                yield pa.RecordBatch.from_arrays(columns, names=["list", "block", "query", "vector", "most"])
 
-    reads = by_vector.select("rep", "vector").mapInArrow(spread, "list int, block int, query long, vector array<double>")
+    reads = by_vector.select("rep", "vector").mapInArrow(spread, "list int, block int, query long, vector array<double>, most double")
     counts = F.create_map(*[F.lit(x) for pair in blocks.items() for x in pair])
     dealt = postings.withColumn("block", F.pmod(F.xxhash64("rep"), counts[F.col("list")]).cast("int"))
 
     def searched(held: pa.Table, asking: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, float]] = []
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if held.num_rows and asking.num_rows:
             points, reps = _matrix(held.column("vector").combine_chunks()), held.column("rep").to_numpy()
             wanted, names = _matrix(asking.column("vector").combine_chunks()), asking.column("query").to_numpy()
-            size = (points * points).sum(1)
-            for low in range(0, len(wanted), 256):
-                part = wanted[low : low + 256]
+            most, size, last = asking.column("most").to_numpy(), (points * points).sum(1), min(k, len(points) - 1)
+            for low in range(0, len(wanted), _ROWS):
+                part = wanted[low : low + _ROWS]
                 own = (part * part).sum(1)
                 rough = size[None, :] + own[:, None] - 2 * part @ points.T
-                edge = np.partition(rough, min(k, len(points) - 1), 1)[:, min(k, len(points) - 1)]
-                slack = 1e-9 * (size.max() + own)  # what rounding may hide is measured exactly
-                for i in range(len(part)):
-                    near = np.flatnonzero(rough[i] <= edge[i] + slack[i])
-                    exact = np.sqrt(((points[near] - part[i]) ** 2).sum(1))
-                    order = np.lexsort((reps[near], exact))[: k + 1]
-                    out += [(int(names[low + i]), int(reps[near[o]]), float(exact[o])) for o in order]
-        columns = list(zip(*out, strict=True)) if out else [(), (), ()]
-        return pa.table([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], names=["query", "rep", "score"])
+                # the best of this block that can be among the best of all; what rounding may hide is measured exactly
+                edge = np.minimum(np.partition(rough, last, 1)[:, last], most[low : low + _ROWS])
+                row, column = np.nonzero(rough <= (edge + 1e-9 * (size.max() + own))[:, None])
+                exact = np.sqrt(((points[column] - part[row]) ** 2).sum(1))
+                parts.append((names[low + row], reps[column], exact))
+        columns = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [[], [], []]
+        kinds = (pa.int64(), pa.int64(), pa.float64())
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["query", "rep", "score"])
 
     found = (
         dealt.groupBy("list", "block")
