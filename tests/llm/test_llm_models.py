@@ -149,6 +149,41 @@ def test_toxicity_of_odd_rows(spark, documents):
     assert toxicity_scores(documents([]), model).count() == 0
 
 
+def test_toxic_texts_with_a_common_header(spark, documents):
+    header = "posted in the forum of our own town today"
+    clean = [(i, f"kind words about thing{i} and place{i * 7} and nothing else", "en") for i in range(60)]
+    bad = [(100 + i, f"{header} about thing{i} and place{i * 7} " + "idiot " * (1 + i % 20), "en") for i in range(60)]
+    docs = documents([*clean, *bad, (500, "what an idiot")])
+    marks = spark.createDataFrame([(i, 1, 0) for i in range(60)] + [(100 + i, 1, 1) for i in range(60)], LABELS)
+    model = fit_toxicity(docs, marks)
+    got = {r.doc_id: r.toxic for r in toxicity_scores(docs, model).collect()}
+    assert "idiot" in model.numbers and got[500] == 1
+    assert all(got[100 + i] for i in range(60)) and not any(got[i] for i in range(60))
+
+
+def test_toxic_texts_of_a_rare_language(spark, documents):
+    clean = [(i, f"kind words about thing{i} and place{i * 7}", "en") for i in range(1000)]
+    bad = [(2000 + i, f"idiot about thing{i} and place{i * 7}", "en") for i in range(1000)]
+    rare = [(4000 + i, f"trottel wegen ding{i} und ort{i * 7}", "de") for i in range(9)]
+    docs = documents([*clean, *bad, *rare, (5000, "so ein trottel")])
+    marks = [(d, 1, int(d >= 2000)) for d, _, _ in [*clean, *bad, *rare]]
+    model = fit_toxicity(docs, spark.createDataFrame(marks, LABELS))
+    got = {r.doc_id: r.toxic for r in toxicity_scores(docs, model).collect()}
+    assert got[5000] == 1 and all(got[d] for d, _, _ in rare) and not any(got[d] for d, _, _ in clean)
+
+
+def test_a_rare_language_keeps_features_where_there_are_too_many(monkeypatch):
+    monkeypatch.setattr(toxicity, "FEATURES", 10)
+    texts = [b"aaa bbb ccc ddd eee fff ggg hhh iii jjj kkk"] * 50 + [b"zzz"] * 9 + [b"kind"] * 60
+    used = toxicity.select_features(texts, [1] * 59 + [0] * 60, np.ones(119))
+    assert len(used) == 10 and "zzz" in used and "kind" not in used
+
+
+def test_copies_count_as_one():
+    texts = [b"the same text word for word"] * 5 + [b"another one of its kind", b"", b""]
+    assert np.allclose(toxicity.copy_weights(texts, [1] * 4 + [0] * 4), [0.25] * 4 + [1, 1, 0.5, 0.5])
+
+
 # --- language model -----------------------------------------------------------------------------------
 
 

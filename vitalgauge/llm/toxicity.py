@@ -4,8 +4,12 @@ A document's grade is 0 (none) to ``len(GRADE_WORDS) + 1``. The chance that it i
 weight vector for all grades, and ordered cuts. The expected severity is the sum of the chances to be above each k.
 
 Features: words, and word beginnings of 4 to 6 letters (so that unseen endings of a known stem count), in A-Z lower
-case; x is log(1 + occurrences). Of all features the ``FEATURES`` are used that tell toxic texts best by their
-log-likelihood ratio; so most words of a text have no feature at all.
+case; x is log(1 + occurrences). Used are those that tell toxic texts by their log-likelihood ratio, in however few
+texts beyond ``LEAST_TEXTS``; so most words of a text have no feature at all. If there are more than ``FEATURES``, each toxic text's best ones
+come first, so that the texts of a rare language keep theirs.
+
+Copies would make all their words look telling. So each text of the sample is fitted on, but counts 1/n if n texts of its label,
+itself included, are like it in their words as a whole; words that many texts share, such as a header, hardly count there.
 
 Labels tell only whether a text is toxic. Their grades: a toxic text's evidence is the number of its words that have a used
 feature; the grades from 1 on are cut at ``GRADE_WORDS``.
@@ -19,6 +23,7 @@ from __future__ import annotations
 
 import functools
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,9 +39,12 @@ from vitalgauge.llm.samples import labelled_sample
 FIT_ROWS = 3000
 FEATURES = 1000
 STEMS = (4, 5, 6)
-#: A feature is used from this many toxic texts of the sample on, and this share of them.
+#: A feature is used from this many toxic texts of the sample on, copies counting as one.
 LEAST_TEXTS = 3
-LEAST_SHARE = 0.01
+#: Texts are copies of each other from this cosine of their words' weights on.
+ALIKE = 0.5
+#: Numbers a text's words are hashed into for that.
+SKETCH = 2048
 #: Evident words from which a toxic text has grade 2, and grade 3.
 GRADE_WORDS = (4, 16)
 #: A feature's share of the toxic texts is at least this part of its shares of toxic and of clean texts.
@@ -96,7 +104,7 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-def _ratio(a: int, b: int, toxic: int, clean: int) -> float:
+def _ratio(a: float, b: float, toxic: float, clean: float) -> float:
     """Log-likelihood ratio of a feature in ``a`` of the toxic and ``b`` of the clean texts; below 0 if it speaks for clean."""
     total, found = 0.0, a + b
     for n, expected in (
@@ -105,22 +113,31 @@ def _ratio(a: int, b: int, toxic: int, clean: int) -> float:
         (toxic - a, toxic * (toxic + clean - found) / (toxic + clean)),
         (clean - b, clean * (toxic + clean - found) / (toxic + clean)),
     ):
-        total += n * math.log(n / expected) if n else 0.0
+        total += n * math.log(n / expected) if n > 1e-9 else 0.0
     return total if a * clean > b * toxic else -total
 
 
-def select_features(texts: list[bytes], toxic: list[int]) -> list[str]:
-    """The features to use, the most telling first."""
-    found = {0: Counter(), 1: Counter()}
-    for text, y in zip(texts, toxic, strict=True):
-        found[y].update({f for w in set(tokens(text)) for f in word_features(w)})
-    n = Counter(toxic)
+def select_features(texts: list[bytes], toxic: list[int], counted: np.ndarray) -> list[str]:
+    """The features to use, the most telling first; text i counts ``counted[i]`` times."""
+    found, n = {0: Counter(), 1: Counter()}, [0.0, 0.0]
+    for text, y, k in zip(texts, toxic, counted.tolist(), strict=True):
+        n[y] += k
+        for f in {f for w in set(tokens(text)) for f in word_features(w)}:
+            found[y][f] += k
     told = {}
     for f, a in found[1].items():
         share, other = a / n[1], found[0][f] / n[0]
-        if a >= LEAST_TEXTS and share >= LEAST_SHARE and share / (share + other) >= EVIDENT:
+        if a > LEAST_TEXTS - 1e-6 and share / (share + other) >= EVIDENT:
             told[f] = _ratio(a, found[0][f], n[1], n[0])
-    return sorted((f for f in told if told[f] >= LEAST_RATIO), key=lambda f: (-told[f], f))[:FEATURES]
+    used = sorted((f for f in told if told[f] >= LEAST_RATIO), key=lambda f: (-told[f], f))
+    if len(used) > FEATURES:
+        order, place = {f: i for i, f in enumerate(used)}, {}
+        for text, y in zip(texts, toxic, strict=True):
+            own = {order[f] for w in set(tokens(text)) for f in word_features(w) if f in order} if y else ()
+            for k, i in enumerate(sorted(own)):
+                place[i] = min(k, place.get(i, k))
+        used = [used[i] for i in sorted(sorted(place, key=lambda i: (place[i], i))[:FEATURES])]
+    return used
 
 
 def severity_grades(texts: list[bytes], toxic: list[int], used: set[str]) -> np.ndarray:
@@ -182,10 +199,26 @@ def ordinal_fit(x: np.ndarray, grades: np.ndarray, share: np.ndarray, levels: in
     return weights, cuts
 
 
-def _unlike(texts: list[bytes], labels: list[int]) -> tuple[list[bytes], list[int]]:
-    """One text, of each label, of those that begin with the same words, as copies would make their words look telling."""
-    first = {(y, b" ".join(tokens(t)[:8])): t for t, y in zip(texts, labels, strict=True)}
-    return list(first.values()), [y for y, _ in first]
+def copy_weights(texts: list[bytes], labels: list[int]) -> np.ndarray:
+    """For each text, 1 / the number of texts of its label that are like it, itself included.
+
+    Likeness is the cosine of the sets of words, rare ones weighing more, in signed hashes.
+    """
+    counted = np.ones(len(texts))
+    for y in set(labels):
+        rows = [i for i, label in enumerate(labels) if label == y]
+        holding = Counter(w for i in rows for w in set(tokens(texts[i])))
+        sketches = np.zeros((len(rows), SKETCH), np.float32)
+        for sketch, i in zip(sketches, rows, strict=True):
+            own = set(tokens(texts[i])) or {b""}
+            codes = np.array([zlib.crc32(w) for w in own])
+            weights = np.array([math.log1p(len(rows) / holding.get(w, len(rows))) for w in own])
+            sketch[:] = np.bincount(codes % SKETCH, np.where(codes >> 16 & 1, weights, -weights), SKETCH)
+            sketch /= max(np.linalg.norm(sketch), 1e-9)
+        for low in range(0, len(rows), 500):
+            like = (sketches[low : low + 500] @ sketches.T >= ALIKE).sum(1)
+            counted[rows[low : low + 500]] = 1 / np.maximum(like, 1)
+    return counted
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> ToxicityModel:
@@ -193,8 +226,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> To
     sample, levels = labelled_sample(docs, labels, label, FIT_ROWS), len(GRADE_WORDS) + 2
     if len(set(sample.labels)) < 2:
         return ToxicityModel({}, np.zeros(0), np.full(levels - 1, 500.0))
-    texts, labels = _unlike(sample.texts, sample.labels)
-    used = select_features(texts, labels)
+    texts, labels = sample.texts, sample.labels
+    counted = copy_weights(texts, labels)
+    used = select_features(texts, labels, counted)
     grades = severity_grades(texts, labels, set(used))
     blank = ToxicityModel({f: i for i, f in enumerate(used)}, np.zeros(len(used)), np.zeros(levels - 1))
     x = np.zeros((len(grades), len(used)))
@@ -202,7 +236,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> To
         for i, n in blank.counts(text).items():
             row[i] = math.log1p(n)
     toxic = np.array(labels)
-    common = np.where(toxic == 1, sample.known[1] / toxic.sum(), sample.known[0] / (1 - toxic).sum())
+    common = counted * np.where(toxic == 1, sample.known[1] / counted[toxic == 1].sum(), sample.known[0] / counted[toxic == 0].sum())
     weights, cuts = ordinal_fit(x, grades, common / common.mean(), levels)
     return ToxicityModel(blank.numbers, weights, cuts)
 
