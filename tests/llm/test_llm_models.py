@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vitalgauge.llm import kneser_ney, queries, toxicity
+from vitalgauge.llm import kneser_ney, language, queries, toxicity
 from vitalgauge.llm.ann import Centroids, balanced_centroids, nearest_neighbours, squared
 from vitalgauge.llm.kneser_ney import discounts, fit_kneser_ney, model_scores
 from vitalgauge.llm.language import fit_language, predicted_languages
@@ -105,6 +105,31 @@ def test_language_of_odd_rows(spark, documents):
     assert predicted_languages(documents([]), fit_language(docs)).count() == 0
 
 
+def test_languages_of_large_scripts(spark, documents):
+    rng = np.random.default_rng(1)
+    kana, han, hangul = ([chr(c) for c in range(low, low + n)] for low, n in ((0x3041, 86), (0x4E00, 600), (0xAC00, 600)))
+    kana += [chr(c) for c in range(0x30A1, 0x30FB)]
+
+    def texts(lang, letters, n, size):
+        return [("".join(rng.choice(letters, size)), lang) for _ in range(n)]
+
+    learned = texts("ja", kana, 40, 900) + texts("zh", han, 40, 80) + texts("ko", hangul, 40, 80)
+    model = fit_language(documents([(i, *row) for i, row in enumerate(learned)]))
+    asked = texts("zh", han, 20, 40) + texts("ko", hangul, 20, 40)
+    assert model.predict([t for t, _ in asked])[0] == [lang for _, lang in asked]
+
+
+def test_every_language_is_learned(spark, documents, monkeypatch):
+    rows = [(3 * k + i, "".join(chr(0x4E00 + 4 * k + j) for j in (0, 1, 2, i)) * 3, f"l{k:03}") for k in range(230) for i in range(3)]
+    model = fit_language(documents(rows))
+    assert len(model.languages) == 230
+    texts = [t for _, t, _ in rows]
+    assert model.predict(texts)[0] == [lang for _, _, lang in rows]
+    by_weights = model.decisions(texts)
+    monkeypatch.setattr(language, "TABLE", 0)
+    assert np.allclose(by_weights, model.decisions(texts), atol=1e-5)
+
+
 # --- toxicity ---------------------------------------------------------------------------------------
 
 

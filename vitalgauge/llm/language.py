@@ -5,13 +5,14 @@ kernel, normalised by the numbers of n-grams. Nyström: the kernel is taken agai
 whose own kernel matrix whitens it; in that space one ridge regression per language separates it from the rest.
 
 A decision is linear in the kernel values, and those are a product of presence vectors; so the landmarks' n-grams and
-the regressions multiply into one weight per n-gram and language, and whole batches are scored as a product of
-their presence matrix with these weights. The values are the same as by way of the landmarks.
+the regressions multiply into one weight per n-gram and language. Where that table would have more than ``TABLE`` numbers,
+as with very many languages, the kernel values are counted from lists of the landmarks that hold an n-gram. The values are the same.
 
-Characters are lower-cased; those beyond the ``ALPHABET`` most frequent of the sample count as one.
+Characters are lower-cased, and no two count as one: three of 21 bits fit in a 64-bit number, so that is an n-gram's
+number in any script. What is kept are the landmarks' n-grams, sorted.
 
 Fitting reads a bounded sample taken by a hash of the id: about ``FIT_ROWS`` texts of at most ``FIT_BYTES`` bytes,
-the same number for each of the ``LANGUAGES`` most frequent languages, of which ``LANDMARKS`` in all serve as landmarks.
+the same number, two at least, for each value of ``lang``, of which ``LANDMARKS`` in all, one at least for each, serve as landmarks.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; so is every text if nothing could be
 learned; an only language gets score 1; ties go to the first language in alphabetical order; repeated rows are predicted
@@ -21,7 +22,6 @@ alike; an empty table gives no rows.
 from __future__ import annotations
 
 import functools
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -36,82 +36,100 @@ from vitalgauge.llm.common import text_bytes
 
 FIT_ROWS = 2400
 FIT_BYTES = 20_000
-LANGUAGES = 200
 LANDMARKS = 240
 ORDERS = 3
-ALPHABET = 127
 RIDGE = 1e-3
 UNKNOWN = "und"
-#: Texts of one matrix product.
+#: Texts decided at a time.
 BATCH = 64
+#: Most numbers of a table of weights.
+TABLE = 1 << 24
+#: A character's bits in an n-gram's number.
+_BITS = 21
 _LETTER = regex.compile(r"\p{L}")
 
 
 @dataclass(frozen=True)
 class Alphabet:
-    """Number of each character; 0 for all that are not in it. N-grams are numbered by order, then as digits."""
+    """The sample's ``characters``. N-grams of all others have numbers too: the digits are a character's Unicode number + 1."""
 
     characters: str
 
-    @functools.cached_property
-    def size(self) -> int:
-        return len(self.characters) + 1
-
-    @functools.cached_property
-    def numbers(self) -> np.ndarray:
-        table = np.zeros(0x110000, np.int64)
-        for i, c in enumerate(self.characters, 1):
-            table[ord(c)] = i
-        return table
+    def present(self, text: str) -> np.ndarray:
+        """The n-grams of a text, each once, ascending."""
+        codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) + 1
+        found, gram = [codes], codes
+        for n in range(1, ORDERS):
+            gram = (gram[:-1] << _BITS) + codes[n:]
+            found.append(gram)
+        return np.unique(np.concatenate(found))
 
-    @functools.cached_property
-    def grams(self) -> int:
-        return sum(self.size**n for n in range(1, ORDERS + 1))
 
-    @functools.cached_property
-    def _stamps(self) -> np.ndarray:
-        return np.zeros(self.grams, np.int64)
+@dataclass(frozen=True)
+class Landmarks:
+    """The landmarks' ``grams``, sorted; those that hold gram i are ``holders[starts[i] : starts[i + 1]]``."""
 
-    def present(self, text: str) -> np.ndarray:
-        """The n-grams of a text, each once, in no order."""
-        codes = self.numbers[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)]
-        found, gram, start = [], codes, 0
-        for n in range(1, ORDERS + 1):
-            if n > 1:
-                gram = gram[:-1] * self.size + codes[n - 1 :]
-            found.append(gram + start)
-            start += self.size**n
-        every = np.concatenate(found)
-        order = np.arange(len(every))
-        self._stamps[every] = order  # the last of equal ones stays
-        return every[self._stamps[every] == order]
+    grams: np.ndarray
+    starts: np.ndarray
+    holders: np.ndarray
+    #: Roots of the landmarks' numbers of n-grams.
+    norms: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[np.ndarray]) -> Landmarks:
+        every = np.concatenate([np.zeros(0, np.int64), *texts])
+        holders = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) for t in texts])
+        order = np.argsort(every, kind="stable")
+        grams, starts = np.unique(every[order], return_index=True)
+        return cls(grams, np.r_[starts, len(every)], holders[order], np.sqrt([len(t) for t in texts]))
+
+    def rows(self, found: np.ndarray) -> np.ndarray:
+        """Where those of the n-grams are that a landmark holds."""
+        if not len(self.grams):
+            return np.zeros(0, np.int64)
+        at = np.searchsorted(self.grams, found).clip(max=len(self.grams) - 1)
+        return at[self.grams[at] == found]
+
+    def kernel(self, found: np.ndarray) -> np.ndarray:
+        """A text's kernel values."""
+        rows = self.rows(found)
+        low, n = self.starts[rows], self.starts[rows + 1] - self.starts[rows]
+        every = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.bincount(self.holders[every], minlength=len(self.norms)) / (self.norms * max(len(found), 1) ** 0.5)
 
 
 @dataclass(frozen=True)
 class LanguageModel:
     languages: tuple[str, ...]
     alphabet: Alphabet
-    #: The landmarks' n-grams, sorted, and their weights by language.
-    grams: np.ndarray
-    weights: np.ndarray
+    landmarks: Landmarks
+    #: By landmark and language.
+    ridge: np.ndarray
     offsets: np.ndarray
     sharpness: float
 
+    @property
+    def grams(self) -> np.ndarray:
+        return self.landmarks.grams
+
     @functools.cached_property
-    def _rows(self) -> np.ndarray:
-        rows = np.full(self.alphabet.grams, -1, np.int32)
-        rows[self.grams] = np.arange(len(self.grams))
-        return rows
+    def weights(self) -> np.ndarray:
+        """By n-gram of the landmarks and language."""
+        table = np.zeros((len(self.grams), len(self.languages)), np.float32)
+        for k, column in enumerate((self.ridge / self.landmarks.norms[:, None]).T if len(self.grams) else ()):
+            table[:, k] = np.add.reduceat(column[self.landmarks.holders], self.landmarks.starts[:-1])
+        return table
 
     def decisions(self, texts: Sequence[str]) -> np.ndarray:
         """Per text and language, the ridge regression's value."""
-        presence, norms = np.zeros((len(texts), len(self.grams)), np.float32), np.ones(len(texts))
-        for i, text in enumerate(texts):
+        values = np.zeros((len(texts), len(self.languages)))
+        for value, text in zip(values, texts, strict=True):
             found = self.alphabet.present(text)
-            norms[i] = max(len(found), 1) ** 0.5
-            rows = self._rows[found]
-            presence[i, rows[rows >= 0]] = 1
-        return (presence @ self.weights) / norms[:, None] + self.offsets
+            if len(self.grams) * len(self.languages) <= TABLE:
+                value[:] = self.weights[self.landmarks.rows(found)].sum(0) / max(len(found), 1) ** 0.5
+            else:
+                value[:] = self.landmarks.kernel(found) @ self.ridge
+        return values + self.offsets
 
     def predict(self, texts: Sequence[str]) -> tuple[list[str], list[float]]:
         languages, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
@@ -132,14 +150,15 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 def language_sample(docs: DataFrame, rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES) -> list[tuple[str, str]]:
     """Language and text of a bounded sample, the same number for each language, in the order of a hash of the id."""
     known = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = [(r["lang"], r["count"]) for r in known.groupBy("lang").count().collect()]
     if not counts:
         return []
     each = max(2, rows // len(counts))
     # a first cut by the hash alone, of about twice what is wanted, so that few rows meet by language
     mixed = F.xxhash64(F.col("doc_id"), F.lit("language"))
-    cut = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], int(2**62 * min(1.0, (2 * each + 20) / r["count"])))])
-    thinned = known.filter(F.shiftrightunsigned(mixed, 2) < cut[F.col("lang")]).filter(F.octet_length("text") <= fit_bytes)
+    cuts = [(lang, int(2**62 * min(1.0, (2 * each + 20) / n))) for lang, n in counts]
+    cut = F.broadcast(docs.sparkSession.createDataFrame(cuts, "lang string, cut long"))  # a row per language
+    thinned = known.join(cut, "lang").filter(F.shiftrightunsigned(mixed, 2) < F.col("cut")).filter(F.octet_length("text") <= fit_bytes)
     order = Window.partitionBy("lang").orderBy("mixed", "doc_id", "text")
     chosen = thinned.withColumn("mixed", mixed).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= each)
     return [(r["lang"], r["text"]) for r in chosen.orderBy("place", "lang").select("lang", "text").collect()]
@@ -149,28 +168,17 @@ def fit_language(docs: DataFrame, rows: int = FIT_ROWS, landmarks: int = LANDMAR
     """A model from ``text`` and ``lang`` of ``docs``."""
     sample = [(lang, text) for lang, text in language_sample(docs, rows) if _LETTER.search(text)]
     languages = tuple(sorted({lang for lang, _ in sample}))
-    seen = Counter()
-    for _, text in sample:
-        seen.update(text.lower())
-    alphabet = Alphabet("".join(c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:ALPHABET]))
+    alphabet = Alphabet("".join(sorted({c for _, text in sample for c in text.lower()})))
     if len(languages) < 2:
-        none = np.zeros((0, len(languages)), np.float32)
-        return LanguageModel(languages, alphabet, np.zeros(0, np.int64), none, np.zeros(len(languages)), 1.0)
+        none = np.zeros((0, len(languages)))
+        return LanguageModel(languages, alphabet, Landmarks.of([]), none, np.zeros(len(languages)), 1.0)
 
     # the sample comes language by language in turn, so its first texts are landmarks of all languages alike
-    chosen = [alphabet.present(text) for _, text in sample[: max(landmarks, len(languages))]]
-    grams = np.unique(np.concatenate(chosen))
-    marks = np.zeros((len(chosen), len(grams)), np.float32)
-    for row, found in zip(marks, chosen, strict=True):
-        row[np.searchsorted(grams, found)] = 1
-    marks /= np.sqrt(marks.sum(1, keepdims=True))
-
-    kernel = np.empty((len(sample), len(chosen)))
-    for i, (_, text) in enumerate(sample):
-        found = alphabet.present(text)
-        at = np.searchsorted(grams, found).clip(max=len(grams) - 1)
-        kernel[i] = marks[:, at[grams[at] == found]].sum(1) / np.sqrt(len(found))
-    values, vectors = np.linalg.eigh(marks.astype(float) @ marks.T.astype(float))
+    first = {lang: i for i, (lang, _) in reversed(list(enumerate(sample)))}
+    sample.sort(key=lambda row: first.pop(row[0], len(sample)))  # one of each language before all others
+    marks = Landmarks.of([alphabet.present(text) for _, text in sample[: max(landmarks, len(languages))]])
+    kernel = np.array([marks.kernel(alphabet.present(text)) for _, text in sample])
+    values, vectors = np.linalg.eigh(kernel[: len(marks.norms)])
     sound = values > 1e-6 * values.max()
     whitening = vectors[:, sound] / np.sqrt(values[sound])
     mapped = kernel @ whitening
@@ -182,8 +190,7 @@ def fit_language(docs: DataFrame, rows: int = FIT_ROWS, landmarks: int = LANDMAR
     offsets = offsets - center @ ridge
     decided, truth = mapped @ ridge + offsets, wanted.argmax(1)
     loss = {s: -np.log(_softmax(decided * s)[np.arange(len(truth)), truth] + 1e-12).mean() for s in (1, 2, 3, 4, 6, 8, 12)}
-    weights = (marks.T @ (whitening @ ridge)).astype(np.float32)
-    return LanguageModel(languages, alphabet, grams, weights, offsets, float(min(loss, key=loss.get)))
+    return LanguageModel(languages, alphabet, marks, whitening @ ridge, offsets, float(min(loss, key=loss.get)))
 
 
 def predicted_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
