@@ -143,6 +143,25 @@ def test_windows_have_the_target_mixture():
     assert taken == set(range(sum(totals)))
 
 
+def test_sources_beyond_the_queues_take_turns(spark, documents, monkeypatch):
+    monkeypatch.setattr("vitalgauge.llm.packing._PART_TOKENS", 1000)
+    names = [None, *(f"s{k:02}" for k in range(39))]
+    rows = [(100 * k + i, "one two three four five six seven eight nine ten", "en", name) for k, name in enumerate(names) for i in range(30)]
+    docs = documents(rows).coalesce(1).sortWithinPartitions("doc_id")
+    pieces = packed_pieces(docs, BYTES, window=1024, sequence=64, queues=4).collect()
+    ids = Tokenizer.from_file(BYTES).encode(rows[0][1]).ids + [1]
+    assert_packed(pieces, {r[0]: (ids, 1) for r in rows}, 64)
+    total = len(ids) * len(rows)
+    given = collections.Counter()
+    windows = collections.defaultdict(collections.Counter)
+    for p in pieces:
+        windows[p.sequence_id // 16][p.doc_id // 100] += p.length
+    for w in range(total // 1024):
+        given.update(windows[w])
+        due = 30 * len(ids) * (w + 1) * 1024 / total
+        assert all(abs(given[k] - due) <= 4 * len(ids) for k in range(40))
+
+
 def test_deficits_do_not_overflow():
     places = Places((7 * 10**14, 3 * 10**13, 11))
     run = list(places.runs(0, 7 * 10**14 - 10, 10))

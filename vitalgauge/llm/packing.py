@@ -11,8 +11,12 @@ the rest at the very end, which is cut into powers of two, so that nothing is pa
 
 Targets are the sources' shares of all tokens, as every document is packed whole and once.
 
+If there are more sources than queues, the rest (the tail) share the last queue, which deals their documents out in a second
+round: a document stands where its start is among its source's tokens, as a fraction of them, turned by a hash of the source so that small
+sources do not all begin at once. So each stretch of that queue has every source's share, up to the documents at its ends.
+
 Steps: (1) texts are encoded once, and the ids are stored in the shared folder with each task's running count per queue;
-(2) the counts per task and queue are summed along each queue; (3) each stored document gets its place and
+(2) the counts per task and queue are summed along each queue, and the tail is sorted in ``TAIL_PARTS`` parts of its round, ids and counts only; (3) each stored document gets its place and
 is cut into pieces. Only the second step's small rows meet by queue, so a hot source is nobody's load.
 
 Defined cases: a null text is an empty one, and an empty document has just the end id; a null source is a queue
@@ -24,6 +28,7 @@ from __future__ import annotations
 
 import functools
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,9 +49,12 @@ WINDOW = 32 * SEQUENCE
 END_ID = 1
 #: Queues. The sources of most documents have one each; if there are more, the rest share the last one.
 QUEUES = 256
+#: Most parts of the tail's round, each sorted on its own, and the tokens from which on there is one more.
+TAIL_PARTS = 65_536
+_PART_TOKENS = 1 << 20
 #: Rows a task puts out at a time.
 _ROWS = 2048
-_TOKENS = "part int, at long, doc_id long, queue int, start long, n long, ids binary"
+_TOKENS = "part int, at long, doc_id long, queue int, start long, n long, ids binary, tail string"
 _PIECES = "doc_id long, queue int, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -129,36 +137,61 @@ def queue_numbers(docs: DataFrame, queues: int = QUEUES) -> dict[str | None, int
 
 
 def token_table(docs: DataFrame, tokenizer_path: str, queues: int = QUEUES, end_id: int = END_ID) -> DataFrame:
-    """Each document's packed ids, and where it starts among its task's tokens of the same queue; stored."""
+    """Each document's packed ids, and where it starts among its task's tokens of the same queue, or in the last queue of
+    the same source, its ``tail``; stored."""
     numbers = queue_numbers(docs, queues)
     others = queues - 1
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, given, at, part = encoder(tokenizer_path), [0] * queues, 0, TaskContext.get().partitionId()
+        bpe, given, at, part = encoder(tokenizer_path), Counter(), 0, TaskContext.get().partitionId()
         end = np.array([end_id], bpe.dtype).tobytes()
         for batch in batches:
             texts = text_bytes(batch, "text")
             for low in range(0, batch.num_rows, _ROWS):
                 rows = batch.slice(low, _ROWS)
-                queue = [numbers.get(s, others) for s in rows.column(1).to_pylist()]
+                sources = rows.column(1).to_pylist()
+                queue = [numbers.get(s, others) for s in sources]
+                tail = [s if q == others else None for s, q in zip(sources, queue, strict=True)]
                 ids = [bpe.encode(next(texts).decode()) + end for _ in queue]
                 n = [len(x) // bpe.dtype.itemsize for x in ids]
                 start = []
-                for q, k in zip(queue, n, strict=True):
-                    start.append(given[q])
-                    given[q] += k
-                columns = [[part] * len(n), range(at, at + len(n)), rows.column(0), queue, start, n, ids]
+                for q, s, k in zip(queue, tail, n, strict=True):
+                    start.append(given[q, s])
+                    given[q, s] += k
+                columns = [[part] * len(n), range(at, at + len(n)), rows.column(0), queue, start, n, ids, tail]
                 at += len(n)
-                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.string()]
                 yield pa.RecordBatch.from_arrays(
                     [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(columns, kinds, strict=True)],
-                    names=["part", "at", "doc_id", "queue", "start", "n", "ids"],
+                    names=["part", "at", "doc_id", "queue", "start", "n", "ids", "tail"],
                 )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"))
     return share(rows.mapInArrow(encoded, _TOKENS), "tokens", compression="zstd")
 
 
+def tail_starts(tokens: DataFrame, queue: int, total: int) -> DataFrame:
+    """``part``, ``at`` and ``place`` of the documents of the last queue: where each starts there, the sources taking turns."""
+    docs = tokens.filter(F.col("queue") == queue).select("part", "at", "tail", "start", "n")
+    own = Window.partitionBy("tail")
+    before = own.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = docs.groupBy("tail", "part").agg(F.sum("n").alias("given"))
+    sums = sums.select("tail", "part", F.coalesce(F.sum("given").over(before), F.lit(0)).alias("before"), F.sum("given").over(own).alias("total"))
+    joined = docs.alias("d").join(sums.alias("s"), F.col("d.tail").eqNullSafe(F.col("s.tail")) & (F.col("d.part") == F.col("s.part")))
+    phase = F.shiftrightunsigned(F.xxhash64(F.col("d.tail"), F.lit("phase")), 11) / F.lit(float(1 << 53))
+    turn = ((F.col("before") + F.col("start")) / F.col("total") + phase) % F.lit(1.0)
+    parts = min(TAIL_PARTS, 1 + total // _PART_TOKENS)
+    placed = joined.select("d.part", "d.at", "n", turn.alias("turn")).withColumn("stretch", F.floor(F.col("turn") * parts))
+    placed = share(placed, "tail-turns")
+    # at most TAIL_PARTS rows meet in one task
+    ahead = Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    stretches = placed.groupBy("stretch").agg(F.sum("n").alias("given"))
+    stretches = stretches.select("stretch", F.coalesce(F.sum("given").over(ahead), F.lit(0)).alias("ahead"))
+    within = Window.partitionBy("stretch").orderBy("turn", "part", "at").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = placed.withColumn("within", F.coalesce(F.sum("n").over(within), F.lit(0)))
+    return ordered.join(stretches, "stretch").select("part", "at", (F.col("ahead") + F.col("within")).alias("place"))
+
+
 def packed_pieces(
     docs: DataFrame,
     tokenizer_path: str,
@@ -190,5 +223,11 @@ def packed_pieces(
                 columns = zip(*out, strict=True) if out else [()] * 8
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
-    placed = tokens.join(offsets, ["queue", "part"]).select("doc_id", "queue", (F.col("start") + F.col("before")).alias("start"), "n", "ids")
+    columns = ["doc_id", "queue", "start", "n", "ids"]
+    last = places.totals[-1]
+    first = tokens.filter(F.col("queue") < queues - 1) if last else tokens
+    placed = first.join(offsets, ["queue", "part"]).withColumn("start", F.col("start") + F.col("before")).select(columns)
+    if last:
+        tail = tokens.filter(F.col("queue") == queues - 1).join(tail_starts(tokens, queues - 1, last), ["part", "at"])
+        placed = placed.union(tail.withColumn("start", F.col("place")).select(columns))
     return placed.mapInArrow(cut, _PIECES)
