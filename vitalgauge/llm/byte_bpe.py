@@ -86,10 +86,14 @@ class _Kept(dict):
 
 
 class ByteBpe:
-    """Encodes texts as packed ids of ``dtype``, as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them."""
+    """Encodes texts as packed ids of ``dtype``, as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them.
 
-    def __init__(self, path: str):
+    ``special_as_text``: special strings inside texts are ordinary text.
+    """
+
+    def __init__(self, path: str, special_as_text: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = special_as_text
         config = json.loads(Path(path).read_text())
         before = config["pre_tokenizer"] or {}
         self.by_pieces = (
@@ -97,7 +101,7 @@ class ByteBpe:
             and config["model"]["type"] == "BPE"
             and (before.get("type"), before.get("add_prefix_space"), before.get("use_regex")) == ("ByteLevel", False, True)
         )
-        self.special = [t["content"] for t in config["added_tokens"]]
+        self.special = [] if special_as_text else [t["content"] for t in config["added_tokens"]]
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.merge = self._merger(config["model"])
@@ -138,11 +142,12 @@ class ByteBpe:
         return self._pieces(first) + b"".join(map(self.words.__getitem__, others))
 
 
-_encoders: dict[str, ByteBpe] = {}
+_encoders: dict[tuple[str, bool], ByteBpe] = {}
 
 
-def encoder(path: str) -> ByteBpe:
+def encoder(path: str, special_as_text: bool = False) -> ByteBpe:
     """One encoder per worker and vocabulary, so that what it keeps serves all tasks of the worker."""
-    if path not in _encoders:
-        _encoders[path] = ByteBpe(path)
-    return _encoders[path]
+    key = (path, special_as_text)
+    if key not in _encoders:
+        _encoders[key] = ByteBpe(path, special_as_text)
+    return _encoders[key]

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitalgauge.llm.alignment import alignments, with_link_counts
 from vitalgauge.llm.ann import nearest_neighbours
 from vitalgauge.llm.common import WORD, id_remainder, table
 from vitalgauge.llm.exact_dedup import DigestIndex
@@ -15,10 +17,12 @@ from vitalgauge.llm.kneser_ney import fit_kneser_ney, model_scores
 from vitalgauge.llm.language import fit_language, predicted_languages
 from vitalgauge.llm.mixing import MOST_COPIES, SEED, SLICE_DIGITS, UNIT, mixed_copies
 from vitalgauge.llm.packing import packed_pieces
+from vitalgauge.llm.periodic import periodic_runs
 from vitalgauge.llm.quality import fit_quality, predicted, quality_scores
 from vitalgauge.llm.simhash import near_duplicate_groups
 from vitalgauge.llm.token_prefixes import LIMIT, prefix_tables
 from vitalgauge.llm.toxicity import fit_toxicity, toxicity_scores
+from vitalgauge.sources.shared import share
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +91,50 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words, of a tenth of the documents with a period from some word on that their id sets."""
+    h = zlib.crc32(b"" if doc_id is None else b"%d" % doc_id)
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * -(-(n - a) // p))[: n - a]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(table(spark, sf_dir, "documents"), prepare=_with_planted_period)
+    fractions = lambda best, r: best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+    best = F.expr("CAST(NULL AS struct<start: bigint, length: bigint, period: bigint>)")
+    best = F.aggregate("runs", best, lambda best, r: F.when(fractions(best, r), r).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best.alias("best"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id",
+        "n_runs",
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    aligned = alignments(table(spark, sf_dir, "documents"), *paths)
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    stored = share(aligned.withColumn("groups_sha256", digest).drop("groups"), "alignments", compression="zstd")
+    columns = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    return with_link_counts(stored).select(columns)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -100,6 +148,8 @@ QUERIES: dict[str, Query] = {
         op8_compression_quality,
         op9_mix_sources,
         op10_pack_sequences,
+        op12_periodic_runs,
+        op13_token_alignment,
     )
 }
 
