@@ -13,6 +13,7 @@ from vitalgauge.llm.alignment import alignments, with_link_counts
 from vitalgauge.llm.ann import nearest_neighbours
 from vitalgauge.llm.common import WORD, id_remainder, table
 from vitalgauge.llm.exact_dedup import DigestIndex
+from vitalgauge.llm.html_extraction import extracted, fit_extraction
 from vitalgauge.llm.kneser_ney import fit_kneser_ney, model_scores
 from vitalgauge.llm.language import fit_language, predicted_languages
 from vitalgauge.llm.mixing import MOST_COPIES, SEED, SLICE_DIGITS, UNIT, mixed_copies
@@ -91,6 +92,11 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extracted(pages, fit_extraction(pages)).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def _with_planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """The words, of a tenth of the documents with a period from some word on that their id sets."""
     h = zlib.crc32(b"" if doc_id is None else b"%d" % doc_id)
@@ -148,6 +154,7 @@ QUERIES: dict[str, Query] = {
         op8_compression_quality,
         op9_mix_sources,
         op10_pack_sequences,
+        op11_html_extraction,
         op12_periodic_runs,
         op13_token_alignment,
     )
