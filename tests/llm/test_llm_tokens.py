@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 
 from vitalgauge.llm import queries
 from vitalgauge.llm.byte_bpe import ByteBpe
+from vitalgauge.llm.kept import Kept
 from vitalgauge.llm.packing import Places, packed_pieces
 from vitalgauge.llm.token_prefixes import PrefixBpe, longest_within, prefix_tables, tokens_at
 
@@ -39,7 +40,8 @@ def test_byte_ids(texts):
 
 
 def test_what_is_kept_is_bounded(monkeypatch, texts):
-    monkeypatch.setattr("vitalgauge.llm.byte_bpe.KEPT", 50)
+    monkeypatch.setattr("vitalgauge.llm.byte_bpe.WORD_BYTES", 8000)
+    monkeypatch.setattr("vitalgauge.llm.byte_bpe.PIECE_BYTES", 8000)
     ours, library = ByteBpe(BYTES), Tokenizer.from_file(BYTES)
     for text in texts:
         assert np.frombuffer(ours.encode(text), "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
@@ -55,6 +57,49 @@ def test_counts_at_every_prefix(texts):
             assert counts[n - 1] == len(library.encode(cased[:n], add_special_tokens=False).ids), (text, n)
 
 
+CONTEXTS = ("{}", "-${}", "a{}b", "'{}", "1{} x")
+
+
+def test_counts_of_every_character():
+    ours, library = PrefixBpe(WORDS), Tokenizer.from_file(WORDS)
+
+    def agree(texts):
+        counted = [int(np.frombuffer(ours.steps(t), np.int8).sum(dtype=np.int64)) for t in texts]
+        return counted == [len(x.ids) for x in library.encode_batch(texts, add_special_tokens=False)]
+
+    for block in range(0x32400 >> 8):
+        characters = [chr(c) for c in range(block << 8, (block + 1) << 8) if not 0xD800 <= c <= 0xDFFF]
+        ours._has_unsure("".join(characters))
+        known = [c for c in characters if c not in ours.unsure]
+        # characters both take alike go together, as one that they don't would send the whole text to the library
+        texts = [" ".join(context.format(c) for c in known) for context in CONTEXTS]
+        assert agree(texts), hex(block << 8)
+        assert agree([x.format(c) for c in characters if c in ours.unsure for x in CONTEXTS]), hex(block << 8)
+    assert {"\ua7cb", "\u058b"} <= ours.unsure and len(ours.unsure) < 20_000
+    assert agree(["'-$\u058b", "'\u200d\u0cdc", "a \ua7cb. b\ua7dc <|endoftext|> \u208f's"])
+
+
+def test_long_texts_are_not_kept():
+    ours = PrefixBpe(WORDS)
+    rng = random.Random(2)
+    for _ in range(300):
+        ours.steps("".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(1500)))
+    assert sum(map(len, [*ours.parts, *ours.words])) < 100_000
+    ids = ByteBpe(BYTES)
+    for k in range(300):
+        ids.encode("ab" * 3000 + str(k))
+    assert sum(map(len, [*ids.words, *ids.pieces])) < 100_000
+
+
+def test_kept_results_are_bounded():
+    made = []
+    kept = Kept(lambda key: made.append(key) or len(key), most_bytes=80_000)
+    for k in [*range(500), *range(450, 500), 0, *["x" * 60] * 3]:
+        assert kept[str(k)] == len(str(k))
+    assert len(kept) + len(kept.before) <= 200
+    assert len(made) == 500 + 1 + 3  # those of the last span are known, the first is not, long ones never are
+
+
 def test_counts_query(spark, sf_dir, table):
     library = Tokenizer.from_file(WORDS)
     got = {r.doc_id: r for r in queries.op3_token_counts(spark, sf_dir).collect()}

@@ -19,8 +19,10 @@ import numpy as np
 import tiktoken
 from tokenizers import Tokenizer
 
-#: Pieces, and words, that a worker keeps at most.
-KEPT = 600_000
+from vitalgauge.llm.kept import Kept
+
+#: Bytes of pieces, and of words, that a worker keeps at most.
+PIECE_BYTES, WORD_BYTES = 64 << 20, 256 << 20
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ſ"
 _NUMBERS = "0-9²³¹¼½¾"
 _SPACES = r"\t\n\r "
@@ -38,7 +40,8 @@ _INNER_SPACE = re.compile(r"[\t\n\r ] (?:[\t\n\r ]|$)")
 _SECOND_SPACE = ("  ", "\n ", "\t ", "\r ")
 
 
-def _plain(text: str) -> bool:
+def plain(text: str) -> bool:
+    """Whether the kind of each character is the same everywhere, and none joins with its neighbours."""
     if text.isascii():
         return not any(c in text for c in _UNSURE)
     return _PLAIN.fullmatch(text) is not None
@@ -63,28 +66,6 @@ def in_letters(piece: str) -> str:
 _SPACE_LETTER = _AS_LETTERS[ord(" ")]
 
 
-class _Kept(dict):
-    """Remembers what ``make`` returns, and of two spans of use the last: what is used again stays."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-        self.before: dict = {}
-
-    def __missing__(self, key):
-        found = self.before.get(key)
-        if found is None:
-            found = self.make(key)
-        self[key] = found
-        return found
-
-    def trim(self, most: int) -> None:
-        """Begin a new span when this one has more than half of ``most`` entries."""
-        if 2 * len(self) > most:
-            self.before = dict(self)
-            self.clear()
-
-
 class ByteBpe:
     """Encodes texts as packed ids of ``dtype``, as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them.
 
@@ -105,8 +86,8 @@ class ByteBpe:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.merge = self._merger(config["model"])
-        self.pieces = _Kept(self._piece)
-        self.words = _Kept(lambda word: self._pieces(" " + word))
+        self.pieces = Kept(self._piece, PIECE_BYTES)
+        self.words = Kept(self._word, WORD_BYTES)
 
     def _packed(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
@@ -123,7 +104,11 @@ class ByteBpe:
             return lambda piece: [t.id for t in self.tokenizer.model.tokenize(in_letters(piece))]
         known = {*made, *(vocab[c] for c in letters)}
         ranks = {b"".join(map(letters.get, token)): i for token, i in vocab.items() if i in known}
-        return tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        return tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
+
+    def _word(self, word: str) -> bytes:
+        """The ids of a word after a space."""
+        return self._piece(" " + word) if word.isalpha() else self._pieces(" " + word)
 
     def _pieces(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text)))
@@ -131,13 +116,11 @@ class ByteBpe:
     def encode(self, text: str) -> bytes:
         if (
             not self.by_pieces
-            or not _plain(text)
+            or not plain(text)
             or any(s in text for s in self.special)
             or (any(s in text for s in _SECOND_SPACE) and _INNER_SPACE.search(text))
         ):
             return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        self.words.trim(KEPT)
-        self.pieces.trim(KEPT)
         first, *others = text.split(" ")
         return self._pieces(first) + b"".join(map(self.words.__getitem__, others))
 

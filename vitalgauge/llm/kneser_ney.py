@@ -42,8 +42,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgauge.llm.byte_bpe import KEPT, _Kept
 from vitalgauge.llm.common import text_bytes, words
+from vitalgauge.llm.kept import Kept
 from vitalgauge.sources.shared import shared_path
 
 #: A word never holds a space, so these are no word's hash but by chance.
@@ -65,12 +65,13 @@ def pair_key(context: np.ndarray, word: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(33))
 
 
-_hashes: _Kept = _Kept(lambda word: xxhash.xxh64_intdigest(word))
+#: Bytes of words and their hashes that a worker keeps at most.
+HASH_BYTES = 128 << 20
+_hashes = Kept(xxhash.xxh64_intdigest, HASH_BYTES)
 
 
 def token_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Context, token and text number of every token."""
-    _hashes.trim(KEPT)
     found = [words(t) for t in texts]
     sizes = np.array([len(w) + 1 for w in found], np.int64)
     ends = np.cumsum(sizes) - 1

@@ -21,6 +21,7 @@ and text are not read.
 
 from __future__ import annotations
 
+import functools
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -33,9 +34,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from vitalgauge.llm.byte_bpe import KEPT, _Kept, in_letters
+from vitalgauge.llm.byte_bpe import in_letters
 from vitalgauge.llm.common import text_bytes
+from vitalgauge.llm.kept import Kept
 
 LIMIT = 2048
 _END = "</w>"
@@ -45,6 +48,12 @@ _PARTS = regex.compile(rf"[{''.join(sorted(_SPACES))}]|[^{''.join(sorted(_SPACES
 _PIECES = regex.compile(r"'(?:[stmd]|re|ve|ll)|\p{L}+|\p{N}|[^\p{L}\p{N}]+")
 #: Longest word whose prefixes are remembered for other words.
 _SHARED_LETTERS = 40
+#: Bytes of words, and of what white space separates, that a worker keeps at most.
+WORD_BYTES, PART_BYTES = 256 << 20, 320 << 20
+#: Prefixes, and neighbours, that a worker keeps at most.
+PREFIXES, NEIGHBOURS = 300_000, 300_000
+#: Letters around a character by which normal forms and splits show: of several combining classes, and of each kind.
+_AROUND = ("a\u0345{}\u0327\u0323\u0301", "a{0}-{0}1{0}'{0} {0}")
 
 
 class PrefixBpe:
@@ -64,11 +73,15 @@ class PrefixBpe:
             self.tokens.add_word(text, (text if text in vocab else "", text + _END if text + _END in vocab else "", len(text)))
         self.tokens.make_automaton()
         self.fits: dict[tuple[str, str], bool] = {}
-        self.made = _Kept(self._made)
+        self.library = Tokenizer.from_file(path)
+        self.checked: set[int] = set()
+        #: Characters that this Python and the library take differently.
+        self.unsure: set[str] = set()
+        self.made = functools.cache(self._made)
         #: By prefix: the entries of some word that begins with it.
         self.tables: dict[str, tuple[list[str], list[int], list[int]]] = {}
-        self.parts = _Kept(self._part)
-        self.words = _Kept(self._word)
+        self.parts = Kept(self._part, PART_BYTES)
+        self.words = Kept(self._word, WORD_BYTES)
 
     def _made(self, token: str) -> tuple[int, str, str] | None:
         """Rank and parts of the last merge that makes a token of its own text; rank -1 for a single letter, None if
@@ -106,7 +119,7 @@ class PrefixBpe:
 
     def _fits(self, left: str, right: str) -> bool:
         made, ranks = self.made, self.ranks
-        if made[right] is None:
+        if made(right) is None:
             return False
         if not left:
             return True
@@ -114,7 +127,7 @@ class PrefixBpe:
         while True:
             if ranks.get((left, right), limit) < limit:
                 return False
-            (in_left, _, left_end), (in_right, right_start, _) = made[left], made[right]
+            (in_left, _, left_end), (in_right, right_start, _) = made(left), made(right)
             if in_left < 0 and in_right < 0:
                 return True
             if in_left > in_right:
@@ -192,15 +205,52 @@ class PrefixBpe:
         composed = unicodedata.normalize("NFC", text)
         return composed.lower() if "Σ" not in composed else "".join(c.lower() for c in composed)
 
+    def _has_unsure(self, text: str) -> bool:
+        """Whether the library may take some character of the text for another kind or to another normal form.
+
+        The two know different versions of Unicode. Blocks of characters are compared when they are first met.
+        """
+        if text.isascii():
+            return False
+        characters = set(text)
+        for block in {ord(c) >> 8 for c in characters} - self.checked:
+            self.checked.add(block)
+            self.unsure.update(c for c in map(chr, range(block << 8, (block + 1) << 8)) if not self._agrees(c))
+        return not characters.isdisjoint(self.unsure)
+
+    def _agrees(self, c: str) -> bool:
+        if "\ud800" <= c <= "\udfff":
+            return True  # no characters, and never in a text
+        if any(self._normal(x.format(c)).split() != self.library.normalizer.normalize_str(x.format(c)).split() for x in _AROUND):
+            return False
+        text = self._normal(_AROUND[1].format(c))
+        pieces = [piece for part in _PARTS.findall(text) if part not in _SPACES for piece in _PIECES.findall(part)]
+        return pieces == self._library_pieces(text)
+
+    def _library_pieces(self, normal: str) -> list[str]:
+        """The pieces of a text in normal form, by the library."""
+        before = self.library.pre_tokenizer.pre_tokenize_str(normal)
+        return [normal[i:j] for _, (i, j) in before if i < j]
+
+    def _library_steps(self, text: str) -> bytes:
+        """As ``_ordinary``, with normal form and pieces from the library; white space is one space there."""
+        normal = self.library.normalizer.normalize_str(text)
+        steps, at = [], 0
+        for _, (i, j) in self.library.pre_tokenizer.pre_tokenize_str(normal):
+            if i < j:
+                steps += [bytes(max(i - at, 0)), self._word(normal[i:j])]
+                at = j
+        return b"".join([*steps, bytes(len(normal) - at)])
+
     def _ordinary(self, text: str) -> bytes:
+        if self._has_unsure(text):
+            return self._library_steps(text)
         return b"\0".join(map(self.parts.__getitem__, self._normal(text).split(" "))) if text else b""
 
     def steps(self, text: str) -> bytes:
         """By how much each character of the normal form changes the count."""
-        self.parts.trim(KEPT)
-        self.words.trim(KEPT)
-        for kept in (self.tables, self.fits):
-            if len(kept) > KEPT // 2:
+        for kept, most in ((self.tables, PREFIXES), (self.fits, NEIGHBOURS)):
+            if len(kept) > most:
                 kept.clear()
         out = []
         while found := [(at, s) for s in self.special if (at := text.find(s)) >= 0]:
