@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -31,11 +32,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgauge.llm.byte_bpe import byte_letters, encoder
+from vitalgauge.llm.byte_bpe import byte_letters, encoder, plain
 from vitalgauge.llm.common import text_bytes
+from vitalgauge.llm.kept import Kept
 
 #: Text a task aligns at a time.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
+#: Bytes of words and their ids that a worker keeps at most.
+WORD_BYTES = 256 << 20
 #: An id pair as one number: A's id times this, plus B's.
 _PAIR = 1 << 32
 #: A document and an end in it as one number.
@@ -50,7 +54,7 @@ _FIELDS = pa.schema(
 
 
 class Tokens:
-    """One side's vocabulary: the bytes and the size of each id."""
+    """One side's vocabulary: the bytes and the size of each id. No token of either kind is without bytes."""
 
     def __init__(self, texts: list[bytes]):
         self.bytes = pa.array(texts, pa.large_binary())
@@ -60,30 +64,69 @@ class Tokens:
         return len(self.bytes)
 
 
+def _lists(packed: list[bytes], dtype: np.dtype) -> pa.LargeListArray:
+    """Lists of ids from each list's bytes."""
+    sizes = np.array([len(p) for p in packed], np.int64) // dtype.itemsize
+    ids = np.frombuffer(b"".join(packed), dtype).astype(np.int64)
+    return pa.LargeListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]), pa.array(ids))
+
+
+class PieceIds:
+    """Packed ids of whole texts by a SentencePiece BPE model, with known words kept.
+
+    Where no piece has a space after another character, merging never crosses the start of a run of spaces, and a text's
+    ids are those of its words one after the other, each with the spaces before it. Texts with characters
+    beyond a plain range, whose normal form might join such words, or models of another kind, go to the library whole.
+    """
+
+    def __init__(self, path: str):
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.vocab_size())]
+        plain = self.ids("a  b ") == self.ids("a") + self.ids(" b") + self.ids("")
+        self.by_words = plain and not any("▁" in p.lstrip("▁") for p in pieces)
+        self.words = Kept(self._word, WORD_BYTES)
+
+    def ids(self, text: str) -> list[int]:
+        return self.model.encode(text, num_threads=1) if text else [self.model.piece_to_id("▁")]
+
+    def _word(self, word: str) -> bytes:
+        return np.array(self.ids(word), np.int32).tobytes()
+
+    def encode(self, text: str) -> bytes:
+        if not self.by_words or not plain(text):
+            return np.array(self.model.encode(text, num_threads=1), np.int32).tobytes()
+        if "  " in text or text[0] == " " or text[-1] == " ":
+            found = [x[1:] for x in _SPACED.findall(" " + text)]
+        else:
+            found = text.split(" ")
+        return b"".join(map(self.words.__getitem__, found))
+
+
+_SPACED = re.compile(" +[^ ]*")
+
+
 class Aligner:
     """Aligns texts by a byte-level BPE of the tokenizers library and a SentencePiece model."""
 
     def __init__(self, a_path: str, b_path: str):
         self.a_ids = encoder(a_path, special_as_text=True)
-        self.b_ids = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        self.b_ids = PieceIds(b_path)
         config, letters = json.loads(Path(a_path).read_text()), {c: b for b, c in byte_letters().items()}
         names = {i: t for t, i in config["model"]["vocab"].items()} | {t["id"]: t["content"] for t in config["added_tokens"]}
         self.a = Tokens([bytes(letters[c] for c in names.get(i, "")) for i in range(max(names) + 1)])
-        pieces = [(i, self.b_ids.id_to_piece(i)) for i in range(self.b_ids.vocab_size())]
-        self.b = Tokens([bytes([int(p[3:5], 16)]) if self.b_ids.is_byte(i) else p.replace("▁", " ").encode() for i, p in pieces])
+        model = self.b_ids.model
+        pieces = [(i, model.id_to_piece(i)) for i in range(model.vocab_size())]
+        self.b = Tokens([bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode() for i, p in pieces])
         #: Ids in decimal, A's and then B's, each followed by what stands inside a group and then by what ends its side of it.
         self.decimals = pa.array(
             [f"{i}{end}" for n, last in ((len(self.a), "|"), (len(self.b), ";")) for i in range(n) for end in (",", last)], pa.large_string()
         )
 
-    def lists(self, texts: list[bytes]) -> tuple[pa.ListArray, pa.ListArray]:
+    def lists(self, texts: list[bytes]) -> tuple[pa.LargeListArray, pa.LargeListArray]:
         """The ids of both sides; no tokens for empty texts."""
-        packed = [self.a_ids.encode(" " + t.decode()) if t else b"" for t in texts]
-        sizes = np.array([len(p) for p in packed], np.int64) // self.a_ids.dtype.itemsize
-        ids = np.frombuffer(b"".join(packed), self.a_ids.dtype).astype(np.int64)
-        a = pa.LargeListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]), pa.array(ids))
-        b = self.b_ids.encode([t.decode() for t in texts], num_threads=1)
-        return a, pa.array([x if t else [] for x, t in zip(b, texts, strict=True)], pa.large_list(pa.int64()))
+        decoded = [t.decode() for t in texts]
+        a = _lists([self.a_ids.encode(" " + t) if t else b"" for t in decoded], self.a_ids.dtype)
+        return a, _lists([self.b_ids.encode(t) if t else b"" for t in decoded], np.dtype(np.int32))
 
     def keeps(self, tokens: Tokens, ids: pa.ListArray, texts: list[bytes]) -> np.ndarray:
         """By text, whether its tokens' bytes joined are a space and the text."""
@@ -99,56 +142,58 @@ class Aligner:
         total = pc.cumulative_sum(pc.take(tokens.sizes, flat))
         before = pa.concat_arrays([pa.array([0], pa.int64()), total]).take(ids.offsets[:-1])
         end = pc.subtract(total, pc.take(before, parent))
-        return pa.table({"id": flat, "key": pc.add(pc.multiply(parent, pa.scalar(_DOCUMENT, pa.int64())), end)})
-
-    def texts_of_groups(self, a: pa.Table, b: pa.Table, common: np.ndarray, documents: int) -> list[str]:
-        """By document its groups, as ``a1,a2|b1;a3|b2,b3``. ``common``: the ascending keys where groups end."""
-        a_keys, b_keys = a["key"].to_numpy(), b["key"].to_numpy()
-        a_group, b_group = np.searchsorted(common, a_keys), np.searchsorted(common, b_keys)
-        # within each group A's tokens stand before B's
-        a_until, b_before = np.searchsorted(a_group, b_group, "right"), np.searchsorted(b_group, a_group, "left")
-        codes = np.empty(len(a_keys) + len(b_keys), np.int64)
-        last = [np.append(np.diff(group) != 0, True)[: len(group)] for group in (a_group, b_group)]
-        codes[np.arange(len(a_keys)) + b_before] = 2 * a["id"].to_numpy() + last[0]
-        codes[np.arange(len(b_keys)) + a_until] = 2 * (len(self.a) + b["id"].to_numpy()) + last[1]
+        key = pc.add(pc.multiply(parent, pa.scalar(_DOCUMENT, pa.int64())), end)
+        return pa.table({"id": flat, "key": key, "at": np.arange(len(flat))})
+
+    def texts_of_groups(self, ids: list[np.ndarray], last: list[np.ndarray], tokens: np.ndarray) -> list[str]:
+        """By document its groups, as ``a1,a2|b1;a3|b2,b3``.
+
+        ``ids``: of both sides; ``last``: whether an id is the last of its side of a group; ``tokens``: of both sides together,
+        those before each document, and all.
+        """
+        (a_group, a_until), (b_group, b_until) = ((np.cumsum(x) - x, np.append(0, np.flatnonzero(x) + 1)) for x in last)
+        # within each group A's ids stand before B's
+        codes = np.empty(len(ids[0]) + len(ids[1]), np.int64)
+        codes[np.arange(len(ids[0])) + b_until[a_group]] = 2 * ids[0] + last[0]
+        codes[np.arange(len(ids[1])) + a_until[b_group + 1]] = 2 * (len(self.a) + ids[1]) + last[1]
         joined = self.decimals.take(pa.array(codes))
         if not len(codes):
-            return [""] * documents
-        ends, data = np.frombuffer(joined.buffers()[1], np.int64), bytes(joined.buffers()[2]).decode("ascii")
-        borders = np.arange(documents + 1) * _DOCUMENT
-        tokens = np.searchsorted(a_keys, borders, "right") + np.searchsorted(b_keys, borders, "right")
+            return [""] * (len(tokens) - 1)
+        ends, data = np.frombuffer(joined.buffers()[1], np.int64), joined.buffers()[2].to_pybytes().decode("ascii")
         places = ends[tokens].tolist()
         return [data[i : max(i, j - 1)] for i, j in zip(places, places[1:], strict=False)]
 
     def align(self, chunk: int, ids: list, texts: list[bytes]) -> pa.RecordBatch:
         lists = self.lists(texts)
         whole = self.keeps(self.a, lists[0], texts) & self.keeps(self.b, lists[1], texts)
-        kept = pa.array(whole)
-        a_list, b_list = (x.filter(kept) for x in lists)
-        documents = len(a_list)
-        a, b = self.ends(self.a, a_list), self.ends(self.b, b_list)
+        lists = [x.filter(pa.array(whole)) for x in lists]
+        a, b = self.ends(self.a, lists[0]), self.ends(self.b, lists[1])
         links = a.join(b, "key", join_type="inner", right_suffix="_b", use_threads=False)
         keys, pair = links["key"].to_numpy(), links["id"].to_numpy() * _PAIR + links["id_b"].to_numpy()
         order = np.argsort(keys, kind="stable")
-        keys, coded = keys[order], pa.array(pair[order]).dictionary_encode()
+        coded = pa.array(pair[order]).dictionary_encode()
         counted = pa.table({"pair": coded.indices}).group_by("pair", use_threads=False).aggregate([([], "count_all")]).sort_by("pair")
-        common = np.unique(keys)
-        # an end belongs to its document, as no token ends at its very start but empty ones
-        starts = np.searchsorted(keys, np.arange(documents + 1) * _DOCUMENT, "right")
-        groups = np.diff(np.searchsorted(common, np.arange(documents + 1) * _DOCUMENT, "right"))
+        last = [np.zeros(len(side), bool) for side in (a, b)]
+        for flags, at in zip(last, ("at", "at_b"), strict=True):
+            flags[links[at].to_numpy()] = True
+        # of each document, and the end of the last: the first token of each side, the first group, the first link
+        first = [x.offsets.to_numpy().astype(np.int64) for x in lists]
+        groups = np.append(0, np.cumsum(last[0]))[first[0]]
+        of_links = np.append(0, np.cumsum(np.bincount(keys // _DOCUMENT, minlength=len(first[0]) - 1)))
+        group_texts = self.texts_of_groups([a["id"].to_numpy(), b["id"].to_numpy()], last, first[0] + first[1])
         numbers = coded.indices.to_numpy().astype("<i4")
-        row = np.cumsum(whole) - 1
-        per_row = lambda values: pa.array(np.where(whole, values[row], 0) if documents else np.zeros(len(texts), np.int64), pa.int64())
-        n_a, n_b = (np.diff(x.offsets.to_numpy()) for x in (a_list, b_list))
-        group_texts = self.texts_of_groups(a, b, common, documents)
-        first = [coded.dictionary.to_pylist()], [counted["count_all"].to_pylist()]
+        link_bytes = [numbers[i:j].tobytes() for i, j in zip(of_links, of_links[1:], strict=False)]
+
+        def for_all(values, empty) -> list:
+            found = iter(values)
+            return [next(found) if w else empty for w in whole.tolist()]
+
+        on_first = lambda value: [value] + [None] * (len(ids) - 1)
         columns = [
-            pa.array([chunk] * len(ids), pa.int64()), pa.array(ids, pa.int64()), per_row(n_a), per_row(n_b), per_row(groups),
-            pa.array([group_texts[k] if w else "" for k, w in zip(row.tolist(), whole.tolist(), strict=True)]),
-            pa.array([numbers[starts[k] : starts[k + 1]].tobytes() if w else b"" for k, w in zip(row.tolist(), whole.tolist(), strict=True)]),
-            *(pa.array(x + [None] * (len(ids) - 1), pa.list_(pa.int64())) for x in first),
+            [chunk] * len(ids), ids, *(for_all(np.diff(x).tolist(), 0) for x in (first[0], first[1], groups)), for_all(group_texts, ""),
+            for_all(link_bytes, b""), on_first(coded.dictionary.to_pylist()), on_first(counted["count_all"].to_pylist()),
         ]
-        return pa.RecordBatch.from_arrays(columns, schema=_FIELDS)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FIELDS, strict=True)], schema=_FIELDS)
 
 
 @functools.lru_cache(maxsize=4)
