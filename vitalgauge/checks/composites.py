@@ -206,7 +206,7 @@ def _snapshot_oracle(by: str) -> str:
                     ON w.container_uid = f.solution_uid"""
         is_app, citizen = "w.container_uid IS NOT NULL", ""
     else:
-        apps = """LEFT JOIN workapp_interval w ON split_part(w.owner_plan_uid, '.', 3) = CAST(f.plan_uid AS VARCHAR)
+        apps = """LEFT JOIN keyed_apps w ON w.app_plan = CAST(f.plan_uid AS VARCHAR)
                                               AND f.date BETWEEN w.effective_from AND w.effective_to"""
         is_app = "position('WorkApps' IN f.api_apps) > 0"
         citizen = """count(DISTINCT CASE WHEN len(f.api_integrations) > 0 OR len(f.api_apps) > 0 THEN f.owner_uid END)

@@ -61,9 +61,17 @@ SUBQUERIES: dict[str, str] = {
     "workapp_interval": """
         SELECT o_orderkey % 2000 AS container_uid, CAST(o_orderdate AS DATE) AS effective_from,
                CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_orderdate AS DATE) + 90 END AS effective_to,
-               concat('plan.com-us.', o_custkey) AS owner_plan_uid, o_orderkey % 150 AS owner_user_uid,
+               CASE o_orderkey % 13 WHEN 0 THEN concat('plan.com-eu.', o_custkey) WHEN 1 THEN CAST(o_custkey AS VARCHAR)
+                    WHEN 2 THEN '' WHEN 3 THEN concat('plan.', o_custkey) WHEN 4 THEN 'plan.com-us.'
+                    WHEN 5 THEN concat('plan.com-us.', o_custkey, '.old') WHEN 6 THEN NULL
+                    ELSE concat('plan.com-us.', o_custkey) END AS owner_plan_uid, o_orderkey % 150 AS owner_user_uid,
                CASE WHEN o_orderstatus = 'O' THEN 'Active' ELSE 'Closed' END AS status, 0 AS changes
         FROM orders""",
+    # A plan without a region prefix answers to its bare number and to that number in any region.
+    "keyed_apps": """
+        SELECT *, owner_plan_uid AS app_plan FROM workapp_interval WHERE owner_plan_uid <> ''
+        UNION ALL SELECT *, split_part(owner_plan_uid, '.', 3) FROM workapp_interval
+        WHERE len(string_split(owner_plan_uid, '.')) = 3 AND NOT list_contains(string_split(owner_plan_uid, '.'), '')""",
     "user_plan": "SELECT DISTINCT user_id AS user_uid, user_id AS plan_uid FROM events",
     "session": """
         SELECT event_id AS session_uid, user_id AS user_uid,
@@ -114,9 +122,9 @@ SUBQUERIES: dict[str, str] = {
         WHERE s.users_hvt > 0""",
     "addon": "SELECT DISTINCT account_id FROM addon_plan",
     "live_apps": """
-        SELECT container_uid, owner_user_uid, split_part(owner_plan_uid, '.', 3) AS app_plan,
+        SELECT container_uid, owner_user_uid, app_plan,
                CAST(year(effective_from) AS INT) AS app_year, CAST(month(effective_from) AS INT) AS app_month
-        FROM workapp_interval WHERE status = 'Active'""",
+        FROM keyed_apps WHERE status = 'Active'""",
     "prefix_sessions": """
         SELECT su.user_uid, up.plan_uid, count(DISTINCT su.session_uid) AS mobile_sessions
         FROM session su JOIN user_plan up ON su.user_uid = up.user_uid

@@ -15,7 +15,7 @@ from vitalgauge.functions import (
     plan_key,
     safe_ratio,
 )
-from vitalgauge.operators import filters, joins
+from vitalgauge.operators import filters, intervals, joins
 from vitalgauge.operators.aggregates import owner_solution_counts, snapshot_solutions, weighted_sum
 from vitalgauge.operators.objects import OBJECT_KINDS, map_as_text
 from vitalgauge.operators.ranks import with_ranks_and_scores
@@ -307,8 +307,8 @@ def workapp_month_join(t: Tables, p: Params) -> DataFrame:
 @check(
     "workapp_interval_join",
     """SELECT s.plan_uid, s.date, count(*) AS joined_rows, count(w.container_uid) AS matches
-       FROM sols s LEFT JOIN workapp_interval w
-         ON split_part(w.owner_plan_uid, '.', 3) = CAST(s.plan_uid AS VARCHAR)
+       FROM sols s LEFT JOIN keyed_apps w
+         ON w.app_plan = CAST(s.plan_uid AS VARCHAR)
         AND s.date BETWEEN w.effective_from AND w.effective_to
        GROUP BY ALL""",
 )
@@ -323,6 +323,32 @@ def workapp_interval_join(t: Tables, p: Params) -> DataFrame:
     )
 
 
+@check(
+    "workapp_interval_rows",
+    """SELECT s.solution_uid, s.plan_uid, s.date, w.container_uid, w.owner_plan_uid, w.owner_user_uid, w.effective_from,
+              w.effective_to
+       FROM sols s LEFT JOIN keyed_apps w
+         ON w.app_plan = CAST(s.plan_uid AS VARCHAR)
+        AND s.date BETWEEN w.effective_from AND w.effective_to""",
+)
+def workapp_interval_rows(t: Tables, p: Params) -> DataFrame:
+    rows = usable_solutions(t, p).select("solution_uid", "plan_uid", "date", plan_key("plan_uid").alias("plan_key"))
+    apps = joins.by_plan_key(t.workapp_interval).drop("status", "changes")
+    return intervals.with_intervals(rows, apps, ["plan_key"]).drop("plan_key")
+
+
+@check(
+    "workapp_valid_days",
+    """SELECT d.date, w.status, count(*) AS apps, count(DISTINCT w.owner_user_uid) AS owners
+       FROM date_dim d JOIN workapp_interval w
+         ON d.date BETWEEN w.effective_from AND coalesce(w.effective_to, DATE '9999-12-31')
+       GROUP BY ALL""",
+)
+def workapp_valid_days(t: Tables, p: Params) -> DataFrame:
+    valid = intervals.days_in_intervals(t.date_dim, t.workapp_interval, open_ended=True)
+    return valid.groupBy("date", "status").agg(F.count("*").alias("apps"), F.count_distinct("owner_user_uid").alias("owners"))
+
+
 @check(
     "workapp_as_of",
     """SELECT w.container_uid, w.owner_plan_uid, w.owner_user_uid, count(s.solution_uid) AS solutions

@@ -139,12 +139,16 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
         return read("supplier").select(F.col("s_nationkey").cast("bigint").alias("account_id"))
 
     def workapp_interval() -> DataFrame:
-        start = F.to_date("o_orderdate")
+        start, number, kind = F.to_date("o_orderdate"), F.col("o_custkey").cast("string"), F.col("o_orderkey") % 13
+        # two regions, numbers without one, and malformed and missing ids
+        owner = F.when(kind == 0, F.concat(F.lit("plan.com-eu."), number)).when(kind == 1, number).when(kind == 2, "")
+        owner = owner.when(kind == 3, F.concat(F.lit("plan."), number)).when(kind == 4, "plan.com-us.")
+        owner = owner.when(kind == 5, F.concat(F.lit("plan.com-us."), number, F.lit(".old"))).when(kind == 6, None)
         return read("orders").select(
             (F.col("o_orderkey") % 2000).alias("container_uid"),
             start.alias("effective_from"),
             F.when(F.col("o_orderkey") % 4 != 0, F.date_add(start, 90)).alias("effective_to"),
-            F.concat(F.lit("plan.com-us."), F.col("o_custkey").cast("string")).alias("owner_plan_uid"),
+            owner.otherwise(F.concat(F.lit("plan.com-us."), number)).alias("owner_plan_uid"),
             (F.col("o_orderkey") % 150).alias("owner_user_uid"),
             F.when(F.col("o_orderstatus") == "O", "Active").otherwise("Closed").alias("status"),
             F.lit(0).alias("changes"),
