@@ -130,6 +130,25 @@ def safe_ratio(numerator: ColumnLike, denominator: ColumnLike, scale: int = 1) -
     return ratio * scale if scale != 1 else ratio
 
 
+def exact_ratio(numerator: ColumnLike, denominator: ColumnLike) -> Column:
+    """Quotient of two whole numbers to 18 places, as decimal: equal ratios are equal, however large both sides are.
+
+    NULL where the denominator is 0 or NULL, and where the quotient or its remainders don't fit a decimal.
+    """
+    wide, digits = "decimal(38,0)", F.lit(10**9).cast("decimal(10,0)")
+    rest = _col(numerator).cast(wide)
+    divisor = F.nullif(_col(denominator).cast(wide), F.lit(0).cast(wide))
+    parts = []
+    for _ in range(3):  # whole part, and twice nine digits, by long division
+        left = rest % divisor
+        parts.append(((rest - left) / divisor).try_cast("decimal(19,0)"))
+        rest = F.try_multiply(left, digits).try_cast(wide)
+    whole, first, second = parts
+    nine, eighteen = (F.lit(x).cast("decimal(18,18)") for x in ("0.000000001", "0.000000000000000001"))
+    fraction = first.cast("decimal(9,0)") * nine + second.cast("decimal(9,0)") * eighteen
+    return F.try_add(whole.cast("decimal(37,18)"), fraction.cast("decimal(37,18)"))
+
+
 def band_score(rank: ColumnLike, bands: Sequence[tuple[float, int]] = SCORE_BANDS) -> Column:
     """Points for a percentile rank."""
     rank = _col(rank)

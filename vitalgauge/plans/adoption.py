@@ -22,7 +22,7 @@ from collections.abc import Collection
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalgauge.functions import array_not_empty, days_before, json_path, months_before, safe_ratio, sum_columns
+from vitalgauge.functions import array_not_empty, days_before, exact_ratio, json_path, months_before, safe_ratio, sum_columns
 from vitalgauge.operators import filters, joins
 from vitalgauge.operators.aggregates import account_arr_having, owner_solution_counts, weighted_sum
 from vitalgauge.operators.ranks import with_ranks_and_scores
@@ -354,7 +354,7 @@ def account_months(t: Tables, p: Params, edition: Edition) -> DataFrame:
 
     A count over the account month stands on each of its joined rows, so its sum is count x rows. Of two such sums the
     rows cancel; the counts themselves are in ``once_<name>``, so that equal ratios come out equal
-    however many rows were joined.
+    however many rows were joined, and in ``whole_<name>`` as exact numbers.
     """
     sums = account_month_metrics(t, p, edition)
     repeated = {name: F.col(name) for name in solution_flags(p, edition)}
@@ -369,6 +369,7 @@ def account_months(t: Tables, p: Params, edition: Edition) -> DataFrame:
     rows = F.col("rows").cast("double")
     sums = sums.withColumns(
         {f"once_{name}": value.cast("double") for name, value in repeated.items()}
+        | {f"whole_{name}": value.cast(joins.WEIGHT) for name, value in repeated.items()}
         | {name: value.cast("double") * rows for name, value in repeated.items()}
     )
     return sums.join(months(t, p), "date")
@@ -394,8 +395,19 @@ def kpi_value(kpi: Kpi, columns: Collection[str]) -> Column:
     return safe_ratio(*(once if set(once) <= set(columns) else both))
 
 
+def kpi_exact(kpi: Kpi, columns: Collection[str]) -> Column:
+    """The unscaled KPI as an exact quotient of the same sums, by which it is ranked."""
+    both = kpi.numerator, kpi.denominator
+    known = [f"whole_{name}" in columns for name in both]
+    rows = F.lit(1) if all(known) else F.col("rows")
+    return exact_ratio(
+        *(F.try_multiply(F.col(f"whole_{n}"), rows.cast(joins.WEIGHT)) if k else F.col(n) for n, k in zip(both, known, strict=True))
+    )
+
+
 def kpi_ratios(t: Tables, p: Params, edition: Edition) -> DataFrame:
-    """One row per account and month: labels, totals, profile where asked, and unscaled KPIs."""
+    """One row per account and month: labels, totals, profile where asked, and unscaled KPIs; for ranked editions
+    also ``exact_<kpi>``."""
     rows = account_months(t, p, edition)
     profile = []
     if edition.profile:
@@ -409,9 +421,8 @@ def kpi_ratios(t: Tables, p: Params, edition: Edition) -> DataFrame:
         F.col("users_collab_external").alias("total_external_collaborators"),
         "total_active_users",
         *profile,
-        *[
-            kpi_value(k, rows.columns).alias(k.name) for k in edition.kpis
-        ],
+        *[kpi_value(k, rows.columns).alias(k.name) for k in edition.kpis],
+        *[kpi_exact(k, rows.columns).alias(f"exact_{k.name}") for k in edition.kpis if edition.ranked and k.denominator],
     )
 
 
@@ -425,7 +436,8 @@ def adoption_scorecard(t: Tables, p: Params, edition: Edition | str, nulls_last:
     rows = kpi_ratios(t, p, edition)
     if edition.ranked:
         measures = {k.name: k.short for k in edition.kpis}
-        rows = with_ranks_and_scores(share(rows, f"{edition.name}-kpis"), ROW_ID, measures, nulls_last)
+        exact = {k.name: f"exact_{k.name}" for k in edition.kpis if k.denominator}
+        rows = with_ranks_and_scores(share(rows, f"{edition.name}-kpis"), ROW_ID, measures, nulls_last, exact).drop(*exact.values())
     return rows.withColumns({k.name: F.col(k.name) * k.scale for k in edition.kpis if k.scale != 1})
 
 
