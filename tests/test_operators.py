@@ -149,6 +149,7 @@ app_rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.one_of
 def test_distinct_apps_over_several_plans(spark, used, owned):
     from vitalgauge.plans import adoption
 
+    adoption.LIGHT_PLAN = len(used) % 3  # so that some plans' items are bitmaps
     month = dt.date(2001, 7, 1)
     rows = spark.createDataFrame([(s, month, str(p), 2001, 7) for s, p in used], "solution_uid int, date date, plan_key string, year int, month_calendar int")
     apps = spark.createDataFrame([(str(p), 2001, 7, c, u) for c, u, p in owned], "plan_key string, year int, month_calendar int, container_uid int, owner_user_uid int")
@@ -160,6 +161,7 @@ def test_distinct_apps_over_several_plans(spark, used, owned):
         containers = {c for c, _, p in owned if p in mine and c is not None}
         owners = {u for _, u, p in owned if p in mine and u is not None}
         assert out["" if s is None else f"s{s}"] == (len(containers), len(owners))
+    adoption.LIGHT_PLAN = 32
 
 
 @pytest.mark.parametrize("hot", [2, 5])
@@ -176,14 +178,27 @@ def test_hot_plans_in_common_make_no_pairs(spark, hot):
     assert sets.select("set_key").distinct().count() == 1 and sets.count() == n + 1
     out = {(r["work_app_count"], r["external_views_with_work_app"]) for r in adoption.solution_month_apps(activity, apps).collect()}
     assert out == {(n, 50)}
-    # the pairs of sets and items that are left: at most the items of each plan but the hottest
     first = sets.where("set_key = solution_key").select(*adoption.SOLUTION_MONTH)
-    items = adoption.app_items(apps)
-    low = adoption._below_top(
-        shared.join(first, adoption.SOLUTION_MONTH, "left_semi").join(shared.groupBy(*adoption.PLAN_MONTH).agg(F.count("*").alias("heat")), adoption.PLAN_MONTH),
-        adoption.SOLUTION_MONTH, "solution_top",
-    )
-    assert low.join(items, adoption.PLAN_MONTH).count() <= items.count()
+    placed = adoption.items_of_several_plans(adoption.app_items(apps))
+    # one set of plans, and few stretches of numbers for each plan and kind
+    assert adoption.set_bitmaps(shared.join(first, adoption.SOLUTION_MONTH, "left_semi"), placed).count() <= 8 * 2 * hot
+
+
+def test_many_sets_around_hot_plans_stay_linear(spark):
+    """1,000 different sets of plans hold two plans of 500 items each: pairs of sets and items would be 500,000."""
+    from vitalgauge.plans import adoption
+
+    month, sets, items = dt.date(2001, 7, 1), 1000, 500
+    used = [(s, month, p, 2001, 7) for s in range(sets) for p in ("hot0", "hot1", f"own{s}")]
+    rows = spark.createDataFrame(used, "solution_uid int, date date, plan_key string, year int, month_calendar int")
+    owned = [(p, 2001, 7, c, c % 70) for c in range(items) for p in ("hot0", "hot1")] + [(f"own{s}", 2001, 7, s, 10_000 + s % 3) for s in range(sets)]
+    apps = spark.createDataFrame(owned, "plan_key string, year int, month_calendar int, container_uid int, owner_user_uid int")
+    activity = adoption.with_solution_key(rows).join(joins.workapp_month_counts(apps), adoption.PLAN_MONTH, "left").fillna(0)
+    out = {r["solution_key"]: (r["work_app_count"], r["external_views_with_work_app"]) for r in adoption.solution_month_apps(activity, apps).collect()}
+    assert out == {f"s{s}": (items + (s >= items), 71) for s in range(sets)}
+    shared = activity.select(*adoption.SOLUTION_MONTH, *adoption.PLAN_MONTH).distinct()
+    made = adoption.set_bitmaps(shared, adoption.items_of_several_plans(adoption.app_items(apps))).count()
+    assert made <= 5 * (len(used) + len(owned))
 
 
 def test_sets_of_equal_marks_but_other_plans_stay_apart(spark, monkeypatch):

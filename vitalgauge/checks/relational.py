@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
 
 from pyspark.sql import DataFrame
@@ -15,15 +16,16 @@ from vitalgauge.functions import (
     plan_key,
     safe_ratio,
 )
-from vitalgauge.operators import filters, intervals, joins
+from vitalgauge.operators import filters, intervals, joins, state
 from vitalgauge.operators.aggregates import owner_solution_counts, snapshot_solutions, weighted_sum
 from vitalgauge.operators.objects import OBJECT_KINDS, map_as_text
 from vitalgauge.operators.ranks import with_ranks_and_scores
 from vitalgauge.params import Params
 from vitalgauge.plans import adoption, snapshot, work_grid
 from vitalgauge.plans.kpis import EDITIONS
-from vitalgauge.sources.shared import shared_path
-from vitalgauge.sources.sink import write_by_month
+from vitalgauge.sources import layout
+from vitalgauge.sources.shared import share, shared_path
+from vitalgauge.sources.sink import replace_months, write_by_month
 from vitalgauge.tables import TABLE_COLUMNS, Tables
 
 
@@ -62,6 +64,65 @@ def scorecard_sink(t: Tables, p: Params) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+@check(
+    "scorecard_replace_month",
+    """SELECT account_id, year_month, CAST(sum(users_licensed) AS BIGINT) AS licensed, count(*) AS solution_rows
+       FROM star GROUP BY account_id, year_month""",
+)
+def scorecard_replace_month(t: Tables, p: Params) -> DataFrame:
+    """Written with one month wrong and one missing; both are then replaced, the first of them twice."""
+    rows = adoption.star_rows(t, p).groupBy("account_id", "year_month").agg(
+        F.sum("users_licensed").alias("licensed"), F.count("*").alias("solution_rows")
+    )
+    rows = share(rows, "scorecard-rows")
+    spark, path = rows.sparkSession, shared_path(rows.sparkSession, "scorecard")
+    last, first = (f"{year_month:%Y-%m}" for year_month in (p.as_of - dt.timedelta(40), p.as_of - dt.timedelta(100)))
+    wrong = rows.where(F.col("year_month") != first).withColumn("licensed", F.col("licensed") + F.when(F.col("year_month") == last, 1).otherwise(0))
+    write_by_month(wrong, path)
+    for run, month in (("a", last), ("a", last), ("b", first)):
+        replace_months(rows, path, [month], run)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+@check(
+    "totals_from_state",
+    """SELECT 'account' AS kind, account_id AS id, round(CAST(sum(plan_arr) AS DOUBLE), 6) AS total FROM daily GROUP BY account_id
+       UNION ALL SELECT 'owner', owner_uid, CAST(total_solutions_per_owner AS DOUBLE) FROM owner_totals""",
+)
+def totals_from_state(t: Tables, p: Params) -> DataFrame:
+    """All-time sums from stored months: history up to the snapshot first, then the months after it, the snapshot's again."""
+    plans = filters.filtered_plans(t.plan)
+    facts = {
+        "account": (state.ACCOUNT_ARR, joins.plan_daily_with_account(t.plan_daily, plans)),
+        "owner": (state.OWNER_SOLUTIONS, usable_solutions(t, p)),
+    }
+    out = []
+    for kind, (kept, rows) in facts.items():
+        spark, path = rows.sparkSession, shared_path(rows.sparkSession, f"state-{kind}")
+        kept.begin(rows.where(F.col("date") <= F.lit(p.snapshot)), path)
+        later = rows.where(F.col("date") > F.lit(p.snapshot)).select("date").distinct().collect()  # a row per month
+        kept.update(rows, path, [p.snapshot, *(r["date"] for r in later)], "later")
+        (key,), (total,) = kept.keys, kept.sums
+        totals = kept.totals(kept.read(spark, path))
+        out.append(totals.select(F.lit(kind).alias("kind"), F.col(key).alias("id"), F.col(total).cast("double").alias("total")))
+    return out[0].unionByName(out[1])
+
+
+@check(
+    "stored_layout_join",
+    """SELECT s.solution_uid, s.plan_uid, s.date, d.users_licensed, d.licenses
+       FROM sols s LEFT JOIN plan_daily d ON s.plan_uid = d.plan_uid AND s.date = d.date""",
+)
+def stored_layout_join(t: Tables, p: Params) -> DataFrame:
+    spark = t.plan_daily.sparkSession
+    folder = shared_path(spark, "layout")
+    names = {name: f"{name}_{folder[-12:]}" for name in ("solution_monthly", "plan_daily")}
+    layout.write_facts(t, names, folder, buckets=8)
+    stored = layout.with_stored_facts(t, spark, names)
+    joined = joins.solution_plan_month(usable_solutions(stored, p), stored.plan_daily.select("plan_uid", "date", "users_licensed", "licenses"))
+    return joined.select("solution_uid", "plan_uid", "date", "users_licensed", "licenses")
+
+
 # --- filters --------------------------------------------------------------------------------------
 
 

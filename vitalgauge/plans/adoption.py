@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalgauge.functions import array_not_empty, days_before, exact_ratio, json_path, months_before, safe_ratio, sum_columns
-from vitalgauge.operators import filters, joins
+from vitalgauge.operators import bitmaps, filters, joins
 from vitalgauge.operators.aggregates import account_arr_having, owner_solution_counts, weighted_sum
 from vitalgauge.operators.ranks import with_ranks_and_scores
 from vitalgauge.params import Params
@@ -157,40 +157,48 @@ def app_items(apps: DataFrame) -> DataFrame:
     return exploded.select(*PLAN_MONTH, "i.kind", "i.item").dropna().distinct()
 
 
-def _below_top(rows: DataFrame, key: list[str], top: str) -> DataFrame:
-    """Rows of keys with several plans, without each key's hottest plan, which is named ``top``."""
-    hottest = F.max(F.struct("heat", "plan_key"))
-    tops = rows.groupBy(*key).agg(hottest["plan_key"].alias(top), F.count("*").alias("plans"))
-    kept = rows.join(tops.where(F.col("plans") > 1).drop("plans"), key)
-    return kept.where(F.col("plan_key") != F.col(top)).drop("heat")
+#: Items of several plans that a plan and month has at most to be joined one by one; those of plans with more are joined as bitmaps.
+LIGHT_PLAN = 32
+
+
+def items_of_several_plans(items: DataFrame) -> DataFrame:
+    """Items under more than one plan in a month, by plan, numbered so that a plan's items have numbers near each other."""
+    homes = items.groupBy(*ITEM_MONTH).agg(F.min("plan_key").alias("home"), F.count("*").alias("plans")).where(F.col("plans") > 1)
+    order = ["kind", "year", "month_calendar", "home", "item"]
+    numbers = bitmaps.numbered(homes.select(*order), order)
+    return items.join(numbers.drop("home"), ITEM_MONTH).drop("item")
+
+
+def set_bitmaps(shared: DataFrame, placed: DataFrame) -> DataFrame:
+    """Per solution month, kind and stretch of numbers: bitmaps whose union is the items of all its plans.
+
+    ``placed``: items by plan and month, with numbers. A plan of few items gives each of them to each of the solution months it is
+    in; the items of a plan of many are a bitmap, built once, so a solution month meets a row per stretch of 32,768
+    numbers.
+    """
+    of_plan = [*PLAN_MONTH, "kind"]
+    heavy = placed.groupBy(*of_plan).agg(F.count("*").alias("n")).where(F.col("n") > LIGHT_PLAN).drop("n")
+    many = bitmaps.bitmaps(placed.join(heavy, of_plan, "left_semi"), of_plan)
+    few = shared.join(placed.join(heavy, of_plan, "left_anti"), PLAN_MONTH)
+    key = [*SOLUTION_MONTH, "kind"]
+    columns = [*key, bitmaps.BUCKET, bitmaps.BITS]
+    return shared.join(many, PLAN_MONTH).select(*columns).unionByName(bitmaps.bitmaps(few, key).select(*columns))
 
 
 def counted_again(shared: DataFrame, items: DataFrame) -> DataFrame:
     """Per solution month: how often apps and owners were counted again for a further plan.
 
-    ``shared`` should have each set of plans once per month (see :func:`plan_sets`). A solution month and an item with k plans in common were counted k times: k - 1 too often.
-    Joining them on every common plan would make all pairs within a hot plan. Plans are therefore
-    ordered by how many of the sets they are in, and the hottest plan of each set
-    and of each item is left out of the join, so the hottest plan of all joins nothing, and a further hot plan
-    meets its items once for each distinct set it is in, not for each solution month. What
-    a pair still has in common is every common plan but the hottest, and also that one exactly when
-    neither side's own hottest plan is common. Two lookups tell which.
+    ``shared`` should have each set of plans once per month (see :func:`plan_sets`). Only items of several plans can
+    have been counted again: as often as the plans of the solution month have them, less how many distinct ones these are, which
+    the union of the plans' bitmaps tells. The rows grow with the solution months' plans, not with their items.
     """
-    heat = shared.groupBy(*PLAN_MONTH).agg(F.count("*").alias("heat"))
-    low_solutions = _below_top(shared.join(heat, PLAN_MONTH), SOLUTION_MONTH, "solution_top")
-    low_items = _below_top(items.join(heat, PLAN_MONTH), ITEM_MONTH, "item_top")
-    pair = [*SOLUTION_MONTH, *ITEM_MONTH, "solution_top", "item_top"]
-    pairs = low_solutions.join(low_items, PLAN_MONTH).groupBy(*pair).agg(F.count("*").alias("common"))
-    item_has = items.withColumnRenamed("plan_key", "solution_top").withColumn("item_has", F.lit(True))
-    solution_has = shared.select(
-        *SOLUTION_MONTH, F.col("plan_key").alias("item_top"), F.lit(True).alias("solution_has")
-    )
-    looked_up = pairs.join(item_has, [*ITEM_MONTH, "solution_top"], "left").join(
-        solution_has, [*SOLUTION_MONTH, "item_top"], "left"
-    )
-    top_is_common = F.col("item_has").isNotNull() | F.col("solution_has").isNotNull()
-    again = F.col("common") - F.when(top_is_common, 0).otherwise(1)
-    return looked_up.groupBy(*SOLUTION_MONTH).agg(
+    placed = share(items_of_several_plans(items), "shared-items")
+    key = [*SOLUTION_MONTH, "kind"]
+    per_plan = placed.groupBy(*PLAN_MONTH, "kind").agg(F.count("*").alias("items"))
+    counted = shared.join(per_plan, PLAN_MONTH).groupBy(*key).agg(F.sum("items").alias("items"))
+    distinct = bitmaps.counted(bitmaps.merged(set_bitmaps(shared, placed), key), key, "distinct")
+    again = F.col("items") - F.col("distinct")
+    return counted.join(distinct, key).groupBy(*SOLUTION_MONTH).agg(
         F.sum(F.when(F.col("kind") == "app", again)).alias("again_apps"),
         F.sum(F.when(F.col("kind") == "owner", again)).alias("again_owners"),
     )
