@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from vitalgauge.llm import kneser_ney, language, queries, toxicity
 from vitalgauge.llm.ann import Centroids, balanced_centroids, nearest_neighbours, squared
 from vitalgauge.llm.kneser_ney import discounts, fit_kneser_ney, model_scores
-from vitalgauge.llm.language import fit_language, predicted_languages
+from vitalgauge.llm.language import fit_language, language_sample, predicted_languages
 from vitalgauge.llm.quality import fit_quality, good_documents, quality_scores
+from vitalgauge.llm.samples import labelled_sample
 from vitalgauge.llm.toxicity import fit_toxicity, ordinal_fit, toxicity_scores
 
 MID = "/root/testdata/sf0.01"
@@ -351,3 +352,39 @@ def test_lists_are_balanced_and_the_walk_finds_the_nearest():
     assert (ids[:, 0] == squared(x[:500], centroids.points).argmin(1)).mean() > 0.97
     row, _ = centroids.homes(x[:500])
     assert np.bincount(row).max() > 1 and set(row) == set(range(500))
+
+
+def test_batched_products_equal_kernels_text_by_text(spark, table):
+    """The scores of the query's model, from n-gram sets and kernel values computed one by one."""
+    docs = table("documents")
+    model = fit_language(docs, rows=60, landmarks=25)
+    texts = ["", "a", "é", *(r.text for r in docs.orderBy("doc_id").limit(30).collect() if r.text)]
+
+    def grams(text):
+        lower = text.lower()
+        return {lower[i : i + n] for n in (1, 2, 3) for i in range(len(lower) - n + 1)}
+
+    held = [set() for _ in model.landmarks.norms]
+    for i, (start, end) in enumerate(zip(model.landmarks.starts, model.landmarks.starts[1:], strict=False)):
+        for k in model.landmarks.holders[start:end]:
+            held[k].add(int(model.landmarks.grams[i]))
+    landmarks = [set(model.alphabet.present(text).tolist()) for _, text in language_sample(docs, 60)]
+    assert all(h in landmarks for h in held) and [len(h) ** 0.5 for h in held] == model.landmarks.norms.tolist()
+    got = model.decisions(texts)
+    for row, text in zip(got, texts, strict=True):
+        own = set(model.alphabet.present(text).tolist())
+        assert len(own) == len(grams(text))
+        kernel = [len(own & h) / ((len(own) or 1) * len(h)) ** 0.5 for h in held]
+        np.testing.assert_allclose(row, np.array(kernel) @ model.ridge + model.offsets, atol=1e-9)
+
+
+def test_samples_take_eligible_texts_and_agree(spark, documents):
+    long = "long words of a good text " * 1200
+    docs = documents([(i, f"{long}{i}") for i in range(40)] + [(100 + i, f"bad {i}") for i in range(40)] + [(100, "another text of one id"), (7, None)])
+    labels = spark.createDataFrame([(i, 1) for i in range(40)] + [(100 + i, 0) for i in range(40)] + [(101, 1), (None, 1), (3, None)], "doc_id long, quality int")
+    first = labelled_sample(docs, labels, "quality", 30)
+    assert first.labels.count(0) == 30 and first.labels.count(1) == 20 and first.known == {0: 40, 1: 40}
+    assert b"another text of one id" not in first.texts  # the shortest text of an id is the one
+    for _ in range(2):
+        assert labelled_sample(docs.repartition(7), labels.repartition(3), "quality", 30) == first
+    assert labelled_sample(docs.limit(0), labels, "quality", 30).texts == []

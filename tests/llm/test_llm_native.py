@@ -125,3 +125,31 @@ def test_mixed_documents_keep_columns_and_copies(spark, documents):
     got = collections.Counter(r.doc_id for r in mixed.collect())
     assert got == collections.Counter({d: n for d, n in copies.items() if n})
     assert mixed_documents(documents([])).count() == 0
+
+
+def test_a_batch_given_again_gets_the_same_answer(spark, documents):
+    index = DigestIndex.open(spark, buckets=3)
+    old, new = documents([(1, "a"), (2, "b")]), documents([(3, "B"), (4, "c"), (5, "C"), (5, "c"), (6, None)])
+    index.add(old, batch="one")
+    columns = ["doc_id", "keep_id", "group_size", "kept"]
+    first = sorted(map(tuple, index.add(new, batch="two").select(columns).collect()), key=str)
+    entries = index.entries.count()
+    again = sorted(map(tuple, index.add(new.repartition(5), batch="two").select(columns).collect()), key=str)
+    assert first == again and index.entries.count() == entries == 4
+    assert sum(r[3] for r in first) == 2
+    # the same documents as a batch of another name are known
+    assert not any(r.kept for r in index.add(new, batch="three").collect())
+    stays = first_of_equal_texts(new, index, batch="two")
+    assert sorted(r.doc_id for r in stays.collect()) == [5, 6]
+
+
+def test_compaction_keeps_the_entries_in_one_file_per_bucket(spark, documents, tmp_path):
+    index = DigestIndex.open(spark, str(tmp_path / "index"), buckets=3)
+    for k in range(3):
+        index.add(documents([(10 * k + i, f"text {k} {i}") for i in range(20)]), batch=str(k))
+    small = index.compacted(str(tmp_path / "compacted"))
+    rows = lambda i: sorted(map(tuple, i.entries.collect()), key=str)
+    assert rows(small) == rows(index) and small.entries.count() == 60
+    files = lambda i: len([f for f in (tmp_path / i).iterdir() if f.suffix == ".parquet"])
+    assert files("compacted") <= 3 < files("index")
+    assert not any(r.kept for r in small.add(documents([(1, "text 0 1")])).collect())

@@ -65,7 +65,12 @@ class DigestIndex:
         return int(described["data_type"])
 
     def add(
-        self, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", row_column: str | None = None
+        self,
+        docs: DataFrame,
+        id_column: str = "doc_id",
+        text_column: str = "text",
+        row_column: str | None = None,
+        batch: str | None = None,
     ) -> DataFrame:
         """Append the digests of ``docs`` that are new, and tell what became of each document.
 
@@ -74,8 +79,11 @@ class DigestIndex:
         of ``row_column``, which must be unique and stable, or a number given here. Of equal texts within
         the batch the largest id stays; a text known from an earlier batch keeps its earlier id and none of
         its new documents.
+
+        ``batch`` names the documents. If what comes after this call fails, calling again with the same documents and the same
+        name gives the same answer and appends nothing twice; without a name each call is a batch of its own.
         """
-        batch = uuid.uuid4().hex
+        batch = batch or uuid.uuid4().hex
         digests = docs.select(
             F.col(id_column).cast("long").alias("doc_id"),
             text_digest(F.col(text_column)).alias("digest"),
@@ -86,20 +94,31 @@ class DigestIndex:
         groups = rows.groupBy("digest").agg(F.max(rank).alias("keep"), F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
         groups = share(groups.select("digest", "group_size", "keep_id", F.col("keep.row").alias("keep_row")), "digest-groups")
         new = groups.join(self.entries.hint("merge"), "digest", "left_anti")
-        (
-            new.select("digest", "keep_id", "keep_row", F.lit(batch).alias("batch"))
-            .repartition(self.buckets, "digest")
-            .write.format("parquet").mode("append").bucketBy(self.buckets, "digest").sortBy("digest")
-            .option("path", self.path).saveAsTable(self.name)
-        )
-        entries = self.entries.select("digest", "keep_id", "keep_row", (F.col("batch") == batch).alias("own"))
-        known = share(groups.select("digest", "group_size").join(entries.hint("merge"), "digest"), "digests-known")
+        self._append(new.select("digest", "keep_id", "keep_row", F.lit(batch).alias("batch")))
+        # the row that stays is this call's: numbers of rows may differ from those of an earlier call for this batch
+        entries = self.entries.select("digest", "keep_id", (F.col("batch") == batch).alias("own"))
+        known = share(groups.drop("keep_id").join(entries.hint("merge"), "digest"), "digests-known")
         kept = F.col("own") & (F.col("keep_row") == F.col("row"))
         return rows.join(known, "digest").select("doc_id", "row", "digest", "group_size", "keep_id", kept.alias("kept"))
 
 
-def first_of_equal_texts(docs: DataFrame, index: DigestIndex) -> DataFrame:
+    def compacted(self, path: str | None = None, buckets: int | None = None) -> DigestIndex:
+        """A copy at a new ``path`` (by default in the shared folder) with one sorted file per bucket, whatever the number of batches.
+
+        Each batch adds a file to each bucket it has digests of. This index stays as it is, until the caller drops it.
+        """
+        copy = DigestIndex.open(self.spark, path, buckets or self.buckets)
+        # read as plain files: of a bucketed scan Spark leaves out the dealing by bucket, and then the buckets
+        copy._append(self.spark.read.schema(self.entries.schema).parquet(self.path))
+        return copy
+
+    def _append(self, entries: DataFrame) -> None:
+        dealt = entries.repartition(self.buckets, "digest").write.format("parquet").mode("append")
+        dealt.bucketBy(self.buckets, "digest").sortBy("digest").option("path", self.path).saveAsTable(self.name)
+
+
+def first_of_equal_texts(docs: DataFrame, index: DigestIndex, batch: str | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns, after adding them to ``index``."""
     rows, row = numbered(docs, "exact-dedup")
-    stays = index.add(rows, row_column=row).filter("kept").select(F.col("row").alias(row))
+    stays = index.add(rows, row_column=row, batch=batch).filter("kept").select(F.col("row").alias(row))
     return rows.join(stays, row, "left_semi").select(*docs.columns)

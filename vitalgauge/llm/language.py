@@ -115,20 +115,19 @@ class LanguageModel:
     @functools.cached_property
     def weights(self) -> np.ndarray:
         """By n-gram of the landmarks and language."""
-        table = np.zeros((len(self.grams), len(self.languages)), np.float32)
+        table = np.zeros((len(self.grams), len(self.languages)))
         for k, column in enumerate((self.ridge / self.landmarks.norms[:, None]).T if len(self.grams) else ()):
             table[:, k] = np.add.reduceat(column[self.landmarks.holders], self.landmarks.starts[:-1])
         return table
 
     def decisions(self, texts: Sequence[str]) -> np.ndarray:
         """Per text and language, the ridge regression's value."""
-        values = np.zeros((len(texts), len(self.languages)))
-        for value, text in zip(values, texts, strict=True):
-            found = self.alphabet.present(text)
-            if len(self.grams) * len(self.languages) <= TABLE:
-                value[:] = self.weights[self.landmarks.rows(found)].sum(0) / max(len(found), 1) ** 0.5
-            else:
-                value[:] = self.landmarks.kernel(found) @ self.ridge
+        found = [self.alphabet.present(text) for text in texts]
+        scale = np.maximum([len(f) for f in found], 1) ** -0.5
+        if len(self.grams) * len(self.languages) <= TABLE:
+            values = _product([self.landmarks.rows(f) for f in found], self.weights) * scale[:, None]
+        else:
+            values = np.array([self.landmarks.kernel(f) for f in found]).reshape(len(texts), -1) @ self.ridge
         return values + self.offsets
 
     def predict(self, texts: Sequence[str]) -> tuple[list[str], list[float]]:
@@ -142,6 +141,23 @@ class LanguageModel:
         return languages, scores
 
 
+def _product(present: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
+    """The sparse matrix that has ones in each row's ``present`` columns, times ``weights``."""
+    out, low = np.zeros((len(present), weights.shape[1])), 0
+    sizes = np.array([len(p) for p in present], np.int64)
+    while low < len(present):  # some rows at a time, so that their columns stay few
+        high = max(low + 1, int(np.searchsorted(np.cumsum(sizes[low:]), _COLUMNS, "right")) + low)
+        columns, of_row = np.concatenate(present[low:high]), np.repeat(np.arange(high - low), sizes[low:high])
+        for k in range(weights.shape[1]):
+            out[low:high, k] = np.bincount(of_row, weights[columns, k], minlength=high - low)
+        low = high
+    return out
+
+
+#: Ones of a sparse matrix multiplied at a time.
+_COLUMNS = 1 << 20
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(1, keepdims=True))
     return e / e.sum(1, keepdims=True)
