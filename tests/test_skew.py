@@ -11,7 +11,7 @@ PLANS = [
     "adoption_kpis_v1", "adoption_scorecard_mobile", "adoption_scorecard_mobile_ci", "wide_star_join",
     "account_month_snapshot_container", "account_month_snapshot_interval", "work_type_monthly_grid",
     "hvt_self_join", "workapp_interval_join", "workapp_month_join", "windowed_conditional_distinct",
-    "percent_rank_presence", "mobile_user_plans",
+    "percent_rank_presence", "mobile_user_plans", "workapp_interval_rows", "workapp_valid_days", "heavy_key_join",
 ]
 
 

@@ -16,7 +16,7 @@ from vitalgauge.functions import (
     plan_key,
     safe_ratio,
 )
-from vitalgauge.operators import filters, intervals, joins, state
+from vitalgauge.operators import filters, intervals, joins, skew, state
 from vitalgauge.operators.aggregates import owner_solution_counts, snapshot_solutions, weighted_sum
 from vitalgauge.operators.objects import OBJECT_KINDS, map_as_text
 from vitalgauge.operators.ranks import with_ranks_and_scores
@@ -108,6 +108,16 @@ def totals_from_state(t: Tables, p: Params) -> DataFrame:
     return out[0].unionByName(out[1])
 
 
+@check(
+    "heavy_key_join",
+    """SELECT s.solution_uid, s.plan_uid, s.date, d.users_licensed, d.licenses
+       FROM sols s LEFT JOIN plan_daily d ON s.plan_uid = d.plan_uid AND s.date = d.date""",
+)
+def heavy_key_join(t: Tables, p: Params) -> DataFrame:
+    rows = usable_solutions(t, p).select("solution_uid", "plan_uid", "date")
+    return skew.salted_join(rows, t.plan_daily.select("plan_uid", "date", "users_licensed", "licenses"), ["plan_uid", "date"], hot="plan_uid")
+
+
 @check(
     "stored_layout_join",
     """SELECT s.solution_uid, s.plan_uid, s.date, d.users_licensed, d.licenses
@@ -287,8 +297,8 @@ def solution_plan_month_left(t: Tables, p: Params) -> DataFrame:
 
 @check(
     "wide_star_join",
-    """SELECT s.account_id, s.date, s.solution_uid, s.plan_uid, count(*) AS joined_rows,
-              CAST(sum(s.users_licensed) AS BIGINT) AS users_licensed, CAST(sum(s.workflows) AS BIGINT) AS workflows,
+    """SELECT s.account_id, s.date, s.solution_uid, s.plan_uid, CAST(count(*) AS DOUBLE) AS joined_rows,
+              CAST(sum(s.users_licensed) AS DOUBLE) AS users_licensed, CAST(sum(s.workflows) AS DOUBLE) AS workflows,
               max(o.total_solutions_per_owner) AS most_by_owner, max(a.name) AS account_name,
               max(a.territory_type) AS territory_type, max(json_extract_string(a.company, '$$.industry')) AS industry,
               max(CASE WHEN addon.account_id IS NULL THEN 0 ELSE 1 END) AS has_addon,
@@ -317,9 +327,9 @@ def wide_star_join(t: Tables, p: Params) -> DataFrame:
         .join(owners, "owner_uid", "left")
         .groupBy("account_id", "date", "solution_uid", "plan_uid")
         .agg(
-            F.sum(total).cast("bigint").alias("joined_rows"),
-            weighted_sum("users_licensed", total).cast("bigint").alias("users_licensed"),
-            weighted_sum("workflows", total).cast("bigint").alias("workflows"),
+            F.sum(total).alias("joined_rows"),
+            weighted_sum("users_licensed", total).alias("users_licensed"),
+            weighted_sum("workflows", total).alias("workflows"),
             F.max("total_solutions_per_owner").alias("most_by_owner"),
         )
     )

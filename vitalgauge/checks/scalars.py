@@ -9,6 +9,7 @@ from vitalgauge import functions as X
 from vitalgauge.checks.registry import check
 from vitalgauge.checks.relational import usable_solutions
 from vitalgauge.operators import filters
+from vitalgauge.operators.documents import attributes, flatten_variant, parsed, sum_values
 from vitalgauge.operators.objects import flatten_json, flatten_object, stack_objects, sum_by_key
 from vitalgauge.params import Params
 from vitalgauge.plans import adoption, snapshot, work_grid
@@ -82,6 +83,27 @@ def flatten_sum_by_key(t: Tables, p: Params) -> DataFrame:
     return sum_by_key(entries, work_grid.OBJECT_KEYS)
 
 
+@check(
+    "variant_attributes",
+    """SELECT account_id, json_extract_string(company, '$$.industry') AS industry,
+              coalesce(json_extract_string(company, '$$.industry_sub'), json_extract_string(company, '$$.subIndustry')) AS sub_industry
+       FROM account""",
+)
+def variant_attributes(t: Tables, p: Params) -> DataFrame:
+    wanted = {"industry": "industry", "sub_industry": ("industry_sub", "subIndustry")}
+    return attributes(t.account.select("account_id", "company"), "company", wanted).drop("company")
+
+
+@check(
+    "variant_flatten_sum",
+    """SELECT account_id, key, CAST(sum(value) AS DOUBLE) AS value, CAST(0 AS BIGINT) AS other_values
+       FROM plan_objects WHERE kind = 'premium_apps' GROUP BY account_id, key""",
+)
+def variant_flatten_sum(t: Tables, p: Params) -> DataFrame:
+    texts = t.solution_plan_monthly.select("account_id", F.to_json("premium_apps").alias("premium_apps"))
+    return sum_values(flatten_variant(parsed(texts, "premium_apps"), "premium_apps"), ["account_id"])
+
+
 @check(
     "json_path_extract",
     """SELECT 'account' AS source, account_id AS row_id, json_extract_string(company, '$$.industry') AS first_value,
