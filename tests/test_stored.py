@@ -99,6 +99,9 @@ def test_stored_facts_join_without_a_shuffle(spark):
     names = {"s": f"s_{folder[-8:]}", "d": f"d_{folder[-8:]}"}
     layout.write_fact(solutions, names["s"], f"{folder}/s", buckets=4)
     layout.write_fact(daily, names["d"], f"{folder}/d", buckets=4)
+    for name, months in (("s", 3), ("d", 3)):
+        files = spark.table(names[name]).select("_metadata.file_path", "date").distinct().collect()
+        assert len(files) <= months * 4 and len({f[0] for f in files}) == len(files)
     wanted = F.col("date") >= F.lit(days[1])
     with layout.joined_by_bucket(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

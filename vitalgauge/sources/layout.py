@@ -10,6 +10,7 @@ from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vitalgauge.tables import Tables
 
@@ -28,7 +29,7 @@ def write_fact(df: DataFrame, table: str, path: str, buckets: int, month: str =
     first, so each month and bucket is one file. A key with a large share of all rows makes one
     large bucket; where keys are that uneven, leave the fact as it is and let adaptive execution split the join.
     """
-    dealt = df.repartition(month, key)
+    dealt = df.repartition(F.col(month), F.pmod(F.hash(key), F.lit(buckets)))  # as Spark numbers buckets
     dealt.write.partitionBy(month).bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(table)
 
 
