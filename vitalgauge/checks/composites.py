@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from vitalgauge.checks.registry import check
 from vitalgauge.functions import SCORE_BANDS
-from vitalgauge.operators import filters
-from vitalgauge.operators.aggregates import accounts_over_n_solutions, snapshot_solutions
 from vitalgauge.operators.objects import OBJECT_KINDS, map_as_text
 from vitalgauge.params import Params
 from vitalgauge.plans import adoption, snapshot, work_grid
@@ -273,21 +271,13 @@ def account_month_snapshot_interval(t: Tables, p: Params) -> DataFrame:
 # --- names of single operators that only occur inside a plan ---------------------------------------
 
 
-_ONE_PASS = """account_id, month_year, account_name, total_licensed_users, total_active_users, total_workflows,
-    total_solutions_per_account, external_integrations, internal_integrations, solutions_with_hvt,
-    solutions_with_external_users, solutions_created_last_90_days, solutions_automation, unique_solution_owners,
-    unique_hvt_collaborators, unique_external_collaborators, total_complexity_score, work_app_count,
-    external_views_with_work_app"""
+#: Columns of the snapshot that come from other tables than its facts.
+_BESIDE = "brandfolder_presence, presence_of_rm_plan, mobile_users_count"
 
 
-@check("one_pass_account_month", f"SELECT {_ONE_PASS} FROM ({_snapshot_oracle('container')})")
+@check("one_pass_account_month", f"SELECT * EXCLUDE ({_BESIDE}) FROM ({_snapshot_oracle('interval')})")
 def one_pass_account_month(t: Tables, p: Params) -> DataFrame:
-    facts = snapshot.snapshot_facts(t, p)
-    in_month = snapshot_solutions(t.solution_monthly, t.plan, t.account, p.snapshot, p.min_account_arr_snapshot)
-    kept = filters.account_in(facts, accounts_over_n_solutions(in_month, p.accounts_over))
-    weighted = snapshot.with_container_apps(kept, t, p).withColumn("power", F.lit(False))
-    rows = snapshot.one_pass_account_month(weighted, citizen_developers=False)
-    return rows.select(*[c.strip() for c in _ONE_PASS.split(",")])
+    return snapshot.one_pass_account_month(snapshot.weighted_facts(t, p, "interval"), citizen_developers=True)
 
 
 _ROLLUP = [k.name for k in EDITIONS["adoption_scorecard_mobile"].kpis]

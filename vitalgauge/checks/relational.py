@@ -16,7 +16,7 @@ from vitalgauge.functions import (
     plan_key,
     safe_ratio,
 )
-from vitalgauge.operators import filters, intervals, joins, skew, state
+from vitalgauge.operators import distincts, filters, intervals, joins, skew, state
 from vitalgauge.operators.aggregates import owner_solution_counts, snapshot_solutions, weighted_sum
 from vitalgauge.operators.objects import OBJECT_KINDS, map_as_text
 from vitalgauge.operators.ranks import with_ranks_and_scores
@@ -108,6 +108,23 @@ def totals_from_state(t: Tables, p: Params) -> DataFrame:
     return out[0].unionByName(out[1])
 
 
+@check(
+    "distincts_from_state",
+    """SELECT solution_uid, count(DISTINCT users_collab_internal) AS users_collab_internal,
+              count(DISTINCT users_collab_external) AS users_collab_external, count(DISTINCT department) AS department
+       FROM star GROUP BY solution_uid""",
+)
+def distincts_from_state(t: Tables, p: Params) -> DataFrame:
+    """Distinct counts over all months from stored sets: history up to the snapshot first, then the months after it, the
+    snapshot's again."""
+    kept, rows = distincts.SOLUTION_DISTINCTS, adoption.star_rows(t, p)
+    spark, path = rows.sparkSession, shared_path(rows.sparkSession, "state-distincts")
+    kept.begin(rows.where(F.col("date") <= F.lit(p.snapshot)), path)
+    later = adoption.months(t, p).where(F.col("date") > F.lit(p.snapshot)).select("date").collect()  # a row per month
+    kept.update(rows, path, [p.snapshot, *(r["date"] for r in later)], "later")
+    return kept.totals(kept.read(spark, path), by=["solution_uid"])
+
+
 @check(
     "heavy_key_join",
     """SELECT s.solution_uid, s.plan_uid, s.date, d.users_licensed, d.licenses

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalgauge.functions import array_not_empty, days_before, exact_ratio, json_path, months_before, safe_ratio, sum_columns
-from vitalgauge.operators import bitmaps, filters, joins
+from vitalgauge.operators import bitmaps, distincts, filters, joins
 from vitalgauge.operators.aggregates import account_arr_having, owner_solution_counts, weighted_sum
 from vitalgauge.operators.ranks import with_ranks_and_scores
 from vitalgauge.params import Params
@@ -136,13 +136,19 @@ def solution_activity(t: Tables, p: Params, edition: Edition) -> DataFrame:
     )
 
 
+#: Columns counted distinct per solution, and the names of their counts.
+DISTINCTS = {
+    "users_collab_internal": "unique_internal_collaborators",
+    "users_collab_external": "unique_external_collaborators",
+    "department": "num_departments_per_solution",
+}
+
+
 def solution_distincts(activity: DataFrame) -> DataFrame:
     """Per solution, over all months: distinct departments and collaborator numbers."""
-    return activity.groupBy("solution_key").agg(
-        F.count_distinct("users_collab_internal").alias("unique_internal_collaborators"),
-        F.count_distinct("users_collab_external").alias("unique_external_collaborators"),
-        F.count_distinct("department").alias("num_departments_per_solution"),
-    )
+    key, names = ["solution_key"], list(DISTINCTS)
+    sets = distincts.value_sets(activity, key, [c for c in names if c != "department"], ["department"])
+    return distincts.counted(sets, key, names).withColumnsRenamed(DISTINCTS)
 
 
 PLAN_MONTH = ["plan_key", "year", "month_calendar"]

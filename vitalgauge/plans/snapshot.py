@@ -194,10 +194,9 @@ def one_pass_account_month(facts: DataFrame, citizen_developers: bool) -> DataFr
     return joined.fillna(0, subset=zero_if_missing)
 
 
-def account_month_snapshot(
-    t: Tables, p: Params, by: str, accounts: DataFrame | list | None = None, require_mobile: bool = False
-) -> DataFrame:
-    """The snapshot; work apps are matched ``by="container"`` or ``by="interval"``."""
+def weighted_facts(t: Tables, p: Params, by: str, accounts: DataFrame | list | None = None) -> DataFrame:
+    """What the measures read: facts of large accounts, weighted by the work apps they match, with ``power`` for
+    owners of many solutions."""
     # Read three times: for the size of accounts, the totals of owners, and the facts themselves.
     month = share(month_rows(t, p, accounts).select(*MONTH_COLUMNS), "snapshot-month")
     facts = active_facts(month)
@@ -208,7 +207,14 @@ def account_month_snapshot(
     power = power.select("owner_uid", F.lit(True).alias("power"))
     weighted = weighted.join(power, "owner_uid", "left").fillna(False, subset=["power"])
     # Four groupings read the weighted facts; the joins before them are made once.
-    weighted = share(weighted.select(*MEASURED), f"snapshot-{by}")
+    return share(weighted.select(*MEASURED), f"snapshot-{by}")
+
+
+def account_month_snapshot(
+    t: Tables, p: Params, by: str, accounts: DataFrame | list | None = None, require_mobile: bool = False
+) -> DataFrame:
+    """The snapshot; work apps are matched ``by="container"`` or ``by="interval"``."""
+    weighted = weighted_facts(t, p, by, accounts)
     rows = one_pass_account_month(weighted, citizen_developers=by == "interval")
 
     addon = joins.presence(t.addon_plan, "account_id", "brandfolder_presence")
