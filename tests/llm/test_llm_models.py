@@ -273,6 +273,7 @@ def test_model_query_against_brute_force(spark, sf_dir, table):
 
 def test_model_sums_to_one_with_hot_contexts(spark, documents, monkeypatch):
     monkeypatch.setattr(kneser_ney, "_BLOCK", 500)
+    monkeypatch.setattr(kneser_ney, "SHARD_TOKENS", 1000)
     texts = [f"the w{i % 97} the W{i % 31} x{i}" for i in range(400)] + [None, "", "the " * 5000, "é\xa0É"]
     docs = documents([(i, t) for i, t in enumerate(texts)])
     model, plain = fit_kneser_ney(docs), Plain(texts)
@@ -283,6 +284,21 @@ def test_model_sums_to_one_with_hot_contexts(spark, documents, monkeypatch):
         assert sum(plain.chance(v, w) for w in plain.count) + plain.chance(v, "never seen") == pytest.approx(1)
 
 
+def test_shards_follow_all_texts_not_the_first_nor_the_session(spark, documents, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "SHARD_TOKENS", 1000)
+    texts = [f"a{i} b{i} c{i} d{i}" for i in range(3000)] + ["plain " * 12_000 + f"hot {i} hot x{i}" for i in range(3)]
+    docs = documents([(i, t) for i, t in enumerate(texts)]).orderBy("doc_id")
+    shards = kneser_ney.shards_for(docs)
+    tokens = sum(len(plain_tokens(t)) for t in texts)
+    assert shards.number == -(-tokens // 1000)
+    plain, start = (int(x) for x in (kneser_ney._hashes[b"plain"], kneser_ney._START))
+    assert shards.spread == {plain: min(-(-4 * 36_000 // 1000), shards.number), start: -(-4 * len(texts) // 1000)}
+    context, word = np.full(5000, plain, np.uint64), np.arange(5000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    dealt = np.bincount(shards.of_pairs(context, word), minlength=shards.number)
+    assert dealt.max() < 5 * 5000 / shards.number
+    assert kneser_ney.shards_for(documents([])) == kneser_ney.Shards(1, {})
+
+
 def test_model_without_training_texts(spark, documents):
     model = fit_kneser_ney(documents([]))
     got = model_scores(documents([(1, "a b"), (1, "a b"), (2, None)]), model).collect()

@@ -1,5 +1,8 @@
 """Word bigram model with interpolated modified Kneser-Ney smoothing, counted in Spark and read by memory map.
 
+Survey: tokens and contexts of all training texts are counted, by task before the shuffle. From that follow the number of
+shards, of about ``SHARD_TOKENS`` tokens each, and the contexts so common that they would outweigh one.
+
 Counting: each task reduces its texts to distinct pairs (context, word) of 64-bit hashes with counts, and deals them to
 shards as sorted, compressed blocks. A shard belongs to contexts, so it holds all there is to know about their
 followers; a context so common that it would outweigh a shard is dealt over several by its followers. A shard merges its
@@ -17,8 +20,8 @@ discounts from counts of counts, and g makes sums 1. Texts begin in a context of
 Order 2: the model of order 3 keeps nearly as many trigrams as there are words (they hardly repeat), which at
 eight bytes a hash, shuffled and stored, is beyond the disk that the task allows (see README).
 
-The number of shards is the session's number of shuffle partitions, which a cluster sets by its data; what a
-shard's task holds is its share of the distinct pairs. Arrays are written under a temporary name and renamed, with
+What a shard's task holds is bounded by the tokens of a shard, whatever the size and order of the corpus and the session's
+settings. The driver gets the common contexts, fewer than four per shard. Arrays are written under a temporary name and renamed, with
 equal content whenever a task is repeated, to the shared folder. On a file system that can't be mapped, a worker
 copies an array to an unnamed local file and maps that.
 
@@ -44,14 +47,14 @@ from pyspark.sql import functions as F
 
 from vitalgauge.llm.common import text_bytes, words
 from vitalgauge.llm.kept import Kept
-from vitalgauge.sources.shared import shared_path
+from vitalgauge.sources.shared import share, shared_path
 
 #: A word never holds a space, so these are no word's hash but by chance.
 _START, _END = (np.uint64(xxhash.xxh64_intdigest(s)) for s in (b" start", b" end"))
 #: Tokens a task counts at a time, and scores at a time.
 _BLOCK = 1_000_000
-#: Texts looked at to find the most common contexts. Only balance depends on them.
-_LOOK = 2000
+#: Tokens that a shard should have.
+SHARD_TOKENS = 1 << 21
 
 
 # --- hashes and arrays ----------------------------------------------------------------------------
@@ -188,15 +191,34 @@ class Shards:
         return ((word >> np.uint64(8)) % np.uint64(self.number)).astype(np.int64)
 
 
-def common_contexts(docs: DataFrame, shards: int) -> dict[int, int]:
-    """Contexts that take more than a quarter of a shard in some texts, and over how many shards to deal each: at most
-    4 x ``shards`` contexts."""
-    some = [bytes(r[0]) for r in docs.select(F.substring(F.col("text"), 1, 10_000).cast("binary")).dropna().limit(_LOOK).collect()]
-    if not some or shards < 2:
-        return {}
-    hashes, n = np.unique(token_hashes(some)[0], return_counts=True)
-    parts = np.ceil(4 * shards * n / n.sum()).astype(int)
-    return {int(h): int(min(p, shards)) for h, p in zip(hashes, parts, strict=True) if p > 1}
+def shards_for(docs: DataFrame) -> Shards:
+    """Enough shards for all tokens of ``docs``, with each context of over a quarter of a shard dealt over several."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for texts in _blocks(batches):
+            context, n = np.unique(token_hashes(texts)[0], return_counts=True)
+            columns = [pa.array(context.view(np.int64)), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(columns, names=["context", "n"])
+
+    tokens = docs.select(F.col("text").cast("string")).mapInArrow(counted, "context long, n long")
+    contexts = share(tokens.groupBy("context").agg(F.sum("n").alias("n")), "contexts")
+    number = max(1, -(-(contexts.agg(F.sum("n")).first()[0] or 0) // SHARD_TOKENS))
+    common = contexts.where(F.col("n") > SHARD_TOKENS // 4).collect() if number > 1 else []
+    return Shards(number, {r["context"] % (1 << 64): min(-(-4 * r["n"] // SHARD_TOKENS), number) for r in common})
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+    """The texts of a task, about ``_BLOCK`` tokens at a time."""
+    some, size = [], 0
+    for batch in batches:
+        for text in text_bytes(batch, "text"):
+            some.append(text)
+            size += len(text) // 5 + 1
+            if size >= _BLOCK:
+                yield some
+                some, size = [], 0
+    if some:
+        yield some
 
 
 def _by_shard(shard: np.ndarray, *arrays: np.ndarray) -> pa.RecordBatch:
@@ -288,8 +310,7 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
 def fit_kneser_ney(docs: DataFrame) -> KneserNey:
     """A model of the ``text`` of all ``docs``."""
     spark = docs.sparkSession
-    folder, number = _uri(shared_path(spark, "kneser-ney")), int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = Shards(number, common_contexts(docs, number))
+    folder, shards = _uri(shared_path(spark, "kneser-ney")), shards_for(docs)
 
     def pairs_of(texts: list[bytes]) -> pa.RecordBatch:
         context, token, _ = token_hashes(texts)
@@ -300,16 +321,8 @@ def fit_kneser_ney(docs: DataFrame) -> KneserNey:
         return _by_shard(shards.of_pairs(context, token), context, token, n)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        some, size = [], 0
-        for batch in batches:
-            for text in text_bytes(batch, "text"):
-                some.append(text)
-                size += len(text) // 5 + 1
-                if size >= _BLOCK:
-                    yield pairs_of(some)
-                    some, size = [], 0
-        if some:
-            yield pairs_of(some)
+        for texts in _blocks(batches):
+            yield pairs_of(texts)
 
     def merged_pairs(blocks: pa.Table) -> Iterator[pa.RecordBatch]:
         shard = blocks.column("shard")[0].as_py()
