@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vitalgauge.llm import kneser_ney, language, queries, toxicity
+from vitalgauge.llm import ann, kneser_ney, language, queries, toxicity
 from vitalgauge.llm.ann import Centroids, balanced_centroids, nearest_neighbours, squared
 from vitalgauge.llm.kneser_ney import discounts, fit_kneser_ney, model_scores
 from vitalgauge.llm.language import fit_language, language_sample, predicted_languages
@@ -346,6 +346,29 @@ def test_recall_with_many_lists_and_hot_vectors(spark):
     assert len(got) == 60 and found >= 0.9 * 600
 
 
+def test_blocks_of_vectors_and_of_queries_meet_once_each(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=(400, 6)), 9 + rng.normal(size=(100, 6))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+
+    def rows():
+        got = nearest_neighbours(df, df.filter("vec_id % 3 = 0"))
+        return sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect())
+
+    plain = rows()
+    monkeypatch.setattr(ann, "BLOCK", 7)
+    monkeypatch.setattr(ann, "QUERIES", 5)
+    assert rows() == plain and len(plain) == 167 * 10
+    assert nearest_neighbours(df, df.limit(0)).count() == 0
+
+
+def test_ranking_keeps_few_rows_of_a_key_before_the_shuffle(spark):
+    rows = spark.range(0, 5000, 1, 5).selectExpr("id % 2 AS k", "id")
+    got = ann.first_of(rows, 3, ["k"], ["id"])
+    assert got._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
+    assert sorted(map(tuple, got.collect())) == [(k, 2 * i + k) for k in (0, 1) for i in range(3)]
+
+
 def test_vectors_that_take_no_part(spark):
     rows = [(i, [float(i + 1), 1.0]) for i in range(6)] + [(6, [2.0, 1.0])]
     rows += [(10, None), (11, [0.0, 0.0]), (12, [None, 1.0]), (13, [float("nan"), 1.0]), (14, [float("inf"), 1.0]), (15, [1.0]), (16, []), (None, [1.0, 1.0])]

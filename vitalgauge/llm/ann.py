@@ -9,10 +9,12 @@ chosen one adds little and is left out. A query reads all lists whose centroids
 ratio is fitted on the sample, to find ``RECALL`` of the true neighbours there. (Neighbours in a sample are farther
 than those among all vectors, so the ratio errs to the safe side.)
 
-Equal vectors are one entry with the smallest of their ids, as many as a result can use, found in two
-steps so that no task gathers a large group. Lists are dealt in blocks of about ``BLOCK`` vectors, queries to all
-blocks of their lists; so no list is one task's load. A block answers with its best vectors only, and of those
-only what is not farther than as many vectors of the sample in the lists read. Distances are computed in double precision on the
+Equal vectors are one entry with the smallest of their ids, as many as a result can use. Lists are dealt in blocks of
+about ``BLOCK`` vectors, and the queries that read a list in blocks of about ``QUERIES``; each block of the one meets each
+of the other in a group of its own, so neither a long list nor a list that many queries read is one task's load. A block
+answers with its best vectors only, and of those only what is not farther than as many vectors of the sample in
+the lists read. The best of many rows are always taken by a ranking window, of which each task hands on no more rows per key
+than the result can use; no array gathers a group. Distances are computed in double precision on the
 original vectors.
 
 Defined cases: vectors null, zero, or with a null or non-finite component take no part, nor do vectors of
@@ -32,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from vitalgauge.llm.common import free_name
 from vitalgauge.sources.shared import share
 
 SAMPLE = 65_536
@@ -52,7 +55,7 @@ NEIGHBOURS = 24
 _BEAM = 8
 _ROWS = 256
 BLOCK = 4096
-_SALTS = 64
+QUERIES = 4096
 _SEED = 7
 
 
@@ -223,16 +226,22 @@ def squared_limits(x: np.ndarray, row: np.ndarray, read: np.ndarray, known: np.n
     return np.partition(far, n - 1, 1)[:, n - 1]
 
 
+def first_of(rows: DataFrame, n: int, keys: list[str], order: list[str]) -> DataFrame:
+    """Of each key the first ``n`` rows in an order. Spark ranks before the shuffle too, so a key's rows there are
+    at most ``n`` per task."""
+    place = free_name(rows, "place")
+    ranked = rows.withColumn(place, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.filter(F.col(place) <= n).drop(place)
+
+
 def distinct_vectors(vectors: DataFrame, keep: int) -> DataFrame:
     """``rep`` (the smallest id), ``ids`` (the ``keep`` smallest) and ``vector`` of each distinct usable vector."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("vector"))
     rows = rows.filter(F.col("id").isNotNull() & usable(F.col("vector"))).withColumn("length", F.size("vector"))
     common = rows.groupBy("length").count().orderBy(F.desc("count"), "length").first()
     rows = rows.filter(F.col("length") == (common["length"] if common else 0))
-    least = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, keep)
-    salted = rows.select("vector", F.array("id").alias("ids"), F.pmod(F.xxhash64("id"), F.lit(_SALTS)).alias("salt"))
-    some = salted.groupBy("vector", "salt").agg(least.alias("ids"))
-    found = some.groupBy("vector").agg(least.alias("ids"))
+    ids = first_of(rows.select("id", "vector").distinct(), keep, ["vector"], ["id"])
+    found = ids.groupBy("vector").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     return found.select(F.element_at("ids", 1).alias("rep"), "ids", "vector")
 
 
@@ -251,6 +260,20 @@ def fit_centroids(distinct: DataFrame, k: int, list_size: int = LIST_SIZE, most_
     return centroids, centroids.ratio_for(some, k), some
 
 
+def dealt(rows: DataFrame, key: str, own: tuple[str, dict[int, int]], other: tuple[str, dict[int, int]]) -> DataFrame:
+    """Rows of lists, each in one of its list's blocks on its ``own`` side, once for every block on the ``other`` side.
+
+    A side is the name of the column with its block, and its number of blocks by list. Lists without any there are left out.
+    """
+    (mine, n_mine), (theirs, n_theirs) = own, other
+
+    def number(blocks: dict[int, int]) -> Column:
+        return F.try_element_at(F.create_map(*[F.lit(x) for pair in blocks.items() for x in pair]), F.col("list"))
+
+    block = F.pmod(F.xxhash64(key), number(n_mine)).cast("int")
+    return rows.withColumns({mine: block, theirs: F.explode(F.sequence(F.lit(0), number(n_theirs) - 1))})
+
+
 def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """For each row of ``queries``, up to ``k`` near rows of ``vectors`` other than itself: ``query_id``, ``rank``, ``vec_id``, ``score``.
 
@@ -259,8 +282,9 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10) -> D
     spark = vectors.sparkSession
     distinct = share(distinct_vectors(vectors, k + 1), "vectors")
     fitted = fit_centroids(distinct, k)
+    nothing = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if fitted is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return nothing
     centroids, ratio, known = fitted
     homes = centroids.all_homes(known)
 
@@ -284,15 +308,20 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10) -> D
             for some in _batches(batch, _ROWS):
                 row, read = centroids.lists(_matrix(some.column(1)), ratio)
                 limits = squared_limits(_matrix(some.column(1)), row, read, known, homes, k + 3)
-                n = np.array([blocks.get(int(x), 0) for x in read], int)
-                row, read, block = np.repeat(row, n), np.repeat(read, n), np.concatenate([np.arange(x) for x in n] or [n])
+                held = np.isin(read, list(blocks))
+                row, read = row[held], read[held]
                 taken = some.take(pa.array(row))
-                columns = [pa.array(read, pa.int32()), pa.array(block, pa.int32()), *taken.columns, pa.array(limits[row])]
-                yield pa.RecordBatch.from_arrays(columns, names=["list", "block", "query", "vector", "most"])
-
-    reads = by_vector.select("rep", "vector").mapInArrow(spread, "list int, block int, query long, vector array<double>, most double")
-    counts = F.create_map(*[F.lit(x) for pair in blocks.items() for x in pair])
-    dealt = postings.withColumn("block", F.pmod(F.xxhash64("rep"), counts[F.col("list")]).cast("int"))
+                columns = [pa.array(read, pa.int32()), *taken.columns, pa.array(limits[row])]
+                yield pa.RecordBatch.from_arrays(columns, names=["list", "query", "vector", "most"])
+
+    reads = by_vector.select("rep", "vector").mapInArrow(spread, "list int, query long, vector array<double>, most double")
+    reads = share(reads, "reads")
+    readers = {r["list"]: r["count"] for r in reads.groupBy("list").count().collect()}  # one row per centroid
+    parts = {home: -(-n // QUERIES) for home, n in readers.items()}
+    if not parts:
+        return nothing
+    of_vectors, of_queries = ("block", blocks), ("asking", parts)
+    kept, asking = dealt(postings, "rep", of_vectors, of_queries), dealt(reads, "query", of_queries, of_vectors)
 
     def searched(held: pa.Table, asking: pa.Table) -> pa.Table:
         parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -314,18 +343,16 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10) -> D
         return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["query", "rep", "score"])
 
     found = (
-        dealt.groupBy("list", "block")
-        .cogroup(reads.groupBy("list", "block"))
+        kept.groupBy("list", "block", "asking")
+        .cogroup(asking.groupBy("list", "block", "asking"))
         .applyInArrow(searched, "query long, rep long, score double")
     )
-    best = F.slice(F.array_sort(F.array_distinct(F.collect_list(F.struct("score", "rep")))), 1, k + 1)
-    near = found.groupBy("query").agg(best.alias("near")).select("query", F.explode("near").alias("x")).select("query", "x.score", "x.rep")
+    found = found.groupBy("query", "rep").agg(F.min("score").alias("score"))
+    near = first_of(found, k + 1, ["query"], ["score", "rep"])
     members = near.join(distinct.select("rep", "ids"), "rep").select("query", "score", F.explode("ids").alias("vec_id"))
-    merged = F.slice(F.array_sort(F.collect_list(F.struct("score", "vec_id"))), 1, k + 1)
-    results = members.groupBy("query").agg(merged.alias("found"))
+    results = first_of(members, k + 1, ["query"], ["score", "vec_id"])
     by_query = asked.join(by_vector.select("rep", "vector"), "vector").select("query_id", "rep").distinct()
-    rows = by_query.join(results, by_query["rep"] == results["query"]).select("query_id", F.explode("found").alias("x"))
-    rows = rows.select("query_id", "x.vec_id", "x.score").filter("vec_id <> query_id")
+    rows = by_query.join(results, by_query["rep"] == results["query"]).select("query_id", "vec_id", "score").filter("vec_id <> query_id")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     ranked = rows.withColumn("rank", place).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
