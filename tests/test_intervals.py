@@ -96,3 +96,11 @@ def test_rows_stay_in_proportion(spark):
             F.size(interval_nodes(_day("effective_from"), _day("effective_to") + 1))
         )
         assert {r[0] for r in nodes.collect()} == {1}
+
+
+def test_rows_of_nodes_are_never_broadcast(spark):
+    """They are many times the intervals, by whose size Spark would judge them."""
+    facts, intervals = made(random.Random(3))
+    for keys in (["k"], []):
+        joined = days_in_intervals(spark.createDataFrame(facts, FACTS), spark.createDataFrame(intervals, INTERVALS), keys)
+        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().toString()

@@ -79,6 +79,8 @@ def days_in_intervals(
     last = F.coalesce(F.col(end), F.lit("9999-12-31").cast("date")) if open_ended else F.col(end)
     bounds = intervals.dropna(subset=[*keys, start]).withColumn("_last", last).where(F.col("_last") >= F.col(start))
     left = bounds.withColumn("_node", F.explode(interval_nodes(_day(start), _day("_last") + 1))).drop("_last")
+    # Spark judges the size of the nodes' rows by that of the intervals, some twelve times too small: never broadcast them.
+    left = left.hint("merge")
     right = days.select(*keys, date).dropna().distinct().withColumn("_node", F.explode(day_nodes(date)))
     return right.join(left, [*keys, "_node"]).drop("_node")
 
