@@ -9,7 +9,10 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from vitalgauge.operators.intervals import _LEVELS, _day, days_in_intervals, interval_nodes, with_intervals
+from vitalgauge.checks import CHECKS
+from vitalgauge.operators.intervals import _LEVELS, _day, days_in_intervals, interval_nodes, stretches, with_intervals
+from vitalgauge.params import FIXTURE_PARAMS
+from vitalgauge.tables import Tables
 
 DAY0 = dt.date(1, 1, 1)
 FACTS, INTERVALS = "k string, date date, fact int", "k string, effective_from date, effective_to date, app int"
@@ -104,3 +107,33 @@ def test_rows_of_nodes_are_never_broadcast(spark):
     for keys in (["k"], []):
         joined = days_in_intervals(spark.createDataFrame(facts, FACTS), spark.createDataFrame(intervals, INTERVALS), keys)
         assert "BroadcastHashJoin" not in joined._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("open_ended", [False, True])
+def test_stretches_count_as_the_intervals_do(spark, open_ended):
+    facts, rows = made(random.Random(4), hot=True)
+    days = sorted({f[1] for f in facts if f[1]})
+    intervals = spark.createDataFrame(rows, INTERVALS)
+    held = stretches(intervals, ["k"], "n", open_ended=open_ended)
+    got = days_in_intervals(spark.createDataFrame([(d,) for d in days], "date date"), held, open_ended=open_ended)
+
+    def holds(date, first, last):
+        last = last or (dt.date.max if open_ended else None)
+        return None not in (first, last) and first <= date <= last
+
+    expected = Counter((d, i[0]) for d in days for i in rows if holds(d, i[1], i[2]))
+    found = [(r.date, r.k, r.n) for r in got.select("date", "k", "n").collect()]
+    assert sorted(found, key=str) == sorted(((d, k, n) for (d, k), n in expected.items()), key=str)
+
+
+def test_apps_of_an_owner_meet_a_day_once(spark):
+    """1,000 apps of one owner that all hold 20 days make 20 rows, where app by app they would make 20,000."""
+    day = dt.date(2020, 1, 1)
+    apps = spark.createDataFrame([(1, day, day + dt.timedelta(30), "Active", i) for i in range(1000)],
+                                 "owner_user_uid int, effective_from date, effective_to date, status string, container_uid int")
+    days = spark.createDataFrame([(day + dt.timedelta(i),) for i in range(20)], "date date")
+    table = Tables({"date_dim": lambda: days, "workapp_interval": lambda: apps})
+    result = CHECKS["workapp_valid_days"].build(table, FIXTURE_PARAMS)
+    assert {tuple(r) for r in result.select("status", "apps", "owners").collect()} == {("Active", 1000, 1)} and result.count() == 20
+    held = stretches(apps, ["status", "owner_user_uid"], "apps")
+    assert days_in_intervals(days, held).count() == 20

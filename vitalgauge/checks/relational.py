@@ -433,8 +433,10 @@ def workapp_interval_rows(t: Tables, p: Params) -> DataFrame:
        GROUP BY ALL""",
 )
 def workapp_valid_days(t: Tables, p: Params) -> DataFrame:
-    valid = intervals.days_in_intervals(t.date_dim, t.workapp_interval, open_ended=True)
-    return valid.groupBy("date", "status").agg(F.count("*").alias("apps"), F.count_distinct("owner_user_uid").alias("owners"))
+    # A day meets an owner once, with the number of the owner's apps, and not once per app.
+    held = intervals.stretches(t.workapp_interval, ["status", "owner_user_uid"], "apps", open_ended=True)
+    valid = intervals.days_in_intervals(t.date_dim, held, open_ended=True)
+    return valid.groupBy("date", "status").agg(F.sum("apps").alias("apps"), F.count_distinct("owner_user_uid").alias("owners"))
 
 
 @check(

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BITS = 2
@@ -95,3 +95,37 @@ def with_intervals(
     """
     pairs = days_in_intervals(rows, intervals, keys, date, open_ended=open_ended)
     return rows.join(pairs, [*keys, date], how)
+
+
+def stretches(
+    intervals: DataFrame,
+    keys: Sequence[str],
+    name: str,
+    start: str = "effective_from",
+    end: str = "effective_to",
+    open_ended: bool = False,
+) -> DataFrame:
+    """Per ``keys``, NULL keys too: stretches of days held by the same number (``name``, never 0) of intervals, both ends included.
+
+    Stretches of the same keys share no day, so a day meets them once, however many intervals hold it. With
+    ``open_ended`` an interval without an end holds all days from its start on, and the stretch without a later change has
+    no end; otherwise it counts for nothing. The number is a running sum of starts and ends, which are summed per keys and day before the
+    window: a window partition holds at most one row per calendar day.
+    """
+    valid = F.col(end) >= F.col(start)
+    if open_ended:
+        valid = valid | F.col(end).isNull()
+    steps = F.array(
+        F.struct(F.col(start).alias("_day"), F.lit(1).alias("_step")),
+        F.struct(F.date_add(end, 1).alias("_day"), F.lit(-1).alias("_step")),
+    )
+    changes = intervals.where(F.col(start).isNotNull() & valid).select(*keys, F.explode(steps).alias("_change")).select(*keys, "_change.*")
+    per_day = changes.where(F.col("_day").isNotNull()).groupBy(*keys, "_day").agg(F.sum("_step").alias("_step")).where("_step != 0")
+    in_order = Window.partitionBy(*keys).orderBy("_day")
+    counted = per_day.select(
+        *keys,
+        F.col("_day").alias(start),
+        F.date_sub(F.lead("_day").over(in_order), 1).alias(end),
+        F.sum("_step").over(in_order.rowsBetween(Window.unboundedPreceding, 0)).alias(name),
+    )
+    return counted.where(F.col(name) > 0)
