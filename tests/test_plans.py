@@ -128,6 +128,35 @@ def test_error_without_a_shared_folder(spark, monkeypatch):
         shared.share(spark.range(3), "x")
 
 
+def on_a_cluster(spark, monkeypatch, named):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    monkeypatch.setattr(shared, "_found", {})
+    monkeypatch.setattr(shared, "_named_folder", lambda _: named and str(named))
+
+
+def test_shared_folder_without_a_scheme_on_a_cluster(spark, monkeypatch, tmp_path):
+    on_a_cluster(spark, monkeypatch, tmp_path)
+    df = shared.share(spark.range(5), "plain")
+    assert df.count() == 5 and df.inputFiles()[0].startswith(f"file://{tmp_path}/")
+
+
+def test_warehouse_has_the_shared_folder_of_a_cluster_without_one(spark, monkeypatch):
+    on_a_cluster(spark, monkeypatch, None)
+    shared.use_local_folder(spark)
+    df = shared.share(spark.range(5), "unnamed")
+    assert df.count() == 5 and "/vitalgauge-shared/" in df.inputFiles()[0]
+    shared.clear_shared(spark)
+
+
+def test_folders_that_executors_cannot_share_are_not_used(spark, monkeypatch, tmp_path):
+    on_a_cluster(spark, monkeypatch, tmp_path)
+    (tmp_path / "file").write_text("no folder")
+    assert not shared.is_shared(spark, str(tmp_path / "file"))
+    monkeypatch.setattr(shared, "is_shared", lambda *_: False)
+    with pytest.raises(shared.NoSharedFolder, match="spark.checkpoint.dir"):
+        shared.share(spark.range(3), "x")
+
+
 def test_shared_results_of_a_block_are_removed(spark):
     with shared.shared_for(spark):
         path = shared.share(spark.range(3), "short").inputFiles()[0]
