@@ -201,3 +201,12 @@ def test_snapshot_scans_its_facts_once(stored):
         assert "date" in scan.split("PushedFilters")[1]
     rest = snapshot.account_month_snapshot(stored, FIXTURE_PARAMS, "interval")
     assert not scans(rest, "solution_monthly") and not scans(rest, "plan_daily")
+
+
+def test_entries_of_maps_are_dealt_before_they_are_summed(spark, sf_dir):
+    """Summed ahead of the shuffle, nearly all entries of a task would be held in memory, whatever Spark sizes its tasks by."""
+    maps = fixture_tables(spark, sf_dir).solution_plan_monthly.select("plan_uid", "date", "work_type", "premium_apps")
+    lines = physical(maps).splitlines()
+    (dealt,) = [i for i, line in enumerate(lines) if "REPARTITION_BY_COL" in line]
+    (exploded,) = [i for i, line in enumerate(lines) if "Generate explode" in line]
+    assert dealt < exploded and not any("HashAggregate" in line for line in lines[dealt:exploded])
