@@ -69,3 +69,11 @@ def test_equal_quotients_of_large_sums_tie(spark):
     got = {r["id"]: r["pct_rank"] for r in percent_ranks(df, ["id"], ["m"], exact={"m": "exact_m"}).collect()}
     for i, q in enumerate(quotients):
         assert got[i] == sum(x < q for x in quotients) / (len(rows) - 1)
+
+
+def test_exploded_measures_and_wide_rows_are_never_broadcast(spark):
+    """They are many times what they are read from, by whose size Spark would judge them."""
+    rows = spark.range(500).selectExpr("id", "id % 7 AS a", "id % 3 AS b")
+    plan = ranks.with_ranks_and_scores(rows, ["id"], {"a": "a", "b": "b"})._jdf.queryExecution().executedPlan().toString()
+    for keys in ("[id#", "[coalesce(measure#"):
+        assert f"SortMergeJoin {keys}" in plan and f"BroadcastHashJoin {keys}" not in plan
