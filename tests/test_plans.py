@@ -140,6 +140,15 @@ def test_shared_folder_without_a_scheme_on_a_cluster(spark, monkeypatch, tmp_pat
     assert df.count() == 5 and df.inputFiles()[0].startswith(f"file://{tmp_path}/")
 
 
+def test_set_checkpoint_dir_overrides_the_setting(spark, tmp_path):
+    setting = spark.conf.get("spark.checkpoint.dir")
+    spark.sparkContext.setCheckpointDir(str(tmp_path / "set"))
+    try:
+        assert f"{tmp_path}/set/" in shared.share(spark.range(5), "set").inputFiles()[0]
+    finally:
+        spark.sparkContext.setCheckpointDir(setting)
+
+
 def test_warehouse_has_the_shared_folder_of_a_cluster_without_one(spark, monkeypatch):
     on_a_cluster(spark, monkeypatch, None)
     shared.use_local_folder(spark)
