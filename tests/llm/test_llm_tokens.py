@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -168,6 +169,32 @@ def test_pack_odd_rows(spark, documents):
     assert packed_pieces(documents([]), BYTES).count() == 0
 
 
+def test_workers_keep_no_words_after_packing(spark, documents):
+    def kept(batches):
+        from vitalgauge.llm import byte_bpe
+
+        for _ in batches:
+            held = [k for bpe in byte_bpe._encoders.values() for k in (bpe.pieces, bpe.words)]
+            yield pa.RecordBatch.from_pydict({"n": [sum(len(k) + len(k.before) for k in held)]})
+
+    def kept_in_workers():
+        rows = spark.range(0, 64, 1, 64).mapInArrow(kept, "n long").collect()
+        return sum(r.n for r in rows)
+
+    docs = documents([(i, " ".join(f"w{i}x{j}" for j in range(50))) for i in range(64)], partitions=64)
+    settings = {"spark.sql.files.maxPartitionBytes": "4k", "spark.sql.files.openCostInBytes": "4k"}  # so that each worker has a part to cut
+    pieces = packed_pieces(docs, BYTES)
+    assert kept_in_workers() > 0
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert {p.doc_id for p in pieces.collect()} == set(range(64))
+        assert kept_in_workers() == 0
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+
+
 def test_windows_have_the_target_mixture():
     totals = (100_003, 51_001, 7, 0, 2)
     places = Places(totals, window=4096, sequence=512)

@@ -134,3 +134,10 @@ def encoder(path: str, special_as_text: bool = False) -> ByteBpe:
     if key not in _encoders:
         _encoders[key] = ByteBpe(path, special_as_text)
     return _encoders[key]
+
+
+def forget() -> None:
+    """Drop the pieces and words this worker keeps: Spark uses it again for other stages, next to whose memory they would stay."""
+    for bpe in _encoders.values():
+        bpe.pieces.forget()
+        bpe.words.forget()

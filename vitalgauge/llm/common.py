@@ -55,6 +55,11 @@ def text_bytes(batch: pa.RecordBatch, column: str, step: int = 256) -> Iterator[
             yield value or b""
 
 
+def give_back() -> None:
+    """Give the system what Arrow's pool holds unused: Spark keeps a worker for later tasks, next to whose memory it would stay."""
+    pa.default_memory_pool().release_unused()
+
+
 def words(text: bytes) -> list[bytes]:
     """The words of a text with A-Z in lower case: what bytes know as letters and white space is ASCII's."""
     return text.lower().split()

@@ -32,3 +32,8 @@ class Kept(dict):
             self.clear()
         self[key] = found
         return found
+
+    def forget(self) -> None:
+        """Drop both spans of use."""
+        self.clear()
+        self.before = {}

@@ -39,8 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vitalgauge.llm.byte_bpe import encoder
-from vitalgauge.llm.common import text_bytes
+from vitalgauge.llm.byte_bpe import encoder, forget
+from vitalgauge.llm.common import give_back, text_bytes
 from vitalgauge.sources.shared import share
 
 SEQUENCE = 2048
@@ -211,6 +211,8 @@ def packed_pieces(
     places = Places(tuple(totals.get(q, 0) for q in range(queues)), window, sequence)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()  # all texts are encoded by now
+        give_back()
         for batch in batches:
             for low in range(0, batch.num_rows, _ROWS):
                 rows, out = batch.slice(low, _ROWS), []

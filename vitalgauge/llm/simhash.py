@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgauge.llm.common import numbered, text_bytes, words
+from vitalgauge.llm.common import give_back, numbered, text_bytes, words
 from vitalgauge.llm.components import component_roots
 from vitalgauge.sources.shared import share
 
@@ -69,6 +69,8 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFra
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found.view(np.int64))], names=["doc_id", "row", "fp"]
             )
+        batch = None
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("row").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(made, "doc_id long, row long, fp long")
@@ -131,6 +133,8 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                 tied = label != np.arange(len(label))
                 if tied.any():
                     yield pa.RecordBatch.from_arrays([pa.array(signed[tied]), pa.array(signed[label[tied]])], names=["a", "b"])
+        batch = fps = None
+        give_back()
 
     return lists.select("fps").mapInArrow(verified, "a long, b long")
 
