@@ -40,7 +40,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences, with their token ids."""
-    return packed_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packed_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_words=False)
 
 
 STAGES = [("quality", quality), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mix", mix), ("pack", pack)]

@@ -183,7 +183,7 @@ def test_workers_keep_no_words_after_packing(spark, documents):
 
     docs = documents([(i, " ".join(f"w{i}x{j}" for j in range(50))) for i in range(64)], partitions=64)
     settings = {"spark.sql.files.maxPartitionBytes": "4k", "spark.sql.files.openCostInBytes": "4k"}  # so that each worker has a part to cut
-    pieces = packed_pieces(docs, BYTES)
+    pieces = packed_pieces(docs, BYTES, keep_words=False)
     assert kept_in_workers() > 0
     try:
         for k, v in settings.items():

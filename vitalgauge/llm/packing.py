@@ -199,9 +199,13 @@ def packed_pieces(
     sequence: int = SEQUENCE,
     queues: int = QUEUES,
     end_id: int = END_ID,
+    keep_words: bool = True,
 ) -> DataFrame:
     """All pieces: ``doc_id``, ``queue``, ``start``, ``length``, ``ids`` (little-endian 32 bits each), ``doc_tokens``,
-    ``sequence_id`` and ``offset``."""
+    ``sequence_id`` and ``offset``.
+
+    ``keep_words``: workers keep the ids of words for a later call. Without it they drop these, for other work that needs the memory.
+    """
     tokens = token_table(docs, tokenizer_path, queues, end_id)
     itemsize = encoder(tokenizer_path).dtype.itemsize
     sums = tokens.groupBy("queue", "part").agg(F.sum("n").alias("n"))
@@ -211,8 +215,9 @@ def packed_pieces(
     places = Places(tuple(totals.get(q, 0) for q in range(queues)), window, sequence)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forget()  # all texts are encoded by now
-        give_back()
+        if not keep_words:  # all texts are encoded by now
+            forget()
+            give_back()
         for batch in batches:
             for low in range(0, batch.num_rows, _ROWS):
                 rows, out = batch.slice(low, _ROWS), []
