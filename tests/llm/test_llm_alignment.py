@@ -6,6 +6,7 @@ import collections
 import hashlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -87,3 +88,15 @@ def test_groups_and_empty_tables(spark, documents):
     assert alignments(docs.limit(0), A, B).collect() == []
     stored = docs.limit(0)
     assert alignment.with_link_counts(alignments(stored, A, B)).collect() == []
+
+
+def test_words_are_dropped_when_links_are_looked_up():
+    own = alignment.aligner(A, B)
+    batch = own.align(5, [1, 2], [b"some plain words", b"more words"])
+    a_words, b_words = own.a_ids.words, own.b_ids.words
+    assert a_words and b_words
+    pairs = len(batch.column("pairs")[0])
+    counts = pa.table({"number": list(range(pairs)), "count": [3] * pairs, "best": [True] * pairs})
+    out = alignment._looked_up(pa.Table.from_batches([batch]), counts, ["doc_id"])
+    assert out["n_links"].to_pylist() == out["n_best"].to_pylist() == [n // 3 for n in out["count_sum"].to_pylist()]
+    assert not (a_words or a_words.before or b_words or b_words.before)

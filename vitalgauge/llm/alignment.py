@@ -10,6 +10,7 @@ as numbers in that list. Spark then adds up the chunks' counts by pair, finds th
 totals of a chunk's pairs back to the chunk, where each document's links are looked up. So what is shuffled by pair is a
 row per chunk and pair, never one per link: a frequent pair has as many rows as there are chunks, no more than any other
 pair found everywhere. Nothing is broadcast, and a group holds one chunk (``CHUNK_BYTES`` of text, or one longer text).
+Workers give back Arrow's unused memory after each task's texts, and drop known words when links are looked up: all texts are encoded by then.
 
 Defined cases: null or empty texts, and texts whose bytes a tokenizer does not keep (B composes or drops some characters),
 have no tokens and no groups; repeated rows have a row each and count each; an empty table gives no rows; columns other
@@ -18,7 +19,6 @@ than id and text are not read; special strings inside texts are ordinary text.
 
 from __future__ import annotations
 
-import functools
 import json
 import re
 from collections.abc import Iterator
@@ -32,8 +32,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vitalgauge.llm import byte_bpe
 from vitalgauge.llm.byte_bpe import byte_letters, encoder, plain
-from vitalgauge.llm.common import text_bytes
+from vitalgauge.llm.common import give_back, text_bytes
 from vitalgauge.llm.kept import Kept
 
 #: Text a task aligns at a time.
@@ -196,10 +197,37 @@ class Aligner:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FIELDS, strict=True)], schema=_FIELDS)
 
 
-@functools.lru_cache(maxsize=4)
+_aligners: dict[tuple[str, str], Aligner] = {}
+
+
 def aligner(a_path: str, b_path: str) -> Aligner:
     """One per worker and pair of vocabularies."""
-    return Aligner(a_path, b_path)
+    key = (a_path, b_path)
+    if key not in _aligners:
+        _aligners[key] = Aligner(a_path, b_path)
+    return _aligners[key]
+
+
+def forget() -> None:
+    """Drop the words of both sides that this worker keeps."""
+    byte_bpe.forget()
+    for own in _aligners.values():
+        own.b_ids.words.forget()
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[tuple[list, list[bytes]]]:
+    """Ids and texts, ``chunk_bytes`` or one longer text at a time, none of two batches."""
+    for batch in batches:
+        ids, texts, size = [], [], 0
+        for doc, text in zip(batch.column(0).to_pylist(), text_bytes(batch, "text"), strict=True):
+            ids.append(doc)
+            texts.append(text)
+            size += len(text)
+            if size >= chunk_bytes:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+        if ids:
+            yield ids, texts
 
 
 def alignments(docs: DataFrame, a_path: str, b_path: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -207,19 +235,10 @@ def alignments(docs: DataFrame, a_path: str, b_path: str, chunk_bytes: int = CHU
     (32 bits each), the ``chunk``, and on the chunk's first row its ``pairs`` and how many links hold each."""
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, chunk = aligner(a_path, b_path), TaskContext.get().partitionId() << 32
-        for batch in batches:
-            ids, texts, size = [], [], 0
-            for doc, text in zip(batch.column(0).to_pylist(), text_bytes(batch, "text"), strict=True):
-                ids.append(doc)
-                texts.append(text)
-                size += len(text)
-                if size >= chunk_bytes:
-                    yield own.align(chunk, ids, texts)
-                    ids, texts, size, chunk = [], [], 0, chunk + 1
-            if ids:
-                yield own.align(chunk, ids, texts)
-                chunk += 1
+        own, first = aligner(a_path, b_path), TaskContext.get().partitionId() << 32
+        for chunk, (ids, texts) in enumerate(_chunks(batches, chunk_bytes), first):
+            yield own.align(chunk, ids, texts)
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(aligned, _ROWS)
@@ -234,6 +253,24 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
     return counts.join(highest, "b").select("pair", "count", (F.col("count") == F.col("highest")).alias("best"))
 
 
+def _looked_up(rows: pa.Table, counts: pa.Table, kept: list[str]) -> pa.Table:
+    """A chunk's rows, their columns ``kept`` and the sums over links of ``counts``, which has a row for each pair of the chunk."""
+    forget()
+    give_back()
+    order = pc.sort_indices(counts["number"])
+    links = rows["links"].combine_chunks().cast(pa.large_binary()).to_pylist()
+    numbers = pa.array(np.frombuffer(b"".join(links), "<i4"))
+    ends = np.cumsum([0, *(len(x) // 4 for x in links)])
+
+    def summed(column: pa.ChunkedArray) -> pa.Array:
+        values = pc.take(column.take(order).cast(pa.int64()).combine_chunks(), numbers)
+        sums = pa.concat_arrays([pa.array([0], pa.int64()), pc.cumulative_sum(values)])
+        return pc.subtract(sums.take(pa.array(ends[1:])), sums.take(pa.array(ends[:-1])))
+
+    out = rows.select(kept).append_column("n_links", pa.array(np.diff(ends)))
+    return out.append_column("n_best", summed(counts["best"])).append_column("count_sum", summed(counts["count"]))
+
+
 def with_link_counts(aligned: DataFrame) -> DataFrame:
     """``aligned`` (stored, as it is read three times) with ``n_links``, ``n_best`` (links whose pair is among the most frequent
     of its B id) and ``count_sum`` (of the links' pairs) in the place of links, pairs and chunks."""
@@ -244,18 +281,6 @@ def with_link_counts(aligned: DataFrame) -> DataFrame:
     schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept), "n_links long", "n_best long", "count_sum long"])
 
     def looked_up(rows: pa.Table, counts: pa.Table) -> pa.Table:
-        order = pc.sort_indices(counts["number"])
-        links = rows["links"].combine_chunks().cast(pa.large_binary()).to_pylist()
-        numbers = pa.array(np.frombuffer(b"".join(links), "<i4"))
-        ends = np.cumsum([0, *(len(x) // 4 for x in links)])
-
-        def summed(column: pa.ChunkedArray) -> pa.Array:
-            values = pc.take(column.take(order).cast(pa.int64()).combine_chunks(), numbers)
-            sums = pa.concat_arrays([pa.array([0], pa.int64()), pc.cumulative_sum(values)])
-            return pc.subtract(sums.take(pa.array(ends[1:])), sums.take(pa.array(ends[:-1])))
-
-        out = rows.select([f.name for f in kept])
-        out = out.append_column("n_links", pa.array(np.diff(ends)))
-        return out.append_column("n_best", summed(counts["best"])).append_column("count_sum", summed(counts["count"]))
+        return _looked_up(rows, counts, [f.name for f in kept])
 
     return documents.groupBy("chunk").cogroup(totals.groupBy("of_chunk")).applyInArrow(looked_up, schema)
