@@ -9,10 +9,12 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from vitalgauge.llm import ann, kneser_ney, language, queries, toxicity
 from vitalgauge.llm.ann import Centroids, balanced_centroids, nearest_neighbours, squared
+from vitalgauge.llm.common import words
 from vitalgauge.llm.kneser_ney import discounts, fit_kneser_ney, model_scores
 from vitalgauge.llm.language import fit_language, language_sample, predicted_languages
 from vitalgauge.llm.quality import fit_quality, good_documents, quality_scores
@@ -299,6 +301,20 @@ def test_shards_follow_all_texts_not_the_first_nor_the_session(spark, documents,
     assert kneser_ney.shards_for(documents([])) == kneser_ney.Shards(1, {})
 
 
+def test_each_distinct_word_of_a_block_is_hashed_once(monkeypatch):
+    texts = [b"", b" ", b" a  B\x0b\x0cc\x1cd\x85e\xc2\xa0 ", b"\xff\xfe A\x00B", b"\tA\r\nZ", "É é b A".encode(), b"a b " * 50]
+    found = [words(t) for t in texts]
+    hash_of, asked = xxhash.xxh64_intdigest, []
+    monkeypatch.setattr(kneser_ney.xxhash, "xxh64_intdigest", lambda w: asked.append(w) or hash_of(w))
+    hashes, context, token, text = kneser_ney.token_places(texts)
+    assert sorted(asked) == sorted({w for some in found for w in some})
+    own = [[*map(hash_of, some), int(kneser_ney._END)] for some in found]
+    assert hashes[token].tolist() == [h for some in own for h in some]
+    assert hashes[context].tolist() == [h for some in own for h in [int(kneser_ney._START), *some[:-1]]]
+    assert text.tolist() == [i for i, some in enumerate(own) for _ in some]
+    assert [len(x) for x in kneser_ney.token_places([])[1:]] == [0, 0, 0]
+
+
 def test_model_without_training_texts(spark, documents):
     model = fit_kneser_ney(documents([]))
     got = model_scores(documents([(1, "a b"), (1, "a b"), (2, None)]), model).collect()

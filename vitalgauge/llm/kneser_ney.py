@@ -39,18 +39,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgauge.llm.common import text_bytes, words
+from vitalgauge.llm.common import text_bytes
 from vitalgauge.llm.kept import Kept
 from vitalgauge.sources.shared import share, shared_path
 
+#: Hashes of single words; those of texts are made for all distinct words of a block.
+_hashes = Kept(xxhash.xxh64_intdigest, 1 << 16)
 #: A word never holds a space, so these are no word's hash but by chance.
-_START, _END = (np.uint64(xxhash.xxh64_intdigest(s)) for s in (b" start", b" end"))
+_START, _END = (np.uint64(_hashes[s]) for s in (b" start", b" end"))
 #: Tokens a task counts at a time, and scores at a time.
 _BLOCK = 1_000_000
 #: Tokens that a shard should have.
@@ -68,25 +71,38 @@ def pair_key(context: np.ndarray, word: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(33))
 
 
-#: Bytes of words and their hashes that a worker keeps at most.
-HASH_BYTES = 128 << 20
-_hashes = Kept(xxhash.xxh64_intdigest, HASH_BYTES)
-
-
-def token_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Context, token and text number of every token."""
-    found = [words(t) for t in texts]
-    sizes = np.array([len(w) + 1 for w in found], np.int64)
+def _pieces(values: pa.LargeStringArray) -> Iterator[bytes]:
+    """The bytes of each value, cut from one copy of all."""
+    if len(values):
+        _, ends, data = values.buffers()
+        places, data = np.frombuffer(ends, np.int64)[values.offset :][: len(values) + 1].tolist(), data.to_pybytes()
+        yield from map(data.__getitem__, map(slice, places, places[1:]))
+
+
+def token_places(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes in order; of every token the places of its context's and its own hash there, and its text's number.
+
+    Arrow splits the texts, at the same characters as ``words``, and finds distinct words, so that each is hashed once.
+    """
+    lowered = pc.ascii_lower(pa.array(texts, pa.large_binary()).view(pa.large_string()))
+    found = pc.ascii_split_whitespace(lowered)
+    word, text = found.flatten(), pc.list_parent_indices(found).to_numpy()
+    filled = pc.greater(pc.binary_length(word), 0)  # white space at the ends of a text makes empty words
+    coded, text = word.filter(filled).dictionary_encode(), text[filled.to_numpy(zero_copy_only=False)]
+    distinct = coded.dictionary
+    hashed = np.fromiter(map(xxhash.xxh64_intdigest, _pieces(distinct)), np.uint64, len(distinct))
+    hashes, place = np.unique(np.append(hashed, [_START, _END]), return_inverse=True)
+    sizes = np.bincount(text, minlength=len(texts)) + 1
     ends = np.cumsum(sizes) - 1
-    token = np.empty(int(sizes.sum()), np.uint64)
+    token = np.empty(int(sizes.sum()), np.int64)
     is_word = np.ones(len(token), bool)
     is_word[ends] = False
-    token[is_word] = np.fromiter((_hashes[w] for some in found for w in some), np.uint64, len(token) - len(texts))
-    token[ends] = _END
+    token[is_word] = place[coded.indices.to_numpy()]
+    token[ends] = place[-1]
     context = np.empty_like(token)
     context[1:] = token[:-1]
-    context[ends - sizes + 1] = _START
-    return context, token, np.repeat(np.arange(len(texts)), sizes)
+    context[ends - sizes + 1] = place[-2]
+    return hashes, context, token, np.repeat(np.arange(len(texts)), sizes)
 
 
 def summed(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -151,7 +167,8 @@ def _smallest(a: np.ndarray) -> np.ndarray:
 def look_up(folder: str, prefix: str, shard: np.ndarray, key: np.ndarray, columns: list[str]) -> list[np.ndarray]:
     """Per key the stored values of its shard; 0 where it isn't there."""
     out = [np.zeros(len(key), np.uint64) for _ in columns]
-    order = np.lexsort((key, shard))
+    order = np.argsort(key)
+    order = order[np.argsort(_smallest(shard[order]), kind="stable")]
     edges = np.flatnonzero(np.r_[True, np.diff(shard[order]) != 0, True]) if len(key) else []
     for low, high in zip(edges, edges[1:], strict=False):
         rows = order[low:high]
@@ -196,8 +213,9 @@ def shards_for(docs: DataFrame) -> Shards:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts in _blocks(batches):
-            context, n = np.unique(token_hashes(texts)[0], return_counts=True)
-            columns = [pa.array(context.view(np.int64)), pa.array(n)]
+            hashes, context, _, _ = token_places(texts)
+            n = np.bincount(context, minlength=len(hashes))
+            columns = [pa.array(hashes[n > 0].view(np.int64)), pa.array(n[n > 0])]
             yield pa.RecordBatch.from_arrays(columns, names=["context", "n"])
 
     tokens = docs.select(F.col("text").cast("string")).mapInArrow(counted, "context long, n long")
@@ -223,7 +241,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
 
 def _by_shard(shard: np.ndarray, *arrays: np.ndarray) -> pa.RecordBatch:
     """A packed block of rows for each shard."""
-    order = np.argsort(shard, kind="stable")
+    order = np.argsort(_smallest(shard), kind="stable")
     edges = np.flatnonzero(np.r_[True, np.diff(shard[order]) != 0, True]) if len(shard) else []
     blocks = [(int(shard[order[a]]), packed(*(x[order[a:b]] for x in arrays))) for a, b in zip(edges, edges[1:], strict=False)]
     ids, data = zip(*blocks, strict=True) if blocks else ((), ())
@@ -251,38 +269,35 @@ class KneserNey:
 
     def score(self, texts: list[bytes]) -> list[np.ndarray]:
         """Per text: tokens, known tokens, base score and score, both as log10."""
-        context, token, text = token_hashes(texts)
-        distinct, place = np.unique(np.concatenate([context, token]), return_inverse=True)
+        hashes, context, token, text = token_places(texts)
         columns = ["count", "contexts", "once", "twice", "more"]
-        by_word = look_up(self.folder, "words", self.shards.of_words(distinct), distinct, columns)
+        by_word = look_up(self.folder, "words", self.shards.of_words(hashes), hashes, columns)
         count, contexts, once, twice, more = (a.astype(float) for a in by_word)
-        ends = count[np.searchsorted(distinct, _END)] if len(texts) else 0.0
-        total = np.where(distinct == _START, ends, np.where(distinct == _END, 0, count))
-        of_context, of_token = place[: len(context)], place[len(context) :]
+        ends = count[np.searchsorted(hashes, _END)]
+        total = np.where(hashes == _START, ends, np.where(hashes == _END, 0, count))
 
-        key = pair_key(context, token)
-        _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-        shard = self.shards.of_pairs(context[first], token[first])
-        (low,) = look_up(self.folder, "pairs", shard, key[first], ["count"])
-        pair = self._whole_counts(shard, key[first], low)[inverse]
+        pairs, of_pair = np.unique(context * len(hashes) + token, return_inverse=True)
+        v, w = np.divmod(pairs, len(hashes))
+        key, shard = pair_key(hashes[v], hashes[w]), self.shards.of_pairs(hashes[v], hashes[w])
+        (low,) = look_up(self.folder, "pairs", shard, key, ["count"])
+        pair = self._whole_counts(shard, key, low)
 
         d = self.pair_discounts
         spared = d[0] * once + d[1] * twice + d[2] * more
-        followed, by_single = total[of_context], self.word_chance(contexts)[of_token]
+        followed, by_single = total[v], self.word_chance(contexts)[w]
         known = followed > 0
         chance = np.where(
             known,
-            (np.maximum(pair - _discount(pair, d), 0) + spared[of_context] * by_single) / np.where(known, followed, 1),
+            (np.maximum(pair - _discount(pair, d), 0) + spared[v] * by_single) / np.where(known, followed, 1),
             by_single,
         )
-        c = count[of_token]
-        base = np.log10((c + 1) / (self.tokens + (self.vocabulary + 1)))
+        base = np.log10((count + 1) / (self.tokens + (self.vocabulary + 1)))
         n = len(texts)
         return [
             np.bincount(text, minlength=n),
-            np.bincount(text, c > 0, minlength=n).astype(np.int64),
-            np.bincount(text, base, minlength=n),
-            np.bincount(text, np.log10(chance), minlength=n),
+            np.bincount(text, (count > 0)[token], minlength=n).astype(np.int64),
+            np.bincount(text, base[token], minlength=n),
+            np.bincount(text, np.log10(chance)[of_pair], minlength=n),
         ]
 
     def _whole_counts(self, shard: np.ndarray, key: np.ndarray, low: np.ndarray) -> np.ndarray:
@@ -313,11 +328,10 @@ def fit_kneser_ney(docs: DataFrame) -> KneserNey:
     folder, shards = _uri(shared_path(spark, "kneser-ney")), shards_for(docs)
 
     def pairs_of(texts: list[bytes]) -> pa.RecordBatch:
-        context, token, _ = token_hashes(texts)
-        _, first, (n,) = summed(pair_key(context, token), np.ones(len(token), np.uint64))
-        context, token = context[first], token[first]
-        order = np.lexsort((token, context))  # contexts lie together and compress
-        context, token, n = context[order], token[order], n[order]
+        hashes, context, token, _ = token_places(texts)
+        pairs, n = np.unique(context * len(hashes) + token, return_counts=True)  # in order, so contexts lie together and compress
+        v, w = np.divmod(pairs, len(hashes))
+        context, token = hashes[v], hashes[w]
         return _by_shard(shards.of_pairs(context, token), context, token, n)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
