@@ -10,7 +10,7 @@ as numbers in that list. Spark then adds up the chunks' counts by pair, finds th
 totals of a chunk's pairs back to the chunk, where each document's links are looked up. So what is shuffled by pair is a
 row per chunk and pair, never one per link: a frequent pair has as many rows as there are chunks, no more than any other
 pair found everywhere. Nothing is broadcast, and a group holds one chunk (``CHUNK_BYTES`` of text, or one longer text).
-Workers give back Arrow's unused memory after each task's texts, and drop known words when links are looked up: all texts are encoded by then.
+Workers give back Arrow's unused memory after each chunk, and drop known words when links are looked up: all texts are encoded by then.
 
 Defined cases: null or empty texts, and texts whose bytes a tokenizer does not keep (B composes or drops some characters),
 have no tokens and no groups; repeated rows have a row each and count each; an empty table gives no rows; columns other
@@ -238,7 +238,7 @@ def alignments(docs: DataFrame, a_path: str, b_path: str, chunk_bytes: int = CHU
         own, first = aligner(a_path, b_path), TaskContext.get().partitionId() << 32
         for chunk, (ids, texts) in enumerate(_chunks(batches, chunk_bytes), first):
             yield own.align(chunk, ids, texts)
-        give_back()
+            give_back()
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(aligned, _ROWS)
